@@ -9,8 +9,8 @@ from patronscope.functions.bins import (
 )
 from patronscope.functions.distance import euclidean, nearest_center, squared_distance
 from patronscope.functions.documents import (
-    LOGIN_SCHEMA,
-    PURCHASE_SCHEMA,
+    LOGIN_FIELDS,
+    PURCHASE_FIELDS,
     has_document,
     login_document,
     purchase_document,
@@ -19,9 +19,9 @@ from patronscope.functions.recency import SECONDS_PER_MONTH, months_between_days
 
 __all__ = [
     "AGE_LABELS",
-    "LOGIN_SCHEMA",
+    "LOGIN_FIELDS",
     "PERIOD_LABELS",
-    "PURCHASE_SCHEMA",
+    "PURCHASE_FIELDS",
     "SECONDS_PER_MONTH",
     "age_group",
     "bin_label",

@@ -180,23 +180,20 @@ def distance_to_center(
 ) -> DataFrame:
     """Adds ``distance`` from each row to the mean of its own cluster.
 
-    Only labels ``0 .. k-1`` enter the table of means, which bounds the broadcast to
-    ``k`` rows; any other label is an error, not a lost row.
+    ``k`` bounds the broadcast table of means. Should there be more labels than that,
+    some row finds no mean, and that is an error rather than a lost row.
     """
-    centers = cluster_means(labelled.where(F.col("cluster").between(0, k - 1)), columns).select(
-        "cluster", *[F.col(name).alias(f"__{name}") for name in columns]
-    )
-    checked = labelled.withColumn(
-        "cluster",
-        F.when(F.col("cluster").between(0, k - 1), F.col("cluster")).otherwise(
-            F.raise_error(F.lit(f"cluster label outside 0..{k - 1}")).cast("int")
-        ),
-    )
-    joined = checked.join(F.broadcast(centers), "cluster")
+    means = cluster_means(labelled, columns).limit(k)
+    centers = means.select("cluster", F.struct(*columns).alias("__center"))
+    joined = labelled.join(F.broadcast(centers), "cluster", "left")
     distance = euclidean(
-        [F.col(name) for name in columns], [F.col(f"__{name}") for name in columns]
+        [F.col(name) for name in columns], [F.col(f"__center.{name}") for name in columns]
+    )
+    unknown = F.raise_error(F.lit(f"more than {k} cluster labels"))
+    return joined.select(
+        *labelled.columns,
+        F.when(F.col("__center").isNotNull(), distance).otherwise(unknown).alias("distance"),
     )
-    return joined.select(*labelled.columns, distance.alias("distance"))
 
 
 def nearest_to_center(

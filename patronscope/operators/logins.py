@@ -15,9 +15,9 @@ from patronscope.functions import (
 from patronscope.operators.binned import count_bins
 
 
-def parse_login(users: DataFrame) -> DataFrame:
-    """Adds ``login_data``, the parsed login document."""
-    return users.withColumn("login_data", login_document(F.col("login_history")))
+def parse_login(users: DataFrame, *wanted: str) -> DataFrame:
+    """Adds ``login_data``, the parsed login document, or only its fields in ``wanted``."""
+    return users.withColumn("login_data", login_document(F.col("login_history"), *wanted))
 
 
 def login_times(users: DataFrame, *keep: str) -> DataFrame:
@@ -28,7 +28,7 @@ def login_times(users: DataFrame, *keep: str) -> DataFrame:
     the document two more times.
     """
     return (
-        parse_login(users)
+        parse_login(users, "timestamps")
         .select(
             F.col("id").alias("user_id"),
             *keep,
@@ -59,6 +59,10 @@ def login_by_age_period(users: DataFrame) -> DataFrame:
 
 def login_heatmap(users: DataFrame) -> DataFrame:
     """Age bins as rows, periods as columns, number of logins in the cells."""
-    cells = login_by_age_period(users)
+    return heatmap(login_by_age_period(users))
+
+
+def heatmap(cells: DataFrame) -> DataFrame:
+    """The cells of :func:`login_by_age_period` as a table, 0 where there are no logins."""
     table = cells.groupBy("age_group").pivot("period", list(PERIOD_LABELS)).agg(F.sum("cnt"))
     return table.na.fill(0)

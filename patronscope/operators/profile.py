@@ -95,7 +95,7 @@ def total_spent(users: DataFrame) -> DataFrame:
 
 
 def _spent() -> Column:
-    price = purchase_document(F.col("purchase_history"))["avg_price"]
+    price = purchase_document(F.col("purchase_history"), "avg_price")["avg_price"]
     return F.coalesce(F.sum(price), F.lit(0.0))
 
 

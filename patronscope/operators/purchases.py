@@ -8,10 +8,15 @@ from pyspark.sql import functions as F
 from patronscope.functions import has_document, purchase_day, purchase_document
 
 
-def parse_purchase(users: DataFrame) -> DataFrame:
-    """Adds ``purchase_data``, the parsed document, and keeps the rows that have one."""
-    with_text = users.where(has_document(F.col("purchase_history")))
-    return with_text.withColumn("purchase_data", purchase_document(F.col("purchase_history")))
+def parse_purchase(users: DataFrame, *wanted: str) -> DataFrame:
+    """Adds ``purchase_data``, the parsed document, and keeps the rows that have one.
+
+    With names in ``wanted`` only those fields are parsed.
+    """
+    text = F.col("purchase_history")
+    return users.where(has_document(text)).withColumn(
+        "purchase_data", purchase_document(text, *wanted)
+    )
 
 
 def expand_purchase(users: DataFrame) -> DataFrame:
@@ -25,7 +30,7 @@ def purchase_records(users: DataFrame) -> DataFrame:
 
     ``frequency`` is the number of items, 0 when the document names none.
     """
-    return parse_purchase(users).select(
+    return parse_purchase(users, "avg_price", "items", "purchase_date").select(
         F.col("id").alias("user_id"),
         F.col("purchase_data.purchase_date").alias("purchase_time"),
         F.coalesce(F.size("purchase_data.items"), F.lit(0)).cast("bigint").alias("frequency"),

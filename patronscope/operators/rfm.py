@@ -20,10 +20,29 @@ def rfm_merge_users(records: DataFrame) -> DataFrame:
     readable date has a NULL ``last_purchase``. The sums are combined per partition
     before the shuffle, so a user with very many records is no hot spot.
     """
-    return dated_records(records).groupBy("user_id").agg(
+    return dated_records(records).groupBy("user_id").agg(*_merged_columns())
+
+
+def _merged_columns() -> list[Column]:
+    return [
         F.max("purchase_day").alias("last_purchase"),
         F.coalesce(F.sum("frequency"), F.lit(0)).alias("frequency"),
         F.coalesce(F.sum("monetary"), F.lit(0.0)).alias("monetary"),
+    ]
+
+
+def user_totals(records: DataFrame, as_of: Column) -> DataFrame:
+    """:func:`rfm_merge_users` with the counts that segments need, from the same pass.
+
+    A purchase is a record that has a price; ``yearly_purchases`` counts those in the
+    12 months before ``as_of``.
+    """
+    year_start = F.add_months(as_of.cast("date"), -12)
+    in_year = F.col("monetary").isNotNull() & (F.col("purchase_day") >= year_start)
+    return dated_records(records).groupBy("user_id").agg(
+        *_merged_columns(),
+        F.count("monetary").alias("purchases"),
+        F.count_if(in_year).alias("yearly_purchases"),
     )
 
 
@@ -32,9 +51,9 @@ def with_recency(merged: DataFrame, as_of: Column) -> DataFrame:
     return merged.withColumn("recency", months_between_days(F.col("last_purchase"), as_of))
 
 
-def rfm_features(records: DataFrame, as_of: Column) -> DataFrame:
+def rfm_features(merged: DataFrame, as_of: Column) -> DataFrame:
     """``user_id, recency, frequency, monetary`` of the users with a purchase date."""
-    dated = rfm_merge_users(records).where(F.col("last_purchase").isNotNull())
+    dated = merged.where(F.col("last_purchase").isNotNull())
     return with_recency(dated, as_of).select("user_id", *RFM_COLUMNS)
 
 

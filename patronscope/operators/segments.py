@@ -7,8 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from patronscope.functions import months_between_days
-from patronscope.operators.purchases import dated_records
+from patronscope.operators.rfm import with_recency
 
 # Segment names, thresholds and actions.
 HIGH_VALUE = "high-value"
@@ -29,28 +28,15 @@ class SegmentRule:
     inactive_months: float = 24
 
 
-def segment_features(records: DataFrame, as_of: Column) -> DataFrame:
+def segment_features(totals: DataFrame, as_of: Column) -> DataFrame:
     """``user_id, recency, yearly_purchases, mean_spend`` of users with a purchase date.
 
-    A purchase is a record that has a price; the year is the 12 months before ``as_of``.
+    ``totals`` comes from :func:`patronscope.operators.rfm.user_totals`.
     """
-    year_start = F.add_months(as_of.cast("date"), -12)
-    in_year = F.col("monetary").isNotNull() & (F.col("purchase_day") >= year_start)
-    return (
-        dated_records(records)
-        .groupBy("user_id")
-        .agg(
-            F.max("purchase_day").alias("last_purchase"),
-            F.count_if(in_year).alias("yearly_purchases"),
-            F.coalesce(F.avg("monetary"), F.lit(0.0)).alias("mean_spend"),
-        )
-        .where(F.col("last_purchase").isNotNull())
-        .select(
-            "user_id",
-            months_between_days(F.col("last_purchase"), as_of).alias("recency"),
-            "yearly_purchases",
-            "mean_spend",
-        )
+    dated = totals.where(F.col("last_purchase").isNotNull())
+    mean_spend = F.coalesce(F.try_divide("monetary", "purchases"), F.lit(0.0))
+    return with_recency(dated, as_of).select(
+        "user_id", "recency", "yearly_purchases", mean_spend.alias("mean_spend")
     )
 
 

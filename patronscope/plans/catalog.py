@@ -31,9 +31,6 @@ END_TOKEN = "<EOS>"
 # Start centres in standardised units: recency, frequency, monetary.
 CENTROIDS = ((-0.34, 0.98, 0.97), (1.83, -0.84, -0.81), (-0.32, -0.53, -0.53))
 SEGMENT_RULE = segments.SegmentRule(yearly_purchases=3)
-CUSTOMER_SCHEMA = (
-    "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
-)
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -66,12 +63,12 @@ def _as_of():
 
 
 def _customer_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sources.scan_part_files(spark, sf_dir, CUSTOMER_SCHEMA, glob="customer*")
+    return sources.scan_part_files(spark, sf_dir, star_tables.SCHEMAS["customer"], glob="customer*")
 
 
 @_query
 def scan_users(spark, sf_dir):
-    scanned = sources.scan_users(spark, f"{sf_dir}/customer.parquet", CUSTOMER_SCHEMA)
+    scanned = sources.scan_users(spark, f"{sf_dir}/customer.parquet", star_tables.SCHEMAS["customer"])
     return scanned.select(
         *star_tables.person_columns(
             F.col("c_custkey"), F.col("c_mktsegment"), F.col("c_acctbal")
@@ -293,7 +290,7 @@ def purchase_records(spark, sf_dir):
 
 
 def _features(spark, sf_dir):
-    return rfm.rfm_features(_records(spark, sf_dir), _as_of())
+    return rfm.rfm_features(rfm.rfm_merge_users(_records(spark, sf_dir)), _as_of())
 
 
 @_query
@@ -378,7 +375,8 @@ def kmeans_step(spark, sf_dir):
 
 @_query
 def cluster_means(spark, sf_dir):
-    return _rounded(clusters.cluster_means(_labelled(spark, sf_dir)), 4, *rfm.RFM_COLUMNS)
+    means = clusters.cluster_means(_labelled(spark, sf_dir))
+    return _rounded(_rounded(means, 4, "recency", "frequency"), 2, "monetary")
 
 
 @_query
@@ -389,13 +387,13 @@ def cluster_sizes(spark, sf_dir):
 @_query
 def distance_to_center(spark, sf_dir):
     distances = clusters.distance_to_center(_labelled(spark, sf_dir), k=len(CENTROIDS))
-    return _rounded(distances, 4, "distance").select("user_id", "cluster", "distance")
+    return _rounded(distances, 2, "distance").select("user_id", "cluster", "distance")
 
 
 @_query
 def nearest_to_center(spark, sf_dir):
     nearest = clusters.nearest_to_center(_labelled(spark, sf_dir), k=len(CENTROIDS))
-    return _rounded(nearest, 4, "distance").select("cluster", "rank", "user_id", "distance")
+    return _rounded(nearest, 2, "distance").select("cluster", "rank", "user_id", "distance")
 
 
 @_query
@@ -435,8 +433,8 @@ def rfm_silhouette(spark, sf_dir):
 
 
 def _segmented(spark, sf_dir):
-    features = segments.segment_features(_records(spark, sf_dir), _as_of())
-    return segments.rfm_segments(features, SEGMENT_RULE)
+    totals = rfm.user_totals(_records(spark, sf_dir), _as_of())
+    return segments.rfm_segments(segments.segment_features(totals, _as_of()), SEGMENT_RULE)
 
 
 @_query
@@ -479,7 +477,7 @@ def prompt_format_inference(spark, sf_dir):
 
 @_query
 def incremental_profile(spark, sf_dir):
-    arriving = streaming.stream_files(spark, sf_dir, CUSTOMER_SCHEMA, glob="customer*")
+    arriving = streaming.stream_files(spark, sf_dir, star_tables.SCHEMAS["customer"], glob="customer*")
     users = arriving.select(
         *star_tables.person_columns(
             F.col("c_custkey"), F.col("c_mktsegment"), F.col("c_acctbal")

@@ -337,8 +337,10 @@ def oracle_sql() -> dict[str, str]:
         ),
         "rfm_scaled": _with(
             "scaled",
-            """SELECT user_id, round(recency, 4) AS recency, round(frequency, 4) AS frequency,
-                round(monetary, 4) AS monetary FROM scaled""",
+            # Adding 0 turns a rounded -0.0 into 0.0, as Spark's round gives it.
+            """SELECT user_id, round(recency, 4) + 0.0::DOUBLE AS recency,
+                round(frequency, 4) + 0.0::DOUBLE AS frequency,
+                round(monetary, 4) + 0.0::DOUBLE AS monetary FROM scaled""",
         ),
         "rfm_summary": _with(
             "merged",
@@ -355,25 +357,26 @@ def oracle_sql() -> dict[str, str]:
         ),
         "kmeans_step": _with(
             "assigned",
-            """SELECT cluster, count(*) AS members, round(avg(recency), 4) AS recency,
-                round(avg(frequency), 4) AS frequency, round(avg(monetary), 4) AS monetary
+            """SELECT cluster, count(*) AS members, round(avg(recency), 4) + 0.0::DOUBLE AS recency,
+                round(avg(frequency), 4) + 0.0::DOUBLE AS frequency,
+                round(avg(monetary), 4) + 0.0::DOUBLE AS monetary
             FROM assigned GROUP BY cluster""",
         ),
         "cluster_means": _with(
             "means",
             """SELECT cluster, round(r, 4) AS recency, round(f, 4) AS frequency,
-                round(m, 4) AS monetary FROM means""",
+                round(m, 2) AS monetary FROM means""",
         ),
         "cluster_sizes": _with(
             "assigned", "SELECT cluster, count(*) AS members FROM assigned GROUP BY cluster"
         ),
         "distance_to_center": _with(
             "distances",
-            "SELECT user_id, cluster, round(distance, 4) AS distance FROM distances",
+            "SELECT user_id, cluster, round(distance, 2) AS distance FROM distances",
         ),
         "nearest_to_center": _with(
             "nearest",
-            "SELECT cluster, rank, user_id, round(distance, 4) AS distance FROM nearest",
+            "SELECT cluster, rank, user_id, round(distance, 2) AS distance FROM nearest",
         ),
         "cluster_scatter": _with(
             "nearest",

@@ -14,11 +14,33 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 EVENTS_PER_RECORD = 1000
+# Declared, so that no job has to read file footers before the query itself runs.
+SCHEMAS = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": (
+        "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+        "c_mktsegment string"
+    ),
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+        "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+        "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+    "events": (
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+        "value double, props string"
+    ),
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+}
 _ITEMS = "array<struct<id:bigint>>"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def person_columns(key: Column, segment: Column, balance: Column) -> list[Column]:
@@ -82,12 +104,16 @@ def logins(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _day(timestamp: str) -> Column:
+    return F.date_format(timestamp, "yyyy-MM-dd")
+
+
 def _order_document() -> Column:
     return F.to_json(
         F.struct(
             F.col("o_totalprice").alias("avg_price"),
             F.array().cast(_ITEMS).alias("items"),
-            F.date_format("o_orderdate", "yyyy-MM-dd").alias("purchase_date"),
+            _day("o_orderdate").alias("purchase_date"),
         )
     )
 
@@ -99,12 +125,13 @@ def purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
     priced = orders.select(
         F.col("o_custkey").alias("id"), _order_document().alias("purchase_history")
     )
-    items = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+    buyers = orders.select("o_orderkey", "o_custkey", _day("o_orderdate").alias("purchase_date"))
+    items = lines.join(buyers, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.col("o_custkey").alias("id"),
         F.to_json(
             F.struct(
                 F.array(F.struct(F.col("l_partkey").alias("id"))).alias("items"),
-                F.date_format("o_orderdate", "yyyy-MM-dd").alias("purchase_date"),
+                "purchase_date",
             )
         ).alias("purchase_history"),
     )
