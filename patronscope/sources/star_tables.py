@@ -36,7 +36,6 @@ SCHEMAS = {
     ),
     "conversations": "conv_id bigint, turn bigint, role string, text string",
 }
-_ITEMS = "array<struct<id:bigint>>"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -74,7 +73,7 @@ def people_by_country(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def login_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Login documents of bounded size: ``(user_id, record_no, last_ts, login_history)``."""
-    record_no = F.floor(F.col("event_id") / EVENTS_PER_RECORD)
+    record_no = F.expr(f"event_id div {EVENTS_PER_RECORD}")
     return (
         table(spark, sf_dir, "events")
         .groupBy("user_id", record_no.alias("record_no"))
@@ -109,12 +108,24 @@ def _day(timestamp: str) -> Column:
 
 
 def _order_document() -> Column:
-    return F.to_json(
-        F.struct(
-            F.col("o_totalprice").alias("avg_price"),
-            F.array().cast(_ITEMS).alias("items"),
-            _day("o_orderdate").alias("purchase_date"),
-        )
+    """An order with its price and no items, as stored JSON text."""
+    return F.concat(
+        F.lit('{"avg_price":'),
+        F.col("o_totalprice").cast("string"),
+        F.lit(',"items":[],"purchase_date":"'),
+        _day("o_orderdate"),
+        F.lit('"}'),
+    )
+
+
+def _item_document() -> Column:
+    """One item with the day of its order, as stored JSON text."""
+    return F.concat(
+        F.lit('{"items":[{"id":'),
+        F.col("l_partkey").cast("string"),
+        F.lit('}],"purchase_date":"'),
+        F.col("purchase_day"),
+        F.lit('"}'),
     )
 
 
@@ -125,15 +136,9 @@ def purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
     priced = orders.select(
         F.col("o_custkey").alias("id"), _order_document().alias("purchase_history")
     )
-    buyers = orders.select("o_orderkey", "o_custkey", _day("o_orderdate").alias("purchase_date"))
+    buyers = orders.select("o_orderkey", "o_custkey", _day("o_orderdate").alias("purchase_day"))
     items = lines.join(buyers, F.col("l_orderkey") == F.col("o_orderkey")).select(
-        F.col("o_custkey").alias("id"),
-        F.to_json(
-            F.struct(
-                F.array(F.struct(F.col("l_partkey").alias("id"))).alias("items"),
-                "purchase_date",
-            )
-        ).alias("purchase_history"),
+        F.col("o_custkey").alias("id"), _item_document().alias("purchase_history")
     )
     return priced.unionByName(items)
 
@@ -181,8 +186,10 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
 def instruction_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``instruction, input, output``: a user turn, the system text, the answer to it.
 
-    Turns are numbered without gaps, so the answer is the turn numbered one higher.
-    Joining on that number keeps one long conversation from becoming one task.
+    Turns are numbered without gaps from 0, so the answer is the turn numbered one
+    higher, and joining on that number keeps one long conversation from becoming one
+    task. The system text, where there is one, is turn 0. It joins as a plain scan, so
+    that a long conversation can be split by the adaptive skew join.
     """
     turns = table(spark, sf_dir, "conversations")
     asked = turns.where(F.col("role") == "user").select(
@@ -193,10 +200,8 @@ def instruction_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("turn").alias("reply_turn"),
         F.col("text").alias("output"),
     )
-    system = (
-        turns.where(F.col("role") == "system")
-        .groupBy(F.col("conv_id").alias("system_conv"))
-        .agg(F.min_by("text", "turn").alias("system_text"))
+    system = turns.where((F.col("role") == "system") & (F.col("turn") == 0)).select(
+        F.col("conv_id").alias("system_conv"), F.col("text").alias("system_text")
     )
     return (
         asked.join(
