@@ -13,16 +13,16 @@ _SETTING = "spark.checkpoint.dir"
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 
-    Where it is unset, a local session (as in tests) gets a temporary folder of its
+    Where it is unset, a local session (as in tests) uses a temporary folder of its
     own; on a cluster that is an error, because executors do not share local disks.
     """
-    folder = spark.conf.get(_SETTING, None)
+    folder = spark.conf.get(_SETTING, None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {_SETTING} to a folder that all executors share")
     folder = tempfile.mkdtemp(prefix="patronscope-")
-    spark.conf.set(_SETTING, folder)
+    spark.sparkContext.setCheckpointDir(folder)
     return folder
 
 
@@ -33,7 +33,8 @@ def fresh_path(spark: SparkSession, name: str) -> str:
 
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` computed once and stored in the shared folder."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
+    spark = df.sparkSession
+    folder = shared_folder(spark)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint(eager=True)

@@ -84,7 +84,7 @@ def rfm_tables(
     totals = checkpointed(rfm.user_totals(records, as_of))
     merged = totals.select("user_id", "last_purchase", "frequency", "monetary")
     features = rfm.rfm_features(merged, as_of)
-    report = quality.quality_report(users)
+    report = checkpointed(quality.quality_report(users))
     tables = {
         "quality_report": report,
         "rfm_merge_users": merged,

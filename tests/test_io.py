@@ -155,3 +155,31 @@ def test_shared_folder_comes_from_the_session(spark):
     assert durable.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     stored = durable.checkpointed(spark.range(5))
     assert stored.count() == 5
+
+
+class FakeSession:
+    """Just enough of a session without ``spark.checkpoint.dir``."""
+
+    def __init__(self, master):
+        self.conf = self.sparkContext = self
+        self.master = master
+        self.checkpoint_dir = None
+
+    def get(self, _, default):
+        return default
+
+    def getCheckpointDir(self):
+        return self.checkpoint_dir
+
+    def setCheckpointDir(self, folder):
+        self.checkpoint_dir = folder
+
+
+def test_unset_shared_folder_is_an_error_on_a_cluster():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        durable.shared_folder(FakeSession("yarn"))
+    local = FakeSession("local[2]")
+    folder = durable.shared_folder(local)
+    assert os.path.isdir(folder)
+    assert durable.shared_folder(local) == folder
+    assert durable.fresh_path(local, "x").startswith(folder)
