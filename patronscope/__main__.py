@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from patronscope import sources
 from patronscope.plans import jobs
+from patronscope.streaming import incremental_profile, profile_entries, stream_files
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -18,20 +19,24 @@ def _parser() -> argparse.ArgumentParser:
     for name, text in (
         ("profile", "user profile and behaviour tables"),
         ("rfm", "RFM features, clusters and segments"),
+        ("totals", "running profile totals over arriving files"),
         ("check-ids", "is every id unique"),
         ("preview", "schema and first rows"),
         ("prompts", "instruction prompts"),
     ):
         command = commands.add_parser(name, help=text)
         command.add_argument("--input", required=True)
-        if name in ("profile", "rfm", "check-ids", "preview"):
+        if name != "prompts":
             command.add_argument("--glob", help="read only files with matching names")
-        if name in ("profile", "rfm", "prompts"):
+        if name in ("profile", "rfm", "totals", "prompts"):
             command.add_argument("--output", required=True)
         if name == "rfm":
             command.add_argument("--as-of", help="moment to measure recency from; now if absent")
             command.add_argument("--k", type=int, default=3)
             command.add_argument("--seed", type=int, default=42)
+        if name == "totals":
+            command.add_argument("--state", required=True, help="folder of the stream's progress")
+            command.add_argument("--files-per-step", type=int, default=1)
         if name == "prompts":
             command.add_argument("--end-token", required=True)
             command.add_argument("--format", default="json")
@@ -46,6 +51,12 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         examples = sources.scan_instructions(spark, args.input, args.format)
         jobs.run_prompts(spark, examples, args.output, args.end_token)
         return
+    if args.job == "totals":
+        arriving = stream_files(
+            spark, args.input, sources.USER_SCHEMA, args.glob or "*", args.files_per_step
+        )
+        incremental_profile(profile_entries(arriving), args.output, args.state)
+        return
     users = sources.scan_users(spark, args.input, glob=args.glob)
     if args.job == "profile":
         jobs.run_profile(users, args.output)

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from patronscope.operators import prompts
 from patronscope.plans.catalog import AS_OF, CENTROIDS, END_TOKEN, SEGMENT_RULE
+from patronscope.sources.star_tables import EVENTS_PER_RECORD
 
 _PERSON = """
     c_custkey AS id,
@@ -24,6 +25,8 @@ _PERIOD = """CASE WHEN hour(ts) < 6 THEN '0-6clock' WHEN hour(ts) < 12 THEN '6-1
 _ORDER_JSON = """'{"avg_price":' || CAST(o_totalprice AS VARCHAR)
     || ',"items":[],"purchase_date":"' || strftime(o_orderdate, '%Y-%m-%d') || '"}'"""
 
+_RECORD_NO = f"event_id // {EVENTS_PER_RECORD}"
+
 # Common table expressions, each with the ones it needs before it.
 _CTES = {
     "people": f"SELECT {_PERSON} FROM customer",
@@ -35,11 +38,11 @@ _CTES = {
     "buyers": f"""SELECT p.*, o_totalprice, o_orderdate,
             o_totalprice IS NOT NULL AS has_purchase, {_ORDER_JSON} AS purchase_history
         FROM people_country p LEFT JOIN first_orders ON id = o_custkey AND id % 13 <> 0""",
-    "login_records": """SELECT user_id, event_id // 1000 AS record_no, count(*) AS n,
-            min(ts) AS first_ts, max(ts) AS last_ts, '{"login_count":' || count(*)
+    "login_records": f"""SELECT user_id, {_RECORD_NO} AS record_no, count(*) AS n,
+            min(ts) AS first_ts, max(ts) AS last_ts, '{{"login_count":' || count(*)
             || ',"timestamps":[' || string_agg('"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%g')
-            || 'Z"', ',' ORDER BY ts) || ']}' AS login_history
-        FROM events GROUP BY user_id, event_id // 1000""",
+            || 'Z"', ',' ORDER BY ts) || ']}}' AS login_history
+        FROM events GROUP BY user_id, {_RECORD_NO}""",
     "first_logins": """SELECT user_id, max(last_ts) AS last_ts,
             arg_min(login_history, record_no) AS login_history
         FROM login_records GROUP BY user_id""",

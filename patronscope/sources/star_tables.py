@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-EVENTS_PER_RECORD = 1000
+EVENTS_PER_RECORD = 10_000
 # Declared, so that no job has to read file footers before the query itself runs.
 SCHEMAS = {
     "nation": "n_nationkey int, n_name string, n_regionkey int",

@@ -151,6 +151,14 @@ def test_stream_totals_equal_batch_totals_and_continue(spark, user_dir, tmp_path
         )
 
 
+def test_totals_job(spark, user_dir, tmp_path):
+    out = str(tmp_path / "totals")
+    options = ["--input", user_dir, "--glob", "part-*", "--output", out]
+    cli.main(["totals", *options, "--state", str(tmp_path / "state")], spark)
+    totals = spark.read.parquet(out).where("dimension = 'all'").collect()
+    assert [r.cnt for r in totals] == [150]
+
+
 def test_shared_folder_comes_from_the_session(spark):
     assert durable.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     stored = durable.checkpointed(spark.range(5))

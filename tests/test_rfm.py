@@ -1,13 +1,16 @@
 """RFM features, clusters, ranking and segments."""
 
+import os
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from patronscope.operators import clusters, rfm, segments
+from patronscope.operators.durable import checkpointed
 from patronscope.operators.purchases import purchase_records
 from patronscope.operators.ranking import top_per_group
+from patronscope.sources import star_tables
 
 # Five known RFM rows.
 LITERALS = [
@@ -83,6 +86,19 @@ def test_kmeans_recovers_blobs_in_stable_order(spark):
     assert clusters.silhouette(features, model).first().silhouette > 0.9
 
 
+def test_fitted_centres_are_a_fixed_point(spark):
+    root = os.environ.get("PATRONSCOPE_TESTDATA", "/root/testdata")
+    records = purchase_records(star_tables.purchases(spark, f"{root}/sf0.01"))
+    features = checkpointed(rfm.rfm_features(rfm.rfm_merge_users(records), as_of()))
+    model = clusters.fit_clusters(features)
+    moved = clusters.kmeans_step(model.standardize(features), model.centers).collect()
+    assert sum(r.members for r in moved) == 1500
+    for row in moved:
+        assert tuple(row)[2:] == pytest.approx(model.centers[row.cluster], abs=0.01)
+    assert list(model.centers) == sorted(model.centers)
+    assert 0.4 < clusters.silhouette(features, model).first().silhouette < 1
+
+
 def test_empty_features_cluster_to_nothing(spark):
     empty = spark.createDataFrame([], FEATURES)
     assert clusters.fit_clusters(empty) is None
