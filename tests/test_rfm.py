@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from patronscope.functions import purchase_day
 from patronscope.operators import clusters, rfm, segments
 from patronscope.operators.durable import checkpointed
 from patronscope.operators.purchases import purchase_records
@@ -35,6 +36,17 @@ def test_recency_of_known_rows(spark):
     assert got == pytest.approx({u: d / 30.44 for u, d in days.items()})
 
 
+def test_only_whole_days_are_days(spark):
+    texts = {
+        "2023-10-05": "2023-10-05", "2023-1-5": "2023-01-05", "2024-02-29": "2024-02-29",
+        "2023-02-29": None, "2023": None, "2023-10": None, "2023-10-05T01:00:00": None,
+        " 2023-10-05": None, "2023-10-05\n": None, "05-10-2023": None, "": None, None: None,
+    }
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    rows = df.select("t", purchase_day(F.col("t")).cast("string").alias("day")).collect()
+    assert {r.t: r.day for r in rows} == texts
+
+
 def test_merge_skips_nulls(spark):
     rows = [
         (1, "2023-01-02", 1, 10.0),
@@ -187,8 +199,8 @@ def test_segments(spark):
 
 
 def test_merged_equals_totals(spark):
-    docs = [(i % 9, f'{{"avg_price": {i}.25, "items": [{{"id": {i}}}], "purchase_date": "2023-01-{i % 28 + 1:02d}"}}')
-            for i in range(90)]
+    form = '{{"avg_price": {0}.25, "items": [{{"id": {0}}}], "purchase_date": "2023-01-{1:02d}"}}'
+    docs = [(i % 9, form.format(i, i % 28 + 1)) for i in range(90)]
     records = purchase_records(spark.createDataFrame(docs, "id bigint, purchase_history string"))
     merged = rfm.rfm_merge_users(records)
     totals = rfm.user_totals(records, as_of()).select(merged.columns)
