@@ -1,4 +1,4 @@
-"""The queries ``op1_`` to ``op10_`` and the SQL that checks them."""
+"""The queries ``op1_`` to ``op10_``; the SQL that checks them is in ``queries_sql``."""
 
 from __future__ import annotations
 
@@ -6,10 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from patronscope.llm import decontam, html_extract, secret_scan, warc
+from patronscope.llm import decontam, html_extract, neardup, secret_scan, substring, warc
 from patronscope.llm.common import table
+from patronscope.llm.queries_sql import oracle_sql
 from patronscope.operators.durable import fresh_path
 
+__all__ = ["oracle_sql", "queries"]
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -19,12 +22,23 @@ def op1_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.record_digests(warc.read_chunks(spark, path, with_data=False))
 
 
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = neardup.near_duplicates(table(spark, sf_dir, "documents"), width=2)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring.remove_repeats(table(spark, sf_dir, "documents"), with_text=False)
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.spans(table(spark, sf_dir, "documents"))
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontam.hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    found = decontam.hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("longest_match")
 
 
 def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,9 +46,12 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    own = [op1_warc_chunks, op7_secret_scan, op9_decontamination, op10_html_extraction]
+    own = [
+        op1_warc_chunks,
+        op5_near_duplicates,
+        op6_substring_dedup,
+        op7_secret_scan,
+        op9_decontamination,
+        op10_html_extraction,
+    ]
     return {q.__name__: q for q in own}
-
-
-def oracle_sql() -> dict[str, str]:
-    return {}
