@@ -6,7 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from patronscope.llm import decontam, html_extract, neardup, secret_scan, substring, warc
+from patronscope.llm import (
+    decontam,
+    html_extract,
+    neardup,
+    packing,
+    secret_scan,
+    substring,
+    warc,
+)
 from patronscope.llm.common import table
 from patronscope.llm.queries_sql import oracle_sql
 from patronscope.operators.durable import fresh_path
@@ -36,6 +44,10 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.spans(table(spark, sf_dir, "documents"))
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), with_ids=False).drop("ids")
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontam.hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.drop("longest_match")
@@ -51,6 +63,7 @@ def queries() -> dict[str, Query]:
         op5_near_duplicates,
         op6_substring_dedup,
         op7_secret_scan,
+        op8_packing,
         op9_decontamination,
         op10_html_extraction,
     ]
