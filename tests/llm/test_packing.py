@@ -100,7 +100,7 @@ def test_neighbours_share_sequences(spark):
     df = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
     spark.conf.set("spark.sql.shuffle.partitions", "1")
     try:
-        rows = packing.pack(df, window=1024).collect()
+        rows = packing.pack(df, window=256).collect()
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "8")
     kinds = defaultdict(list)
