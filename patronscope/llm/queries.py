@@ -5,12 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from patronscope.llm import (
     decontam,
     html_extract,
+    langid,
     neardup,
     packing,
+    quality,
     secret_scan,
     substring,
     warc,
@@ -30,6 +33,21 @@ def op1_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.record_digests(warc.read_chunks(spark, path, with_data=False))
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train(docs.where(~langid.held_out()).select("text", "lang"))
+    found = langid.predict(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train(quality.labelled(docs, table(spark, sf_dir, "labels")))
+    found = quality.score(docs.select("doc_id", "text"), model)
+    predicted = (F.col("score") >= quality.ACCEPT).cast("int")
+    return found.select("doc_id", quality.held_out().alias("held_out"), "score", predicted.alias("predicted"))
+
+
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = neardup.near_duplicates(table(spark, sf_dir, "documents"), width=2)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
@@ -60,6 +78,8 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     own = [
         op1_warc_chunks,
+        op2_language_id,
+        op4_quality,
         op5_near_duplicates,
         op6_substring_dedup,
         op7_secret_scan,
