@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from patronscope.llm import (
+    ann,
     decontam,
     html_extract,
     langid,
@@ -40,6 +41,10 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality.train(quality.labelled(docs, table(spark, sf_dir, "labels")))
@@ -79,6 +84,7 @@ def queries() -> dict[str, Query]:
     own = [
         op1_warc_chunks,
         op2_language_id,
+        op3_nearest_neighbours,
         op4_quality,
         op5_near_duplicates,
         op6_substring_dedup,
