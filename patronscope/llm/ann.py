@@ -10,8 +10,8 @@ kd-tree, whose leaves have bounding boxes. Equal vectors of a block are one poin
 the ``k`` smallest ids.
 
 Search. Queries, also in blocks, meet every index block. A query takes the leaves by
-their distance in the projection and computes true inner products of their points. For a
-point at true distance d the squared projected distance over d^2 is chi-square with
+their distance in the projection and computes true inner products of their points that are
+near enough in the projection. For a point at true distance d the squared projected distance over d^2 is chi-square with
 ``PROJECTED`` degrees of freedom. So the search of a query stops when the next leaf is so
 far away that a point nearer than the k-th found would lie there with a probability below
 ``MISS``. The blocks' best are ranked once more per query.
@@ -107,6 +107,7 @@ class Block:
         order, ends = kd_order(points)
         starts = np.concatenate(([0], ends[:-1]))
         self.vectors, points = distinct[order], points[order]
+        self.projected = points
         self.spans = list(zip(starts.tolist(), ends.tolist()))
         self.low = np.minimum.reduceat(points, starts, axis=0)
         self.high = np.maximum.reduceat(points, starts, axis=0)
@@ -136,6 +137,8 @@ class Block:
             chosen = [np.arange(*self.spans[i]) for i in visits[at : at + step]]
             at, step = at + step, step * 2
             new = np.concatenate(chosen)
+            if kth > -np.inf:  # the same test for each point of these leaves
+                new = new[((self.projected[new] - projected) ** 2).sum(axis=1) <= bound * farthest]
             verified += len(new)
             scores = np.concatenate([scores, exact(self.vectors[new], query)])
             points = np.concatenate([points, new])

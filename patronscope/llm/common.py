@@ -41,6 +41,14 @@ def parts(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def free(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def crc32_mod(key: str, n: int) -> Column:
     """``crc32(key as text) mod n``; a NULL key counts as the empty text."""
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % n

@@ -12,7 +12,8 @@ bucket; scoring a text is one look-up and sum per subword over the whole text.
 
 Defined cases: text that is NULL or has no letters is ``und`` with score 0 and is rejected;
 so is every text where nothing could be learned; NULL labels teach nothing; NULL ids
-count as '' for the fold; repeated rows are repeated; other columns are kept by ``predict``.
+count as '' for the fold; repeated rows are repeated; other columns are kept by
+``predict``, but for ones named like its results.
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ SAMPLE_ROWS = 2_000
 SAMPLE_TEXT_BYTES = 1 << 16
 #: Subwords of one training text, drawn from the whole text.
 TEXT_SUBWORDS = 400
-EPOCHS, RATE = 12, 0.5
+STEPS, RATE = 24_000, 0.5
 PRECISION = 0.99
 UNKNOWN = "und"
 #: Bytes that are no letters become spaces; what is above ASCII stays.
@@ -95,8 +96,9 @@ def fit(rows: list[tuple[str, str]], seed: int = 7) -> Model | None:
     embedding = random.uniform(-1, 1, (BUCKETS, DIMENSIONS)).astype(np.float32) / DIMENSIONS
     layer = np.zeros((DIMENSIONS, len(languages)), np.float32)
     bias = np.zeros(len(languages), np.float32)
-    steps, total = 0, EPOCHS * len(learned)
-    for _ in range(EPOCHS):
+    steps, epochs = 0, -(-STEPS // len(learned))
+    total = epochs * len(learned)
+    for _ in range(epochs):
         for i in random.permutation(learned):
             language, found = samples[i]
             if len(found) > TEXT_SUBWORDS:
@@ -143,6 +145,7 @@ def train(documents: DataFrame) -> Model | None:
 def predict(documents: DataFrame, model: Model | None) -> DataFrame:
     """All columns, and ``lang_pred, score, rejected``."""
     spark = documents.sparkSession
+    documents = documents.drop("lang_pred", "score", "rejected")
     names = documents.columns
     schema = documents.select("*", F.lit("").alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(True).alias("rejected")).schema
     shared = spark.sparkContext.broadcast(model)
@@ -170,7 +173,7 @@ def predict(documents: DataFrame, model: Model | None) -> DataFrame:
 
     text = F.col("text").cast("string")
     read = documents.select(
-        "*", F.lower(text).alias("lang_text"), F.coalesce(text.rlike(r"\p{L}"), F.lit(False)).alias("lang_any")
+        "*", F.lower(text), F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
     )
     return read.mapInArrow(run, schema)
 

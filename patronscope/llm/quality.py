@@ -15,7 +15,8 @@ scored whole.
 Defined cases: NULL and blank text scores the share of good labels among the blank labelled texts,
 or 0 without any; NULL labels and NULL ids teach nothing; without labels of both classes
 every text scores the share of good ones (0.5 without labels); an id with several labels
-counts once per label; repeated rows and extra columns are kept by ``score``.
+counts once per label; repeated rows and extra columns are kept by ``score``, but
+for a column of that name.
 """
 
 from __future__ import annotations
@@ -135,13 +136,15 @@ def train(labelled: DataFrame) -> Model:
     if not found[0] or not found[1]:
         flat = float(np.log(share / (1 - share)))
         return Model(b"", b"", (flat, 0.0, 0.0, 0.0, 0.0, 0.0), blank)
-    # half of the texts build the dictionaries, the other half fits the curve
-    books = [_dictionary(found[label][::2]) for label in (1, 0)]
+    # either half of the texts is measured with dictionaries of the other
     x, y = [], []
-    for label in (0, 1):
-        for text in found[label][1::2] or found[label]:
-            x.append(measures(text, *books))
-            y.append(label)
+    for half in (0, 1):
+        books = [_dictionary(found[label][1 - half :: 2] or found[label]) for label in (1, 0)]
+        for label in (0, 1):
+            own = found[label][half::2]
+            x += [measures(text, *books) for text in own]
+            y += [label] * len(own)
+    books = [_dictionary(found[label]) for label in (1, 0)]
     weights = _fit(np.array(x), np.array(y, float))
     # the sample holds equal parts at most; the intercept takes the corpus's share
     weights[0] += np.log(good / bad) - np.log(max(sum(y), 1) / max(len(y) - sum(y), 1))
@@ -150,6 +153,7 @@ def train(labelled: DataFrame) -> Model:
 
 def score(documents: DataFrame, model: Model) -> DataFrame:
     """All columns of the documents and ``score``."""
+    documents = documents.drop("score")
     shared = documents.sparkSession.sparkContext.broadcast(model)
     at = documents.columns.index("text")
     schema = documents.withColumn("score", F.lit(0.0)).schema

@@ -23,6 +23,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from patronscope.llm.common import free
+
 #: The base patterns, and least lengths of what they match (fixed values).
 ASSIGN = (
     r"(?i:(password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
@@ -130,9 +132,10 @@ def is_secret(text: Column, allowed: Sequence[str] = ()) -> Column:
     return F.when(suppressed, F.lit(False)).otherwise(window_entropy(text) >= bound)
 
 
-def with_spans(documents: DataFrame, allowed: Sequence[str] = ()) -> DataFrame:
-    """Adds ``secret_spans``, an array of all spans by start and then kind."""
-    text = F.col("secret_text")
+def with_spans(documents: DataFrame, name: str, allowed: Sequence[str] = ()) -> DataFrame:
+    """Adds the column ``name``, an array of all spans by start and then kind."""
+    text_name, base_name, more_name = (free(documents, f"secret_{x}") for x in ("text", "base", "more"))
+    text = F.col(text_name)
     base = F.concat(
         _or_none(
             text.rlike(ASSIGN),
@@ -146,27 +149,19 @@ def with_spans(documents: DataFrame, allowed: Sequence[str] = ()) -> DataFrame:
     candidates = _or_none(can_add, _spans(text, CANDIDATE, 3, "entropy"))
 
     def adds(x: Column) -> Column:
-        free = ~F.exists("secret_base", lambda b: (b["start"] < x["end"]) & (b["end"] > x["start"]))
+        free = ~F.exists(base_name, lambda b: (b["start"] < x["end"]) & (b["end"] > x["start"]))
         # a substring from a column position counts code points from 1
         own = F.substring(text, (x["start"] + 1).cast("int"), (x["end"] - x["start"]).cast("int"))
         return free & is_secret(own, allowed)
 
+    more = F.col(more_name)
+    added = F.when(F.size(more) > 0, F.filter(more, adds)).otherwise(more)
     return (
-        documents.withColumn("secret_text", F.coalesce(F.col("text").cast("string"), F.lit("")))
-        .withColumn("secret_base", base)
-        .withColumn("secret_candidates", candidates)
-        .withColumn(
-            "secret_spans",
-            F.array_sort(
-                F.concat(
-                    "secret_base",
-                    F.when(F.size("secret_candidates") > 0, F.filter("secret_candidates", adds)).otherwise(
-                        F.col("secret_candidates")
-                    ),
-                )
-            ),
-        )
-        .drop("secret_text", "secret_base", "secret_candidates")
+        documents.withColumn(text_name, F.coalesce(F.col("text").cast("string"), F.lit("")))
+        .withColumn(base_name, base)
+        .withColumn(more_name, candidates)
+        .withColumn(name, F.array_sort(F.concat(base_name, added)))
+        .drop(text_name, base_name, more_name)
     )
 
 
@@ -180,8 +175,8 @@ def _joined(spans: Column) -> Column:
 
 def spans(documents: DataFrame, allowed: Sequence[str] = ()) -> DataFrame:
     """Per document: spans of each base kind, their digest, and all spans as text."""
-    found = with_spans(documents.select("doc_id", "text"), allowed)
-    s = F.col("secret_spans")
+    found = with_spans(documents.select("doc_id", "text"), "all", allowed)
+    s = F.col("all")
 
     def count(kind: str) -> Column:
         return F.size(F.filter(s, lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
@@ -199,7 +194,8 @@ def spans(documents: DataFrame, allowed: Sequence[str] = ()) -> DataFrame:
 
 def redact(documents: DataFrame, mark: str = "[SECRET]", allowed: Sequence[str] = ()) -> DataFrame:
     """The documents with each span (overlapping ones as one) replaced by ``mark``."""
-    found = with_spans(documents, allowed)
+    name = free(documents, "secret_spans")
+    found = with_spans(documents, name, allowed)
     text = F.col("text").cast("string")
 
     def step(acc: Column, s: Column) -> Column:
@@ -212,12 +208,12 @@ def redact(documents: DataFrame, mark: str = "[SECRET]", allowed: Sequence[str]
 
     start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
     rebuilt = F.aggregate(
-        "secret_spans",
+        name,
         start,
         step,
         lambda acc: F.concat(acc["out"], F.substring(text, (acc["at"] + 1).cast("int"), F.char_length(text))),
     )
-    result = found.withColumn("text", F.when(F.size("secret_spans") > 0, rebuilt).otherwise(text))
+    result = found.withColumn("text", F.when(F.size(name) > 0, rebuilt).otherwise(text))
     if "n_chars" in documents.columns:
         kind = documents.schema["n_chars"].dataType
         result = result.withColumn("n_chars", F.char_length("text").cast(kind))

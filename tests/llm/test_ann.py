@@ -50,7 +50,7 @@ def test_the_stopping_test_saves_work_in_few_dimensions():
         order = [i for i in np.argsort(-(vectors @ vectors[q]), kind="stable") if i != q][:20]
         hits += len({i for _, i in best} & set(order))
         looked += verified
-    assert hits >= 0.95 * 40 * 20 and looked < 0.5 * 40 * 8000
+    assert hits >= 0.95 * 40 * 20 and looked < 0.2 * 40 * 8000
 
 
 def test_ties_repeats_and_bad_vectors(spark, monkeypatch):
@@ -59,8 +59,8 @@ def test_ties_repeats_and_bad_vectors(spark, monkeypatch):
     same = random.standard_normal(5).tolist()
     good = [(i, same if i % 3 == 0 else random.standard_normal(5).tolist()) for i in range(400)]
     bad = [
-        (1000, None), (1020, [0.0] * 5), (1040, [1.0, None, 1, 1, 1]), (1060, [math.nan] * 5),
-        (1080, [math.inf, 0, 0, 0, 0]), (1100, [1.0, 2.0]), (1120, []), (None, same),
+        (1000, None), (1020, [0.0] * 5), (1040, [1.0, None, 1.0, 1.0, 1.0]), (1060, [math.nan] * 5),
+        (1080, [math.inf, 0.0, 0.0, 0.0, 0.0]), (1100, [1.0, 2.0]), (1120, []), (None, same),
     ]
     df = spark.createDataFrame([(*r, 1, "x") for r in good + bad], DDL)
     assert got(ann.nearest(df, F.col("vec_id") % 20 == 0, miss=1e-9)) == brute(good, 20, lambda i: i % 20 == 0)

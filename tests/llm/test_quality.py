@@ -24,7 +24,7 @@ def corpus():
 def test_scores_and_odd_rows(spark):
     rows = [*corpus(), (300, None, 1), (301, "  ", 0), (302, "x", None), (None, "y", 1)]
     model = quality.train(spark.createDataFrame(rows, "doc_id long, text string, quality int"))
-    texts = ["prose about people and towns", "$$$ NOW!!! ***", None, "", "word " * 60_000, "é"]
+    texts = ["prose about people and towns", "$$$ BUY!!! *** %%% NOW!!! $$$ ***", None, "", "word " * 60_000, "é"]
     docs = spark.createDataFrame([(i, t, 7.0) for i, t in enumerate([*texts, texts[0]])], "doc_id long, text string, n double")
     found = [r.score for r in quality.score(docs, model).orderBy("doc_id").collect()]
     assert found[0] > 0.7 > 0.3 > found[1] and found[0] == found[-1]

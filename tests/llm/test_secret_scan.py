@@ -95,11 +95,11 @@ def test_entropy_spans_and_allow_list(spark):
 
 
 def test_redaction_keeps_everything_else(spark):
-    ddl = "doc_id long, text string, spans string, n_chars long"
+    ddl = "doc_id long, text string, secret_text string, n_chars long"
     hexa = "0123456789abcdef01234567"
     docs = spark.createDataFrame([(1, f"é token={hexa} x {hexa}", "keep", 1), (2, None, None, None)], ddl)
     rows = {r.doc_id: r for r in secret_scan.redact(docs).collect()}
-    assert rows[1].text == "é [SECRET] x [SECRET]" and rows[1].spans == "keep"
+    assert rows[1].text == "é [SECRET] x [SECRET]" and rows[1].secret_text == "keep"
     assert rows[1].n_chars == len(rows[1].text) and rows[2].text is None
 
 
