@@ -1,11 +1,41 @@
-"""From raw documents to packed training sequences, one operator per stage."""
+"""From raw documents to packed training sequences, one operator per stage.
+
+Every stage takes all that its predecessor kept. The first four return the columns of
+``documents``; the last returns one row per piece of a sequence, with its token ids.
+
+* quality: documents that the compression classifier scores below 0.3 go.
+* near_dedup: of documents linked by a similarity of 0.8 or more on five-word shingles, the one with
+  the smallest id stays; rows that repeat its id go too. Rows without an id stay.
+* decontamination: spans that repeat benchmark items are cut out of the texts; a document
+  that consists of them for more than half goes.
+* secret_removal: secrets in the texts become a mark; every document stays.
+* packing: the rest is tokenized and packed.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+
+from patronscope.llm import decontam, neardup, packing, quality, secret_scan
+from patronscope.llm.common import free, stored, table
+
 
-from patronscope.llm.common import stored, table
-from patronscope.llm import decontam, secret_scan
+def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    model = quality.train(quality.labelled(docs, table(spark, sf_dir, "labels")))
+    return quality.score(docs, model).where(F.col("score") >= quality.ACCEPT).select(docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = neardup.near_duplicates(docs, width=5, similarity=0.8)
+    first = found.where("kept and doc_id is not null").select("doc_id")
+    # the join has brought rows of one id together already
+    same_id = W.partitionBy("doc_id").orderBy(F.xxhash64("text"))
+    name = free(docs, "row_no")
+    kept = docs.join(first, "doc_id", "left_semi").withColumn(name, F.row_number().over(same_id))
+    kept = kept.where(F.col(name) == 1).select(docs.columns)
+    return kept.unionByName(docs.where("doc_id is null"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -16,9 +46,19 @@ def secret_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return secret_scan.redact(docs)
 
 
-STAGES = [("decontamination", decontamination), ("secret_removal", secret_removal)]
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("quality", quality_filter),
+    ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
+    ("secret_removal", secret_removal),
+    ("packing", pack),
+]
 
-#: The classifier and the packing have no SQL form.
+#: SQL can express neither the classifier nor the packing; tests check each stage.
 ORACLE_SQL = None
 
 
