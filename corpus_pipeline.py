@@ -23,7 +23,7 @@ from patronscope.llm.common import free, stored, table
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    model = quality.train(quality.labelled(docs, table(spark, sf_dir, "labels")))
+    model = quality.train(docs, quality.learnable(table(spark, sf_dir, "labels")))
     return quality.score(docs, model).where(F.col("score") >= quality.ACCEPT).select(docs.columns)
 
 

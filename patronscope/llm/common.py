@@ -54,6 +54,17 @@ def crc32_mod(key: str, n: int) -> Column:
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % n
 
 
+def drawn(rows: DataFrame, key: Column, n: int, known: int) -> DataFrame:
+    """About ``n`` of ``known`` rows, ``2 n`` at most: those whose key has a small hash.
+
+    Every task passes on only its share, so a draw from a large table stays small.
+    """
+    bound = min(1.0, n / max(known, 1))
+    # a hash of the hash, as tables may be dealt by the hash itself
+    place = F.xxhash64(F.xxhash64(key), F.lit(17)).bitwiseAND((1 << 32) - 1)
+    return rows.where(place < int(bound * (1 << 32))).limit(2 * n)
+
+
 def texts(column: pa.Array) -> list[bytes | None]:
     """The UTF-8 bytes of each value, without decoding."""
     return column.cast(pa.binary()).to_pylist()

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from patronscope.llm.common import crc32_mod, texts
+from patronscope.llm.common import crc32_mod, drawn, texts
 
 SIZES = (1, 2, 3, 4)
 BUCKETS = 1 << 16
@@ -37,6 +37,8 @@ SAMPLE_TEXT_BYTES = 1 << 16
 #: Subwords of one training text, drawn from the whole text.
 TEXT_SUBWORDS = 400
 STEPS, RATE = 24_000, 0.5
+#: Subwords of the short texts that the calibration adds.
+SHORT = (6, 12, 25, 50)
 PRECISION = 0.99
 UNKNOWN = "und"
 #: Bytes that are no letters become spaces; what is above ASCII stays.
@@ -114,14 +116,20 @@ def fit(rows: list[tuple[str, str]], seed: int = 7) -> Model | None:
             # every subword has its share of the mean
             np.subtract.at(embedding, found, (rate / len(found)) * back)
     table = embedding @ layer
-    logits = np.array([table[samples[i][1]].mean(axis=0) + bias for i in checked])
-    truth = np.array([samples[i][0] for i in checked])
+    # whole texts, and short draws from them, of which the model must be less certain
+    rows, truth = [], []
+    for i in checked:
+        language, found = samples[i]
+        for few in (found, *(random.choice(found, size) for size in SHORT)):
+            rows.append(table[few].mean(axis=0) + bias)
+            truth.append(language)
+    logits, truth = np.array(rows), np.array(truth)
 
     def loss(t: float) -> float:
         p = _softmax(logits * t)
         return -float(np.log(p[np.arange(len(truth)), truth] + 1e-12).mean())
 
-    temperature = min(2.0 ** np.arange(-3, 7, 0.5), key=loss)
+    temperature = min(2.0 ** np.arange(-5, 5, 0.25), key=loss)
     p = _softmax(logits * temperature)
     right, score = p.argmax(axis=1) == truth, p.max(axis=1)
     least = 0.0
@@ -129,17 +137,16 @@ def fit(rows: list[tuple[str, str]], seed: int = 7) -> Model | None:
         least = float(bound)
         if right[score >= bound].mean() >= PRECISION:
             break
-    # the calibration part is small: certain ones bound the rest from above only
-    return Model(languages, table.astype(np.float32), bias, float(temperature), min(least, 0.5))
+    return Model(languages, table.astype(np.float32), bias, float(temperature), least)
 
 
 def train(documents: DataFrame) -> Model | None:
-    """Learns from ``text`` and ``lang`` of a bounded sample, the first by a hash of the text."""
+    """Learns from ``text`` and ``lang`` of a bounded sample, drawn by a hash of the text."""
     known = documents.select(
         F.lower(F.col("text").cast("string")).alias("text"), F.col("lang").cast("string").alias("lang")
     ).where(F.col("lang").isNotNull() & (F.octet_length("text") <= SAMPLE_TEXT_BYTES))
-    rows = known.orderBy(F.xxhash64("text"), "text", "lang").limit(SAMPLE_ROWS).collect()
-    return fit([(r.lang, r.text) for r in rows])
+    rows = drawn(known, F.col("text"), SAMPLE_ROWS, known.count()).collect()
+    return fit(sorted((r.lang, r.text) for r in rows))
 
 
 def predict(documents: DataFrame, model: Model | None) -> DataFrame:

@@ -8,11 +8,11 @@ it compresses by itself, over its own length, is measured the same way, because
 repeats itself fits either dictionary. A logistic curve over these two measures, fitted by
 Newton's method, turns them into a score between 0 and 1.
 
-The dictionaries and the curve learn from at most ``PER_CLASS`` labelled texts of either
-class, the first by a hash of the id, of which at most ``SAMPLE_BYTES`` are used; every text is then
+The dictionaries and the curve learn from about ``PER_CLASS`` labelled texts of either
+class, drawn by a hash of the id, of which at most ``SAMPLE_BYTES`` are used; every text is then
 scored whole.
 
-Defined cases: NULL and blank text scores the share of good labels among the blank labelled texts,
+Defined cases: NULL and blank text scores the share of good labels among the blank texts drawn,
 or 0 without any; NULL labels and NULL ids teach nothing; without labels of both classes
 every text scores the share of good ones (0.5 without labels); an id with several labels
 counts once per label; repeated rows and extra columns are kept by ``score``, but
@@ -21,6 +21,7 @@ for a column of that name.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -31,7 +32,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from patronscope.llm.common import crc32_mod, texts
+from patronscope.llm.common import crc32_mod, drawn, texts
 
 PER_CLASS = 4_000
 SAMPLE_BYTES = 12 << 20
@@ -107,30 +108,33 @@ def _dictionary(samples: list[bytes]) -> bytes:
     return b"\n".join(blocks[::step])[:DICTIONARY_BYTES]
 
 
-def train(labelled: DataFrame) -> Model:
-    """Learns from ``doc_id, text, quality``."""
-    rows = labelled.select(
-        F.col("doc_id").cast("string").alias("doc_id"),
-        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
-        F.col("quality").cast("int").alias("quality"),
-    ).where("doc_id is not null and quality in (0, 1)")
-    order = [F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")]
+def train(documents: DataFrame, labels: DataFrame) -> Model:
+    """Learns from ``doc_id, text`` of documents and ``doc_id, quality`` of labels.
+
+    The labels are drawn first; only the drawn ones meet the documents, as a broadcast table of
+    ``4 * PER_CLASS`` rows at most, so no text is shuffled.
+    """
+    known = labels.select("doc_id", F.col("quality").cast("int").alias("quality"))
+    known = known.where("doc_id is not null and quality in (0, 1)")
+    n = {r.quality: r["count"] for r in known.groupBy("quality").count().collect()}
+    good, bad = n.get(1, 0), n.get(0, 0)
+    some = [
+        drawn(known.where(F.col("quality") == label), F.col("doc_id"), PER_CLASS, n.get(label, 0))
+        for label in (0, 1)
+    ]
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    short = documents.select("doc_id", text.alias("text")).where(F.octet_length("text") <= SAMPLE_TEXT_BYTES)
+    rows = short.join(F.broadcast(some[0].unionByName(some[1])), "doc_id").collect()
     found: dict[int, list[bytes]] = {0: [], 1: []}
-    short = rows.where(F.octet_length("text") <= SAMPLE_TEXT_BYTES)
-    for label in found:
-        size = 0
-        for r in short.where(F.col("quality") == label).orderBy(*order).limit(PER_CLASS).collect():
-            text = r.text.encode()
-            size += len(text)
-            if size > SAMPLE_BYTES:
-                break
-            found[label].append(text)
+    size = {0: 0, 1: 0}
+    for r in sorted(rows, key=lambda r: (zlib.crc32(str(r.doc_id).encode()), r.doc_id, r.text)):
+        data = r.text.encode()
+        size[r.quality] += len(data)
+        if size[r.quality] <= SAMPLE_BYTES:
+            found[r.quality].append(data)
     share = (len(found[1]) + 0.5) / (len(found[0]) + len(found[1]) + 1)
-    counted = rows.groupBy("quality", (F.trim("text") == "").alias("blank")).count().collect()
-    n = {(r.quality, r.blank): r["count"] for r in counted}
-    good, bad = sum(v for k, v in n.items() if k[0] == 1), sum(v for k, v in n.items() if k[0] == 0)
-    empty = n.get((0, True), 0) + n.get((1, True), 0)
-    blank = n.get((1, True), 0) / empty if empty else 0.0
+    empty = [sum(not t.strip() for t in found[label]) for label in (0, 1)]
+    blank = empty[1] / sum(empty) if sum(empty) else 0.0
     for label in found:
         found[label] = [t for t in found[label] if t.strip()]
     if not found[0] or not found[1]:
@@ -178,7 +182,6 @@ def held_out() -> Column:
     return crc32_mod("doc_id", 5) == 0
 
 
-def labelled(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """The texts to learn from: labelled ones that are not held out."""
-    own = labels.select("doc_id", "quality").where(~held_out() & F.col("quality").isNotNull())
-    return documents.select("doc_id", "text").join(own, "doc_id")
+def learnable(labels: DataFrame) -> DataFrame:
+    """The labels of documents that are not held out."""
+    return labels.select("doc_id", "quality").where(~held_out())

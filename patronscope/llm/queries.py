@@ -47,7 +47,7 @@ def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    model = quality.train(quality.labelled(docs, table(spark, sf_dir, "labels")))
+    model = quality.train(docs, quality.learnable(table(spark, sf_dir, "labels")))
     found = quality.score(docs.select("doc_id", "text"), model)
     predicted = (F.col("score") >= quality.ACCEPT).cast("int")
     return found.select("doc_id", quality.held_out().alias("held_out"), "score", predicted.alias("predicted"))

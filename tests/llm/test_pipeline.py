@@ -28,7 +28,7 @@ def test_stages_in_turn(spark, sf):
 
     first = step("quality", docs)
     labels = spark.read.parquet(f"{sf}/labels.parquet")
-    scores = quality.score(docs, quality.train(quality.labelled(docs, labels)))
+    scores = quality.score(docs, quality.train(docs, quality.learnable(labels)))
     assert pairs(first) == pairs(scores.where("score >= 0.3")) and first.count() > 0.8 * docs.count()
 
     second = step("near_dedup", first)

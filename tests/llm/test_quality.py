@@ -23,7 +23,8 @@ def corpus():
 
 def test_scores_and_odd_rows(spark):
     rows = [*corpus(), (300, None, 1), (301, "  ", 0), (302, "x", None), (None, "y", 1)]
-    model = quality.train(spark.createDataFrame(rows, "doc_id long, text string, quality int"))
+    known = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    model = quality.train(known.drop("quality"), known.drop("text"))
     texts = ["prose about people and towns", "$$$ BUY!!! *** %%% NOW!!! $$$ ***", None, "", "word " * 60_000, "é"]
     docs = spark.createDataFrame([(i, t, 7.0) for i, t in enumerate([*texts, texts[0]])], "doc_id long, text string, n double")
     found = [r.score for r in quality.score(docs, model).orderBy("doc_id").collect()]
@@ -33,8 +34,10 @@ def test_scores_and_odd_rows(spark):
 
 def test_one_class_or_none(spark):
     ddl = "doc_id long, text string, quality int"
-    only_good = quality.train(spark.createDataFrame([(1, "a", 1), (2, "b", 1)], ddl))
-    nothing = quality.train(spark.createDataFrame([], ddl))
+    one_class = spark.createDataFrame([(1, "a", 1), (2, "b", 1)], ddl)
+    only_good = quality.train(one_class, one_class)
+    none = spark.createDataFrame([], ddl)
+    nothing = quality.train(none, none)
     docs = spark.createDataFrame([(1, "some text")], "doc_id long, text string")
     assert quality.score(docs, only_good).first().score > 0.7
     assert quality.score(docs, nothing).first().score == 0.5
