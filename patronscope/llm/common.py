@@ -30,10 +30,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Spark's setting that removes a query's shuffle files once the query has ended.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once to the shared folder and read back: the lineage ends there."""
-    path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
+    """``df`` written once to the shared folder and read back: the lineage ends there.
+
+    The table is complete when the write has ended, so its shuffle files go at once.
+    """
+    conf, path = df.sparkSession.conf, fresh_path(df.sparkSession, name)
+    before = conf.get(_CLEANUP, "false")
+    conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.set(_CLEANUP, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

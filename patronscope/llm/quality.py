@@ -34,8 +34,8 @@ from pyspark.sql import functions as F
 
 from patronscope.llm.common import crc32_mod, drawn, texts
 
-PER_CLASS = 4_000
-SAMPLE_BYTES = 12 << 20
+PER_CLASS = 2_500
+SAMPLE_BYTES = 8 << 20
 #: Longer texts are not drawn for the sample.
 SAMPLE_TEXT_BYTES = 1 << 16
 DICTIONARY_BYTES = 112 << 10
@@ -127,7 +127,9 @@ def train(documents: DataFrame, labels: DataFrame) -> Model:
     rows = short.join(F.broadcast(some[0].unionByName(some[1])), "doc_id").collect()
     found: dict[int, list[bytes]] = {0: [], 1: []}
     size = {0: 0, 1: 0}
-    for r in sorted(rows, key=lambda r: (zlib.crc32(str(r.doc_id).encode()), r.doc_id, r.text)):
+    rows.sort(key=lambda r: (zlib.crc32(str(r.doc_id).encode()), r.doc_id, r.text))
+    while rows:
+        r = rows.pop()
         data = r.text.encode()
         size[r.quality] += len(data)
         if size[r.quality] <= SAMPLE_BYTES:
