@@ -9,6 +9,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from patronscope import sources
+from patronscope.operators import purchases
 from patronscope.plans import jobs
 from patronscope.streaming import incremental_profile, profile_entries, stream_files
 
@@ -36,7 +37,11 @@ def _parser() -> argparse.ArgumentParser:
             command.add_argument("--seed", type=int, default=42)
         if name == "totals":
             command.add_argument("--state", required=True, help="folder of the stream's progress")
-            command.add_argument("--files-per-step", type=int, default=1)
+            command.add_argument("--files-per-step", type=int, help="all at once if absent")
+        if name == "profile":
+            command.add_argument("--drop-sparse", action="store_true", help="leave sparse columns out")
+        if name == "check-ids":
+            command.add_argument("--output", help="folder for the two tables; shown if absent")
         if name == "prompts":
             command.add_argument("--end-token", required=True)
             command.add_argument("--format", default="json")
@@ -59,19 +64,28 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         return
     users = sources.scan_users(spark, args.input, glob=args.glob)
     if args.job == "profile":
-        jobs.run_profile(users, args.output)
+        jobs.run_profile(users, args.output, drop_sparse=args.drop_sparse)
     elif args.job == "rfm":
         as_of = args.as_of or datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
         moment = F.lit(as_of).cast("timestamp")
         jobs.run_rfm(users, args.output, moment, k=args.k, seed=args.seed)
     elif args.job == "check-ids":
         checks = jobs.check_ids(users)
+        if args.output:
+            for name, table in checks.items():
+                sources.write_json(table, f"{args.output}/{name}")
         checks["unique_id_check"].show()
-        checks["duplicate_ids"].show(truncate=False)
+        if not args.output:
+            count = checks["duplicate_ids"].count()
+            checks["duplicate_ids"].show(truncate=False)
+            if count > 20:
+                print(f"20 of {count} repeated ids; --output writes them all")
     else:
         sources.describe_schema(users).show(len(users.columns), truncate=False)
         columns = ["last_login", "income", "login_history", "purchase_history"]
         sources.preview_columns(users, columns).show(truncate=False)
+        parsed = purchases.expand_purchase(users)
+        sources.preview_columns(parsed, parsed.columns).show(truncate=False)
 
 
 if __name__ == "__main__":

@@ -15,6 +15,7 @@ from patronscope.functions.documents import (
     login_document,
     purchase_document,
 )
+from patronscope.functions.money import total_money
 from patronscope.functions.recency import SECONDS_PER_MONTH, months_between_days, purchase_day
 
 __all__ = [
@@ -34,4 +35,5 @@ __all__ = [
     "purchase_day",
     "purchase_document",
     "squared_distance",
+    "total_money",
 ]

@@ -108,10 +108,14 @@ def fit_clusters(
     seed: int = 42,
     max_iter: int = 300,
     columns: Sequence[str] = RFM_COLUMNS,
+    tolerance: float = 1e-4,
+    starts: int = 1,
 ) -> ClusterModel | None:
     """Standardise and run k-means; ``None`` when there is nothing to cluster.
 
-    ``features`` is read many times: pass a checkpointed table. Clusters are numbered
+    ``features`` is read many times: pass a persisted table. The steps end when no
+    centre moves by more than ``tolerance``; of several random ``starts`` the one with the smallest
+    sum of squared distances counts. Clusters are numbered
     by ascending first column, then by descending second, so that the numbers do not
     depend on the random start.
     """
@@ -122,7 +126,11 @@ def fit_clusters(
     scales = tuple(stats[f"{name}_scale"] for name in columns)
     unordered = ClusterModel(tuple(columns), means, scales, ())
     vectors = _as_vectors(unordered.standardize(features), columns)
-    fitted = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="__vector").fit(vectors)
+    runs = [
+        KMeans(k=k, seed=seed + i, maxIter=max_iter, tol=tolerance, featuresCol="__vector").fit(vectors)
+        for i in range(starts)
+    ]
+    fitted = min(runs, key=lambda run: run.summary.trainingCost)
     centers = [tuple(float(x) for x in center) for center in fitted.clusterCenters()]
     ordered = sorted(centers, key=lambda c: (c[0], *(-x for x in c[1:2]), *c[2:]))
     return ClusterModel(tuple(columns), means, scales, tuple(ordered))
@@ -180,20 +188,23 @@ def distance_to_center(
 ) -> DataFrame:
     """Adds ``distance`` from each row to the mean of its own cluster.
 
-    ``k`` bounds the broadcast table of means. Should there be more labels than that,
-    some row finds no mean, and that is an error rather than a lost row.
+    The means of the clusters 0 to ``k - 1`` are one row of numbers, used as a scalar
+    subquery: nothing is joined. A label outside that range, or none, gives NULL.
     """
-    means = cluster_means(labelled, columns).limit(k)
-    centers = means.select("cluster", F.struct(*columns).alias("__center"))
-    joined = labelled.join(F.broadcast(centers), "cluster", "left")
-    distance = euclidean(
-        [F.col(name) for name in columns], [F.col(f"__center.{name}") for name in columns]
-    )
-    unknown = F.raise_error(F.lit(f"more than {k} cluster labels"))
-    return joined.select(
-        *labelled.columns,
-        F.when(F.col("__center").isNotNull(), distance).otherwise(unknown).alias("distance"),
+    means = labelled.agg(
+        *[
+            F.avg(F.when(F.col("cluster") == c, F.col(name))).alias(f"{name}_{c}")
+            for c in range(k)
+            for name in columns
+        ]
     )
+    one_row = means.select(F.struct(*means.columns)).scalar()
+    values = [F.col(name) for name in columns]
+    distance = F.lit(None).cast("double")
+    for c in range(k):
+        own = euclidean(values, [one_row[f"{name}_{c}"] for name in columns])
+        distance = F.when(F.col("cluster") == c, own).otherwise(distance)
+    return labelled.withColumn("distance", distance)
 
 
 def nearest_to_center(

@@ -1,8 +1,7 @@
-"""Cutting lineage so that a lost executor does not mean starting over."""
+"""Storing results in the folder that the whole cluster shares."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,19 +10,9 @@ _SETTING = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``.
-
-    Where it is unset, a local session (as in tests) uses a temporary folder of its
-    own; on a cluster that is an error, because executors do not share local disks.
-    """
+    """The folder named by ``spark.checkpoint.dir``, or one in the warehouse where it is unset."""
     folder = spark.conf.get(_SETTING, None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {_SETTING} to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="patronscope-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/patronscope-work"
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

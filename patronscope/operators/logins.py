@@ -45,7 +45,9 @@ def with_login_period(logins: DataFrame) -> DataFrame:
 
 def login_period_dist(users: DataFrame) -> DataFrame:
     """Logins per six-hour period."""
-    return count_bins(with_login_period(login_times(users)), {"period": PERIOD_LABELS})
+    # a login without a time has no period
+    times = with_login_period(login_times(users))
+    return count_bins(times, {"period": PERIOD_LABELS}, ignore_others=True)
 
 
 def login_by_age_period(users: DataFrame) -> DataFrame:
@@ -54,6 +56,7 @@ def login_by_age_period(users: DataFrame) -> DataFrame:
     return count_bins(
         with_login_period(login_times(aged, "age_group")),
         {"age_group": AGE_LABELS, "period": PERIOD_LABELS},
+        ignore_others=True,
     )
 
 

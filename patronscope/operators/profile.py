@@ -9,7 +9,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from patronscope.functions import AGE_LABELS, age_group, has_document, purchase_document
+from patronscope.functions import (
+    AGE_LABELS,
+    age_group,
+    has_document,
+    purchase_document,
+    total_money,
+)
 from patronscope.operators.binned import count_bins
 from patronscope.operators.quality import percent
 
@@ -95,21 +101,27 @@ def total_spent(users: DataFrame) -> DataFrame:
 
 
 def _spent() -> Column:
-    price = purchase_document(F.col("purchase_history"), "avg_price")["avg_price"]
-    return F.coalesce(F.sum(price), F.lit(0.0))
+    return total_money(purchase_document(F.col("purchase_history"), "avg_price")["avg_price"])
 
 
-def profile_summary(users: DataFrame) -> DataFrame:
+def profile_summary(users: DataFrame, purchases: DataFrame | None = None) -> DataFrame:
     """One row of key figures.
 
-    ``spent_per_user`` divides by all users, ``spent_per_active_user`` by the active ones.
+    ``spent_per_user`` divides by all users, ``spent_per_active_user`` by the active ones. Where
+    purchases are kept apart from the users, ``purchases`` has them, with the ``id`` and
+    ``is_active`` of their users; then ``users`` is only counted.
     """
     active = F.col("is_active") & has_document(F.col("purchase_history"))
-    figures = users.agg(
-        F.count("*").alias("total_users"),
+    counted = F.count("*").alias("total_users")
+    bought = [
         F.count_distinct(F.when(active, F.col("id"))).alias("total_active_users"),
         _spent().alias("total_spent"),
-    )
+    ]
+    if purchases is None:
+        figures = users.agg(counted, *bought)
+    else:
+        total = users.agg(counted).scalar()
+        figures = purchases.agg(*bought).select(total.alias("total_users"), "*")
     return figures.select(
         "*",
         F.try_divide("total_active_users", "total_users").alias("active_fraction"),

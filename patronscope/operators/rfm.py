@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from patronscope.functions import months_between_days
+from patronscope.functions import months_between_days, total_money
 from patronscope.operators.purchases import dated_records
 
 RFM_COLUMNS = ("recency", "frequency", "monetary")
@@ -17,7 +17,7 @@ def rfm_merge_users(records: DataFrame) -> DataFrame:
     """Last purchase day, summed frequency and summed spending of each user.
 
     NULLs are skipped; a user without any price has spent 0, a user without any
-    readable date has a NULL ``last_purchase``. The sums are combined per partition
+    readable date has a NULL ``last_purchase``. Money is summed as a decimal. The sums are combined per partition
     before the shuffle, so a user with very many records is no hot spot.
     """
     return dated_records(records).groupBy("user_id").agg(*_merged_columns())
@@ -27,7 +27,7 @@ def _merged_columns() -> list[Column]:
     return [
         F.max("purchase_day").alias("last_purchase"),
         F.coalesce(F.sum("frequency"), F.lit(0)).alias("frequency"),
-        F.coalesce(F.sum("monetary"), F.lit(0.0)).alias("monetary"),
+        total_money(F.col("monetary")).alias("monetary"),
     ]
 
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,13 +24,14 @@ from patronscope.operators import (
     rfm,
     segments,
 )
-from patronscope.operators.durable import checkpointed
 from patronscope.sources import star_tables
 
 AS_OF = "2001-08-02 00:00:00"
 END_TOKEN = "<EOS>"
 # Start centres in standardised units: recency, frequency, monetary.
 CENTROIDS = ((-0.34, 0.98, 0.97), (1.83, -0.84, -0.81), (-0.32, -0.53, -0.53))
+# Fewer than the members of each cluster, so that the checks see the cut.
+NEAREST = 100
 SEGMENT_RULE = segments.SegmentRule(yearly_purchases=3)
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,7 +65,9 @@ def _as_of():
 
 
 def _customer_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sources.scan_part_files(spark, sf_dir, star_tables.SCHEMAS["customer"], glob="customer*")
+    """The customers, kept as one file or as a folder of part files."""
+    path = f"{sf_dir}/customer.parquet*"
+    return sources.scan_part_files(spark, path, star_tables.SCHEMAS["customer"], glob=None)
 
 
 @_query
@@ -83,13 +87,18 @@ def scan_part_glob(spark, sf_dir):
 
 @_query
 def rows_per_file(spark, sf_dir):
-    return sources.rows_per_file(_customer_files(spark, sf_dir))
+    return sources.rows_per_file(_customer_files(spark, sf_dir), sources.input_name())
 
 
 @_query
 def preview_columns(spark, sf_dir):
-    users = star_tables.with_login_history(star_tables.people(spark, sf_dir), spark, sf_dir)
-    return sources.preview_columns(users, ["last_login", "income", "login_history"])
+    document = functions.purchase_document(
+        F.col("purchase_history"), "avg_price", "payment_method", "purchase_date"
+    )
+    users = star_tables.users(spark, sf_dir).withColumn("purchase_data", document)
+    users = users.select("*", "purchase_data.*")
+    shown = ["last_login", "income", "login_history", "avg_price", "payment_method", "purchase_date"]
+    return sources.preview_columns(users, shown, rows=40)
 
 
 # Quality ------------------------------------------------------------------------
@@ -168,7 +177,7 @@ def country_share(spark, sf_dir):
 @_query
 def per_file_country_topk(spark, sf_dir):
     scanned = _customer_files(spark, sf_dir).select(
-        "c_nationkey", F.col("_metadata.file_name").alias("file_name")
+        "c_nationkey", sources.input_name().alias("file_name")
     )
     nation = star_tables.table(spark, sf_dir, "nation")
     by_country = scanned.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
@@ -177,23 +186,21 @@ def per_file_country_topk(spark, sf_dir):
     return profile.country_top_per_file(by_country, "file_name")
 
 
-def _users_with_purchase(spark, sf_dir):
-    return star_tables.with_purchase_history(star_tables.people(spark, sf_dir), spark, sf_dir)
-
-
 @_query
 def active_users(spark, sf_dir):
-    return profile.active_users(_users_with_purchase(spark, sf_dir))
+    return profile.active_users(star_tables.buyers(spark, sf_dir))
 
 
 @_query
 def total_spent(spark, sf_dir):
-    return _rounded(profile.total_spent(_users_with_purchase(spark, sf_dir)), 2, "total_spent")
+    return _rounded(profile.total_spent(star_tables.buyers(spark, sf_dir)), 2, "total_spent")
 
 
 @_query
 def profile_summary(spark, sf_dir):
-    summary = profile.profile_summary(_users_with_purchase(spark, sf_dir))
+    summary = profile.profile_summary(
+        star_tables.people(spark, sf_dir), star_tables.buyers(spark, sf_dir)
+    )
     ratios = ("active_fraction", "spent_per_user", "spent_per_active_user")
     return _rounded(_rounded(summary, 2, "total_spent"), 4, *ratios)
 
@@ -245,12 +252,12 @@ def login_by_age_period(spark, sf_dir):
 
 @_query
 def zero_filled_bins(spark, sf_dir):
-    """Order priorities by status, with two labels that no order has."""
+    """Order priorities by status, with labels that no order has and one for all the rest."""
     orders = star_tables.table(spark, sf_dir, "orders").select(
         F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("priority")
     )
     bins = {"status": ["F", "O", "P", "X"], "priority": ["1-URGENT", "2-HIGH", "9-NONE"]}
-    return binned.count_bins(orders, bins)
+    return binned.count_bins(orders, bins, others="other")
 
 
 @_query
@@ -263,7 +270,7 @@ def login_heatmap(spark, sf_dir):
 
 @_query
 def parse_purchase(spark, sf_dir):
-    parsed = purchases.parse_purchase(_users_with_purchase(spark, sf_dir))
+    parsed = purchases.parse_purchase(star_tables.purchases(spark, sf_dir))
     return parsed.select(
         "id",
         "purchase_data.avg_price",
@@ -392,30 +399,33 @@ def distance_to_center(spark, sf_dir):
 
 @_query
 def nearest_to_center(spark, sf_dir):
-    nearest = clusters.nearest_to_center(_labelled(spark, sf_dir), k=len(CENTROIDS))
+    nearest = clusters.nearest_to_center(_labelled(spark, sf_dir), len(CENTROIDS), NEAREST)
     return _rounded(nearest, 2, "distance").select("cluster", "rank", "user_id", "distance")
 
 
 @_query
 def cluster_scatter(spark, sf_dir):
-    points = clusters.cluster_scatter(_labelled(spark, sf_dir), k=len(CENTROIDS))
+    points = clusters.cluster_scatter(_labelled(spark, sf_dir), len(CENTROIDS), NEAREST)
     return _rounded(_rounded(points, 4, "recency"), 2, "monetary")
 
 
 def _fitted(spark, sf_dir):
-    features = checkpointed(_features(spark, sf_dir))
-    return features, clusters.fit_clusters(features)
+    """The features, held for the many passes, and the fitted centres."""
+    features = _features(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+    return features, clusters.fit_clusters(features, tolerance=1e-12, starts=6)
 
 
 @_query
 def rfm_clusters(spark, sf_dir):
     features, model = _fitted(spark, sf_dir)
-    return clusters.rfm_clusters(features, model=model)
+    labelled = clusters.rfm_clusters(features, model=model)
+    return _rounded(_rounded(labelled, 4, "recency"), 2, "monetary")
 
 
 @_query
 def cluster_centers(spark, sf_dir):
-    return clusters.cluster_centers(*_fitted(spark, sf_dir))
+    centers = clusters.cluster_centers(*_fitted(spark, sf_dir))
+    return _rounded(_rounded(centers, 4, "recency", "frequency"), 2, "monetary")
 
 
 @_query
@@ -426,7 +436,7 @@ def cluster_results(spark, sf_dir):
 
 @_query
 def rfm_silhouette(spark, sf_dir):
-    return clusters.silhouette(*_fitted(spark, sf_dir))
+    return _rounded(clusters.silhouette(*_fitted(spark, sf_dir)), 6, "silhouette")
 
 
 # Segments -----------------------------------------------------------------------
@@ -460,6 +470,11 @@ def instructions_scan(spark, sf_dir):
     return examples.select("instruction", "input", "output")
 
 
+@_query
+def conversation_prompts(spark, sf_dir):
+    return star_tables.instruction_examples(spark, sf_dir)
+
+
 @_query
 def prompt_format(spark, sf_dir):
     examples = star_tables.instruction_examples(spark, sf_dir)
@@ -477,10 +492,23 @@ def prompt_format_inference(spark, sf_dir):
 
 @_query
 def incremental_profile(spark, sf_dir):
-    arriving = streaming.stream_files(spark, sf_dir, star_tables.SCHEMAS["customer"], glob="customer*")
-    users = arriving.select(
-        *star_tables.person_columns(
-            F.col("c_custkey"), F.col("c_mktsegment"), F.col("c_acctbal")
-        )
+    """Running totals over customers that arrive, with their logins and purchases."""
+
+    def arriving() -> DataFrame:
+        path = f"{sf_dir}/customer.parquet*"
+        return streaming.stream_files(spark, path, star_tables.SCHEMAS["customer"], glob=None)
+
+    person = star_tables.person_columns(F.col("c_custkey"), F.col("c_mktsegment"), F.col("c_acctbal"))
+    nation = star_tables.table(spark, sf_dir, "nation")
+    users = arriving().join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    users = users.select(*person, F.col("n_name").alias("country"))
+    people = arriving().select(*person)
+    logins_of = star_tables.login_records(spark, sf_dir).withColumnRenamed("user_id", "id")
+    purchases_of = star_tables.purchases(spark, sf_dir)
+    entries = (
+        streaming.user_entries(users)
+        .unionByName(streaming.login_entries(people.join(logins_of, "id")))
+        .unionByName(streaming.purchase_entries(people.join(purchases_of, "id")))
     )
-    return streaming.incremental_profile(streaming.profile_entries(users))
+    totals = streaming.incremental_profile(entries)
+    return _rounded(totals.withColumn("amount", F.col("amount").cast("double")), 2, "amount")

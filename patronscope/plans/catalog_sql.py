@@ -6,8 +6,8 @@ Money is summed as ``decimal(18,2)``, so that the order of addition does not sho
 from __future__ import annotations
 
 from patronscope.operators import prompts
-from patronscope.plans.catalog import AS_OF, CENTROIDS, END_TOKEN, SEGMENT_RULE
-from patronscope.sources.star_tables import EVENTS_PER_RECORD
+from patronscope.plans.catalog import AS_OF, CENTROIDS, END_TOKEN, NEAREST, SEGMENT_RULE
+from patronscope.sources.star_tables import EVENTS_PER_RECORD, ITEMS_PER_RECORD
 
 _PERSON = """
     c_custkey AS id,
@@ -22,8 +22,10 @@ _AGE_GROUP = """CASE WHEN age < 18 THEN '<18' WHEN age < 25 THEN '18-25' WHEN ag
 _PERIOD = """CASE WHEN hour(ts) < 6 THEN '0-6clock' WHEN hour(ts) < 12 THEN '6-12clock'
     WHEN hour(ts) < 18 THEN '12-18clock' ELSE '18-24clock' END"""
 
-_ORDER_JSON = """'{"avg_price":' || CAST(o_totalprice AS VARCHAR)
-    || ',"items":[],"purchase_date":"' || strftime(o_orderdate, '%Y-%m-%d') || '"}'"""
+_ORDER_JSON = """'{' || coalesce('"avg_price":' || CAST(price AS VARCHAR) || ',', '')
+    || '"items":[' || array_to_string(list_transform(items, lambda x: '{"id":' || x || '}'), ',')
+    || '],"payment_method":"' || o_orderpriority || '","payment_status":"' || o_orderstatus
+    || '","purchase_date":"' || strftime(o_orderdate, '%Y-%m-%d') || '"}'"""
 
 _RECORD_NO = f"event_id // {EVENTS_PER_RECORD}"
 
@@ -32,23 +34,35 @@ _CTES = {
     "people": f"SELECT {_PERSON} FROM customer",
     "people_country": f"""SELECT {_PERSON}, n_name AS country
         FROM customer JOIN nation ON c_nationkey = n_nationkey""",
-    "first_orders": """SELECT o_custkey, arg_min(o_totalprice, o_orderkey) AS o_totalprice,
-            arg_min(o_orderdate, o_orderkey) AS o_orderdate
-        FROM orders GROUP BY o_custkey""",
-    "buyers": f"""SELECT p.*, o_totalprice, o_orderdate,
-            o_totalprice IS NOT NULL AS has_purchase, {_ORDER_JSON} AS purchase_history
-        FROM people_country p LEFT JOIN first_orders ON id = o_custkey AND id % 13 <> 0""",
+    "documents": f"""SELECT o_orderkey, o_custkey, o_orderdate, o_orderpriority, o_orderstatus, part,
+            max(price) AS price, coalesce(list(l_partkey ORDER BY l_partkey)
+                FILTER (WHERE l_partkey IS NOT NULL), []) AS items
+        FROM (SELECT o_orderkey, o_custkey, o_orderdate, o_orderpriority, o_orderstatus, 0 AS part,
+                o_totalprice AS price, NULL AS l_partkey FROM orders
+            UNION ALL
+            SELECT o_orderkey, o_custkey, o_orderdate, o_orderpriority, o_orderstatus,
+                (l_partkey + l_suppkey + l_linenumber)
+                    % ((count(*) OVER (PARTITION BY l_orderkey) + {ITEMS_PER_RECORD - 1}) // {ITEMS_PER_RECORD}),
+                NULL, l_partkey
+            FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+        GROUP BY ALL""",
+    "buyers": f"""SELECT p.*, d.*, {_ORDER_JSON} AS purchase_history
+        FROM people_country p JOIN documents d ON id = o_custkey""",
     "login_records": f"""SELECT user_id, {_RECORD_NO} AS record_no, count(*) AS n,
-            min(ts) AS first_ts, max(ts) AS last_ts, '{{"login_count":' || count(*)
+            min(ts) AS first_ts, max(ts) AS last_ts, '{{"devices":['
+            || string_agg(DISTINCT '"' || event_type || '"', ',' ORDER BY '"' || event_type || '"')
+            || '],"first_login":"' || strftime(min(ts), '%Y-%m-%d %H:%M:%S')
+            || '","login_count":' || count(*)
             || ',"timestamps":[' || string_agg('"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%g')
             || 'Z"', ',' ORDER BY ts) || ']}}' AS login_history
         FROM events GROUP BY user_id, {_RECORD_NO}""",
-    "first_logins": """SELECT user_id, max(last_ts) AS last_ts,
-            arg_min(login_history, record_no) AS login_history
-        FROM login_records GROUP BY user_id""",
-    "users": """SELECT b.id, gender, age, income, is_active, country,
-            strftime(last_ts, '%Y-%m-%d %H:%M:%S') AS last_login, login_history, purchase_history
-        FROM buyers b LEFT JOIN first_logins l ON b.id = l.user_id""",
+    "user_records": """SELECT user_id, strftime(last_ts, '%Y-%m-%d %H:%M:%S') AS last_login, login_history,
+            NULL AS purchase_history, NULL AS price, NULL AS o_orderpriority, NULL AS o_orderdate
+            FROM login_records
+        UNION ALL SELECT id, NULL, NULL, purchase_history, price, o_orderpriority, o_orderdate FROM buyers""",
+    "users": """SELECT id, gender, age, income, is_active, country, last_login, login_history,
+            purchase_history, price, o_orderpriority, o_orderdate
+        FROM people_country LEFT JOIN user_records ON id = user_id""",
     "missing": """SELECT unnest(['id', 'gender', 'age', 'income', 'is_active', 'country',
                 'last_login', 'login_history', 'purchase_history']) AS column_name,
             unnest([count(*) - count(id), count(*) - count(gender), count(*) - count(age),
@@ -73,11 +87,9 @@ _CTES = {
         FROM age_bins b CROSS JOIN periods p LEFT JOIN user_logins l
             ON l.age_group = b.age_group AND l.period = p.period
         GROUP BY b.age_group, p.period""",
-    "records": """SELECT o_custkey AS user_id, o_orderdate, CAST(0 AS BIGINT) AS frequency,
-            o_totalprice AS monetary
-        FROM orders
-        UNION ALL
-        SELECT o_custkey, o_orderdate, 1, NULL FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
+    "records": """SELECT o_custkey AS user_id, o_orderdate, CAST(len(items) AS BIGINT) AS frequency,
+            price AS monetary
+        FROM documents""",
     "merged": """SELECT user_id, max(o_orderdate) AS last_ts, CAST(sum(frequency) AS BIGINT) AS frequency,
             coalesce(CAST(sum(CAST(monetary AS DECIMAL(18,2))) AS DOUBLE), 0) AS monetary
         FROM records GROUP BY user_id""",
@@ -113,7 +125,7 @@ _CTES = {
         FROM labelled l JOIN means USING (cluster)""",
     "nearest": """SELECT * FROM (SELECT *, CAST(row_number() OVER
             (PARTITION BY cluster ORDER BY distance, user_id) AS INTEGER) AS rank FROM distances)
-        WHERE rank <= 1000""",
+        WHERE rank <= {}""".format(NEAREST),
     "segment_base": f"""SELECT user_id,
             (epoch(TIMESTAMP '{AS_OF}') - epoch(max(o_orderdate))) / (30.44::DOUBLE * 86400)
                 AS recency,
@@ -131,13 +143,15 @@ _CTES = {
             coalesce(s.text, '') AS input, t.next_text AS output
         FROM (SELECT *, lead(role) OVER w AS next_role, lead(text) OVER w AS next_text
             FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)) t
-        LEFT JOIN conversations s ON s.conv_id = t.conv_id AND s.role = 'system'
+        LEFT JOIN (SELECT conv_id, arg_min(text, turn) AS text FROM conversations
+            WHERE role = 'system' GROUP BY conv_id) s ON s.conv_id = t.conv_id
         WHERE t.role = 'user' AND t.next_role = 'assistant'""",
 }
 _NEEDS = {
-    "buyers": ["people_country", "first_orders"],
-    "first_logins": ["login_records"],
-    "users": ["buyers", "first_logins"],
+    "buyers": ["people_country", "documents"],
+    "user_records": ["login_records", "buyers"],
+    "users": ["people_country", "user_records"],
+    "records": ["documents"],
     "missing": ["users"],
     "ages": ["age_bins", "people"],
     "countries": ["people_country"],
@@ -156,6 +170,52 @@ _NEEDS = {
 }
 
 
+_STEPS = 15
+
+
+def _add_fit() -> None:
+    """Lloyd steps from the start centres, numbered at the end as the fitted clusters are."""
+    values = ", ".join(
+        f"({i}, {r}::DOUBLE, {f}::DOUBLE, {m}::DOUBLE)" for i, (r, f, m) in enumerate(CENTROIDS)
+    )
+    _CTES["c0"] = f"SELECT * FROM (VALUES {values}) AS c(cluster, r, f, m)"
+    near = """SELECT s.*, c.cluster, pow(s.recency - c.r, 2) + pow(s.frequency - c.f, 2)
+            + pow(s.monetary - c.m, 2) AS d FROM scaled s CROSS JOIN {} c"""
+    for i in range(1, _STEPS + 1):
+        before = f"c{i - 1}"
+        _CTES[f"c{i}"] = f"""SELECT c.cluster, coalesce(avg(a.recency), any_value(c.r)) AS r,
+                coalesce(avg(a.frequency), any_value(c.f)) AS f,
+                coalesce(avg(a.monetary), any_value(c.m)) AS m
+            FROM {before} c LEFT JOIN (SELECT user_id, any_value(recency) AS recency,
+                any_value(frequency) AS frequency, any_value(monetary) AS monetary,
+                arg_min(cluster, d) AS cluster FROM ({near.format(before)}) GROUP BY user_id) a
+                ON a.cluster = c.cluster GROUP BY c.cluster"""
+        _NEEDS[f"c{i}"] = ["scaled", before]
+    _CTES["centers"] = f"""SELECT CAST(row_number() OVER (ORDER BY r, f DESC, m) - 1 AS INTEGER)
+        AS cluster, r, f, m FROM c{_STEPS}"""
+    _CTES["fitted"] = f"""SELECT user_id, any_value(recency) AS recency,
+            any_value(frequency) AS frequency, any_value(monetary) AS monetary,
+            arg_min(cluster, d) AS cluster FROM ({near.format("centers")}) GROUP BY user_id"""
+    # sums of squared distances from a point to a cluster, from the cluster's sums alone
+    _CTES["sums"] = """SELECT cluster, count(*) AS n, sum(recency) AS r, sum(frequency) AS f,
+            sum(monetary) AS m, sum(pow(recency, 2) + pow(frequency, 2) + pow(monetary, 2)) AS sq
+        FROM fitted GROUP BY cluster"""
+    _CTES["apart"] = """SELECT p.user_id, p.cluster = s.cluster AS own, s.n,
+            s.n * (pow(p.recency, 2) + pow(p.frequency, 2) + pow(p.monetary, 2)) + s.sq
+            - 2 * (p.recency * s.r + p.frequency * s.f + p.monetary * s.m) AS total
+        FROM fitted p CROSS JOIN sums s"""
+    _CTES["widths"] = """SELECT user_id, max(n) FILTER (WHERE own) AS n,
+            max(total) FILTER (WHERE own) / greatest(max(n) FILTER (WHERE own) - 1, 1) AS a,
+            min(total / n) FILTER (WHERE NOT own) AS b
+        FROM apart GROUP BY user_id"""
+    _NEEDS.update(
+        centers=[f"c{_STEPS}"], fitted=["centers"], sums=["fitted"], apart=["sums"], widths=["apart"]
+    )
+
+
+_add_fit()
+
+
 def _with(name: str, select: str) -> str:
     """``select`` behind the common table expression ``name`` and all it needs."""
     ordered: list[str] = []
@@ -168,7 +228,7 @@ def _with(name: str, select: str) -> str:
 
     for wanted in name.split():
         add(wanted)
-    ctes = ",\n".join(f"{cte} AS ({_CTES[cte]})" for cte in ordered)
+    ctes = ",\n".join(f"{cte} AS MATERIALIZED ({_CTES[cte]})" for cte in ordered)
     return f"WITH {ctes}\n{select}"
 
 
@@ -196,7 +256,11 @@ def oracle_sql() -> dict[str, str]:
         "rows_per_file": "SELECT 'customer.parquet' AS file_name, count(*) AS row_count FROM customer",
         "preview_columns": _with(
             "users",
-            "SELECT id, last_login, income, login_history FROM users ORDER BY id LIMIT 5",
+            """SELECT id, last_login, income, login_history, price AS avg_price,
+                o_orderpriority AS payment_method, strftime(o_orderdate, '%Y-%m-%d') AS purchase_date
+            FROM users ORDER BY id NULLS FIRST, last_login NULLS FIRST, income NULLS FIRST,
+                login_history NULLS FIRST, price NULLS FIRST, o_orderpriority NULLS FIRST,
+                o_orderdate NULLS FIRST LIMIT 40""",
         ),
         "missing_counts": _with("missing", "SELECT * FROM missing"),
         "missing_percent": _with(
@@ -242,10 +306,10 @@ def oracle_sql() -> dict[str, str]:
                 CAST(row_number() OVER (ORDER BY cnt DESC, country) AS INTEGER) AS rank
             FROM countries""",
         ),
-        "active_users": _with("buyers", "SELECT id FROM buyers WHERE is_active AND has_purchase"),
+        "active_users": _with("buyers", "SELECT DISTINCT id FROM buyers WHERE is_active"),
         "total_spent": _with(
             "buyers",
-            """SELECT CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total_spent
+            """SELECT CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE) AS total_spent
             FROM buyers""",
         ),
         "profile_summary": _with(
@@ -253,17 +317,16 @@ def oracle_sql() -> dict[str, str]:
             """SELECT *, round(total_active_users / total_users, 4) AS active_fraction,
                 round(total_spent / total_users, 4) AS spent_per_user,
                 round(total_spent / total_active_users, 4) AS spent_per_active_user
-            FROM (SELECT count(*) AS total_users,
-                count(DISTINCT CASE WHEN is_active AND has_purchase THEN id END)
-                    AS total_active_users,
-                CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total_spent
+            FROM (SELECT (SELECT count(*) FROM customer) AS total_users,
+                count(DISTINCT CASE WHEN is_active THEN id END) AS total_active_users,
+                CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE) AS total_spent
                 FROM buyers)""",
         ),
         "parse_login": _with(
             "people login_records",
             """SELECT id, n AS login_count, n AS timestamp_count,
                 strftime(first_ts, '%Y-%m-%d %H:%M:%S') AS first_timestamp,
-                CAST(NULL AS VARCHAR) AS first_login
+                strftime(first_ts, '%Y-%m-%d %H:%M:%S') AS first_login
             FROM login_records JOIN people ON user_id = id""",
         ),
         "login_times": _with(
@@ -282,9 +345,12 @@ def oracle_sql() -> dict[str, str]:
         ),
         "login_by_age_period": _with("login_cells", "SELECT age_group, period, cnt FROM login_cells"),
         "zero_filled_bins": """SELECT status, priority, count(o_orderkey) AS cnt
-            FROM (SELECT unnest(['F', 'O', 'P', 'X']) AS status)
-                CROSS JOIN (SELECT unnest(['1-URGENT', '2-HIGH', '9-NONE']) AS priority)
-                LEFT JOIN orders ON o_orderstatus = status AND o_orderpriority = priority
+            FROM (SELECT unnest(['F', 'O', 'P', 'X', 'other']) AS status)
+                CROSS JOIN (SELECT unnest(['1-URGENT', '2-HIGH', '9-NONE', 'other']) AS priority)
+                LEFT JOIN (SELECT o_orderkey,
+                    CASE WHEN o_orderstatus IN ('F', 'O', 'P', 'X') THEN o_orderstatus ELSE 'other' END AS s,
+                    CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH', '9-NONE') THEN o_orderpriority
+                        ELSE 'other' END AS p FROM orders) ON s = status AND p = priority
             GROUP BY status, priority""",
         "login_heatmap": _with(
             "login_cells",
@@ -296,20 +362,18 @@ def oracle_sql() -> dict[str, str]:
             + " FROM login_cells GROUP BY age_group",
         ),
         "parse_purchase": _with(
-            "buyers",
-            """SELECT id, o_totalprice AS avg_price, CAST(0 AS BIGINT) AS item_count,
-                strftime(o_orderdate, '%Y-%m-%d') AS purchase_date,
-                CAST(NULL AS VARCHAR) AS payment_method
-            FROM buyers WHERE has_purchase""",
-        ),
-        "expand_purchase": """SELECT id, avg_price, CAST(NULL AS VARCHAR) AS categories,
-                CAST(NULL AS VARCHAR) AS payment_method, CAST(NULL AS VARCHAR) AS payment_status,
-                strftime(o_orderdate, '%Y-%m-%d') AS purchase_date, first_item
-            FROM (SELECT o_custkey AS id, o_totalprice AS avg_price, o_orderdate,
-                    CAST(NULL AS BIGINT) AS first_item FROM orders
-                UNION ALL
-                SELECT o_custkey, NULL, o_orderdate, l_partkey
-                FROM lineitem JOIN orders ON l_orderkey = o_orderkey)""",
+            "documents",
+            """SELECT o_custkey AS id, price AS avg_price, CAST(len(items) AS BIGINT) AS item_count,
+                strftime(o_orderdate, '%Y-%m-%d') AS purchase_date, o_orderpriority AS payment_method
+            FROM documents""",
+        ),
+        "expand_purchase": _with(
+            "documents",
+            """SELECT o_custkey AS id, price AS avg_price, CAST(NULL AS VARCHAR) AS categories,
+                o_orderpriority AS payment_method, o_orderstatus AS payment_status,
+                strftime(o_orderdate, '%Y-%m-%d') AS purchase_date, items[1] AS first_item
+            FROM documents""",
+        ),
         "purchase_records": _with(
             "records",
             """SELECT user_id, strftime(o_orderdate, '%Y-%m-%d') AS purchase_time, frequency,
@@ -385,6 +449,23 @@ def oracle_sql() -> dict[str, str]:
             "nearest",
             "SELECT round(recency, 4) AS recency, frequency, monetary, cluster FROM nearest",
         ),
+        "rfm_clusters": _with(
+            "features fitted",
+            """SELECT f.user_id, round(f.recency, 4) AS recency, f.frequency, f.monetary, c.cluster
+            FROM features f JOIN fitted c USING (user_id)""",
+        ),
+        "cluster_results": _with("fitted", "SELECT user_id, cluster FROM fitted"),
+        "cluster_centers": _with(
+            "features fitted",
+            """SELECT c.cluster, round(avg(f.recency), 4) AS recency, round(avg(f.frequency), 4) AS frequency,
+                round(avg(f.monetary), 2) AS monetary
+            FROM features f JOIN fitted c USING (user_id) GROUP BY c.cluster""",
+        ),
+        "rfm_silhouette": _with(
+            "widths",
+            """SELECT round(avg(CASE WHEN n = 1 THEN 0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette
+            FROM widths""",
+        ),
         "rfm_segments": _with(
             "segmented",
             """SELECT user_id, round(recency, 4) AS recency, yearly_purchases,
@@ -398,6 +479,7 @@ def oracle_sql() -> dict[str, str]:
             FROM segmented""",
         ),
         "instructions_scan": _with("examples", "SELECT instruction, input, output FROM examples"),
+        "conversation_prompts": _with("examples", "SELECT * FROM examples"),
         "prompt_format": _with(
             "examples",
             f"SELECT conv_id, turn, {_prompt('output', END_TOKEN)} AS text FROM examples",
@@ -406,9 +488,18 @@ def oracle_sql() -> dict[str, str]:
             "examples", f"SELECT conv_id, turn, {_prompt(_quoted(''), '')} AS text FROM examples"
         ),
         "incremental_profile": _with(
-            "people",
-            f"""SELECT 'all' AS dimension, 'all' AS label, count(*) AS cnt FROM people
-            UNION ALL SELECT 'gender', gender, count(*) FROM people GROUP BY gender
-            UNION ALL SELECT 'age_group', {_AGE_GROUP}, count(*) FROM people GROUP BY 2""",
+            "people people_country user_logins buyers",
+            f"""SELECT dimension, label, count(*) AS cnt, CAST(NULL AS DOUBLE) AS amount FROM (
+                SELECT 'all' AS dimension, 'all' AS label FROM people
+                UNION ALL SELECT 'gender', gender FROM people
+                UNION ALL SELECT 'age_group', {_AGE_GROUP} FROM people
+                UNION ALL SELECT 'country', country FROM people_country
+                UNION ALL SELECT 'login', age_group || '|' || period FROM user_logins
+                    WHERE age_group IS NOT NULL
+                UNION ALL SELECT 'active_user', 'all' FROM (SELECT DISTINCT id FROM buyers WHERE is_active))
+            GROUP BY dimension, label
+            UNION ALL
+            SELECT 'spent', 'all', count(*), CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE)
+            FROM buyers""",
         ),
     }

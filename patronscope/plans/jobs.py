@@ -1,22 +1,22 @@
 """The whole reports: profile, RFM, key check, preview, prompts.
 
 A job reads a user table of any size, writes its tables as JSON under one folder and
-returns them as DataFrames. Small tables that feed several outputs are checkpointed
-once; the user table itself is scanned a fixed number of times, whatever the number
-of files.
+returns them as DataFrames. Tables that feed several outputs are persisted, in memory
+and on disk; what a lost executor held is computed again. The user table itself is
+scanned a fixed number of times, whatever the number of files.
 """
 
 from __future__ import annotations
 
 import time
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from patronscope.functions import AGE_LABELS, PERIOD_LABELS, age_group
 from patronscope.operators import clusters, logins, profile, prompts, purchases, quality, rfm
 from patronscope.operators.binned import count_bins
-from patronscope.operators.durable import checkpointed
 from patronscope.operators.segments import (
     SegmentRule,
     rfm_segments,
@@ -29,45 +29,76 @@ Tables = dict[str, DataFrame]
 _UNKNOWN = "unknown"
 
 
-def profile_tables(users: DataFrame) -> Tables:
+def _held(df: DataFrame) -> DataFrame:
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def profile_tables(
+    users: DataFrame,
+    login_records: DataFrame | None = None,
+    purchase_records: DataFrame | None = None,
+    drop_sparse: bool = False,
+) -> Tables:
     """Every profile table from four scans: quality, attributes, logins, key figures.
 
-    Columns missing in most rows show in ``quality_report``; they are not dropped
-    here, because the login history of a table with few logins is such a column.
+    Where logins and purchases are kept apart from the users, ``login_records`` has them
+    with the ``id`` and ``age`` of their users, ``purchase_records`` with ``id`` and ``is_active``.
+    With ``drop_sparse``, columns that are missing in most rows show in ``quality_report`` but
+    feed no other table, and the tables that need them are left out.
     """
-    people = checkpointed(profile.demographics(users))
-    cells = checkpointed(_login_cells(users))
-    known = cells.where(F.col("age_group") != _UNKNOWN)
-    return {
-        "quality_report": quality.quality_report(users),
-        "total_users": profile.total_users(people, weight="cnt"),
-        "gender_dist": profile.gender_dist(people, weight="cnt"),
-        "age_share": profile.age_share(people, weight="cnt"),
-        "country_share": profile.country_share(people, weight="cnt"),
-        "login_by_age_period": known,
-        "login_heatmap": logins.heatmap(known),
-        "login_period_dist": cells.groupBy("period").agg(F.sum("cnt").alias("cnt")),
-        "profile_summary": profile.profile_summary(users),
-    }
+    report = quality.quality_report(users)
+    if drop_sparse:
+        report = _held(report)
+        users = quality.drop_sparse_columns(users, report=report)
+    people = _held(profile.demographics(users)) if _has(users, "gender", "age", "country") else None
+    tables = {"quality_report": report}
+    if people is not None:
+        tables |= {
+            "total_users": profile.total_users(people, weight="cnt"),
+            "gender_dist": profile.gender_dist(people, weight="cnt"),
+            "age_share": profile.age_share(people, weight="cnt"),
+            "country_share": profile.country_share(people, weight="cnt"),
+        }
+    from_logins = users if login_records is None else login_records
+    if _has(from_logins, "id", "age", "login_history"):
+        cells = _held(_login_cells(from_logins))
+        known = cells.where(F.col("age_group") != _UNKNOWN)
+        tables |= {
+            "login_by_age_period": known,
+            "login_heatmap": logins.heatmap(known),
+            "login_period_dist": cells.groupBy("period").agg(F.sum("cnt").alias("cnt")),
+        }
+    from_purchases = users if purchase_records is None else purchase_records
+    if _has(from_purchases, "id", "is_active", "purchase_history"):
+        tables["profile_summary"] = profile.profile_summary(users, purchase_records)
+    return tables
+
+
+def _has(df: DataFrame, *columns: str) -> bool:
+    return set(columns) <= set(df.columns)
 
 
 def _login_cells(users: DataFrame) -> DataFrame:
     """Logins per age bin and period, with one more bin for users of unknown age."""
     binned = users.withColumn("age_group", age_group(F.col("age"), null_label=_UNKNOWN))
     times = logins.with_login_period(logins.login_times(binned, "age_group"))
-    return count_bins(times, {"age_group": [*AGE_LABELS, _UNKNOWN], "period": PERIOD_LABELS})
+    # a login without a time has no period
+    bins = {"age_group": [*AGE_LABELS, _UNKNOWN], "period": PERIOD_LABELS}
+    return count_bins(times, bins, ignore_others=True)
 
 
-def run_profile(users: DataFrame, output: str) -> Tables:
+def run_profile(users: DataFrame, output: str, **options) -> Tables:
     """Writes the profile tables; the summary is one JSON object with the time taken."""
     started = time.time()
-    tables = profile_tables(require_rows(users, "user table"))
+    tables = profile_tables(require_rows(users, "user table"), **options)
     for name, table in tables.items():
         if name != "profile_summary":
-            write_json(table.coalesce(1), f"{output}/{name}")
-    summary = checkpointed(tables["profile_summary"])
-    seconds = F.lit(round(time.time() - started, 2)).alias("processing_seconds")
-    write_one_json_object(summary.select("*", seconds), f"{output}/profile_summary")
+            write_json(table, f"{output}/{name}")
+    if "profile_summary" in tables:
+        summary = _held(tables["profile_summary"])
+        summary.count()
+        seconds = F.lit(round(time.time() - started, 2)).alias("processing_seconds")
+        write_one_json_object(summary.select("*", seconds), f"{output}/profile_summary")
     return tables
 
 
@@ -81,14 +112,13 @@ def rfm_tables(
 ) -> Tables:
     """Every RFM table. The documents are parsed once, into one row per user."""
     records = purchases.purchase_records(users)
-    totals = checkpointed(rfm.user_totals(records, as_of))
+    totals = _held(rfm.user_totals(records, as_of))
     merged = totals.select("user_id", "last_purchase", "frequency", "monetary")
     features = rfm.rfm_features(merged, as_of)
-    report = checkpointed(quality.quality_report(users))
+    report = _held(quality.quality_report(users))
     tables = {
         "quality_report": report,
-        "rfm_merge_users": merged,
-        "rfm_user_count": rfm.rfm_user_count(merged),
+        "rfm_user_count": merged.agg(F.count("*").alias("rfm_users")),
         "rfm_extent": rfm.rfm_extent(features),
         "segments": segment_actions(rfm_segments(segment_features(totals, as_of), rule)),
         "rfm_summary": rfm.rfm_summary(report, merged),

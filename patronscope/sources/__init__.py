@@ -3,6 +3,7 @@
 from patronscope.sources.readers import (
     USER_SCHEMA,
     describe_schema,
+    input_name,
     preview_columns,
     require_rows,
     rows_per_file,
@@ -15,6 +16,7 @@ from patronscope.sources.writers import write_json, write_one_json_object
 __all__ = [
     "USER_SCHEMA",
     "describe_schema",
+    "input_name",
     "preview_columns",
     "require_rows",
     "rows_per_file",

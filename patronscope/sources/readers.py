@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -39,17 +39,25 @@ def scan_part_files(
     spark: SparkSession,
     path: str,
     schema: str | StructType | None = None,
-    glob: str = PART_GLOB,
+    glob: str | None = PART_GLOB,
 ) -> DataFrame:
-    """Every part file of a directory; other files in it are ignored."""
+    """Every part file of a directory; other files in it are ignored.
+
+    ``path`` may be a pattern; without ``glob`` all files that it finds are read.
+    """
     return scan_users(spark, path, schema, glob)
 
 
-def rows_per_file(scanned: DataFrame) -> DataFrame:
-    """Rows read from each file of a scan. Call it on the scan itself."""
-    return scanned.groupBy(F.col("_metadata.file_name").alias("file_name")).agg(
-        F.count("*").alias("row_count")
-    )
+def input_name() -> Column:
+    """Of each scanned row the parquet table it is from: one file, or a folder of part files."""
+    path = F.col("_metadata.file_path")
+    return F.regexp_extract(path, r"([^/]+\.parquet)(/[^/]*)?$", 1)
+
+
+def rows_per_file(scanned: DataFrame, name: Column | None = None) -> DataFrame:
+    """Rows read from each file of a scan, or from each ``name`` given. Call it on the scan itself."""
+    name = F.col("_metadata.file_name") if name is None else name
+    return scanned.groupBy(name.alias("file_name")).agg(F.count("*").alias("row_count"))
 
 
 def describe_schema(df: DataFrame) -> DataFrame:

@@ -1,11 +1,12 @@
 """User records built from a star schema of customers, orders, line items and events.
 
 Each view builds only what its caller asks for, so a query that counts genders does
-not pay for login documents. No record gathers an unbounded group: a login record
-holds the events of one user within one run of ``EVENTS_PER_RECORD`` event numbers
-(``event_id`` is unique), and a purchase record is either an order with its price or
-one item of it. ``id`` therefore repeats in :func:`logins` and :func:`purchases`, as
-it may in a user table.
+not pay for login documents. Every event, order and line item is in some record, and no
+record gathers an unbounded group: a login record holds the events of one user within one
+run of ``EVENTS_PER_RECORD`` event numbers (``event_id`` is unique), and an order of more than
+``ITEMS_PER_RECORD`` items is dealt to several purchase records, the first of which
+has its price. ``id`` therefore repeats in :func:`logins`, :func:`purchases` and
+:func:`users`, as it may in a user table.
 """
 
 from __future__ import annotations
@@ -13,7 +14,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from patronscope.operators.conversations import conversation_prompts
+
 EVENTS_PER_RECORD = 10_000
+ITEMS_PER_RECORD = 100
 # Declared, so that no job has to read file footers before the query itself runs.
 SCHEMAS = {
     "nation": "n_nationkey int, n_name string, n_regionkey int",
@@ -74,11 +78,13 @@ def people_by_country(spark: SparkSession, sf_dir: str) -> DataFrame:
 def login_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Login documents of bounded size: ``(user_id, record_no, last_ts, login_history)``."""
     record_no = F.expr(f"event_id div {EVENTS_PER_RECORD}")
+    first = F.date_format(F.col("timestamps")[0], "yyyy-MM-dd HH:mm:ss")
     return (
         table(spark, sf_dir, "events")
         .groupBy("user_id", record_no.alias("record_no"))
         .agg(
             F.array_sort(F.collect_list(F.col("ts").cast("timestamp"))).alias("timestamps"),
+            F.array_sort(F.collect_set("event_type")).alias("devices"),
             F.max("ts").alias("last_ts"),
         )
         .select(
@@ -87,7 +93,10 @@ def login_records(spark: SparkSession, sf_dir: str) -> DataFrame:
             "last_ts",
             F.to_json(
                 F.struct(
-                    F.size("timestamps").cast("bigint").alias("login_count"), "timestamps"
+                    "devices",
+                    first.alias("first_login"),
+                    F.size("timestamps").cast("bigint").alias("login_count"),
+                    "timestamps",
                 )
             ).alias("login_history"),
         )
@@ -103,117 +112,96 @@ def logins(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _day(timestamp: str) -> Column:
-    return F.date_format(timestamp, "yyyy-MM-dd")
-
-
-def _order_document() -> Column:
-    """An order with its price and no items, as stored JSON text."""
-    return F.concat(
-        F.lit('{"avg_price":'),
-        F.col("o_totalprice").cast("string"),
-        F.lit(',"items":[],"purchase_date":"'),
-        _day("o_orderdate"),
-        F.lit('"}'),
-    )
-
+def purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Purchase records: each order with its price and items, very long ones in parts.
 
-def _item_document() -> Column:
-    """One item with the day of its order, as stored JSON text."""
-    return F.concat(
-        F.lit('{"items":[{"id":'),
-        F.col("l_partkey").cast("string"),
-        F.lit('}],"purchase_date":"'),
-        F.col("purchase_day"),
-        F.lit('"}'),
+    The part of an item follows from its own numbers, so it is the same on every run;
+    an order that holds a third of all items is counted, joined and gathered in parts.
+    """
+    lines = table(spark, sf_dir, "lineitem")
+    sizes = lines.groupBy("l_orderkey").agg(
+        F.ceil(F.count("*") / ITEMS_PER_RECORD).cast("bigint").alias("n_parts")
     )
-
-
-def purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Purchase records: every order with its price, and every item of every order."""
+    order_columns = ["o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus"]
     orders = table(spark, sf_dir, "orders")
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
+    parts = orders.select(*order_columns).join(sizes, F.col("o_orderkey") == F.col("l_orderkey"))
+    item_part = (F.col("l_partkey") + F.col("l_suppkey") + F.col("l_linenumber")) % F.col("n_parts")
+    item_text = F.concat(F.lit('{"id":'), F.col("l_partkey").cast("string"), F.lit("}"))
+    # joined by the complement of the key: a key of its own brings a shuffle of its own, and
+    # then Spark can split an order with very many lines
+    same_order = F.bitwise_not("l_orderkey") == F.col("order")
+    parts = parts.drop("l_orderkey").withColumn("order", F.bitwise_not("o_orderkey"))
+    items = lines.join(parts, same_order).select(
+        *order_columns,
+        item_part.alias("part"),
+        F.lit(None).cast("double").alias("avg_price"),
+        F.struct(F.col("l_partkey").alias("id"), item_text.alias("text")).alias("item"),
+    )
     priced = orders.select(
-        F.col("o_custkey").alias("id"), _order_document().alias("purchase_history")
+        *order_columns,
+        F.lit(0).cast("bigint").alias("part"),
+        F.col("o_totalprice").alias("avg_price"),
+        F.lit(None).cast("struct<id:bigint,text:string>").alias("item"),
     )
-    buyers = orders.select("o_orderkey", "o_custkey", _day("o_orderdate").alias("purchase_day"))
-    items = lines.join(buyers, F.col("l_orderkey") == F.col("o_orderkey")).select(
-        F.col("o_custkey").alias("id"), _item_document().alias("purchase_history")
+    records = priced.unionByName(items).groupBy(*order_columns, "part").agg(
+        F.max("avg_price").alias("avg_price"),
+        F.sort_array(F.collect_list("item")).alias("items"),
     )
-    return priced.unionByName(items)
+    return records.select(F.col("o_custkey").alias("id"), _order_document().alias("purchase_history"))
 
 
-def with_purchase_history(users: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Adds the document of each user's first order; every thirteenth user has none."""
-    first_order = (
-        table(spark, sf_dir, "orders")
-        .groupBy("o_custkey")
-        .agg(
-            F.min_by("o_totalprice", "o_orderkey").alias("o_totalprice"),
-            F.min_by("o_orderdate", "o_orderkey").alias("o_orderdate"),
-        )
-        .select("o_custkey", _order_document().alias("order_document"))
-    )
-    return users.join(first_order, F.col("id") == F.col("o_custkey"), "left").select(
-        *users.columns,
-        F.when(F.col("id") % 13 != 0, F.col("order_document")).alias("purchase_history"),
-    )
+def _order_document() -> Column:
+    """An order's JSON text, put together as text: plans that share it can share its shuffle."""
 
+    def quoted(name: str) -> Column:
+        return F.replace(F.replace(name, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
 
-def with_login_history(users: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Adds each user's last login as text and the first of their login records."""
-    per_user = (
-        login_records(spark, sf_dir)
-        .groupBy("user_id")
-        .agg(
-            F.max("last_ts").alias("last_ts"),
-            F.min_by("login_history", "record_no").alias("login_history"),
-        )
-    )
-    return users.join(per_user, F.col("id") == F.col("user_id"), "left").select(
-        *users.columns,
-        F.date_format("last_ts", "yyyy-MM-dd HH:mm:ss").alias("last_login"),
-        "login_history",
+    price = F.concat(F.lit('"avg_price":'), F.col("avg_price").cast("string"), F.lit(","))
+    return F.concat(
+        F.lit("{"),
+        F.coalesce(price, F.lit("")),
+        F.lit('"items":['),
+        F.array_join("items.text", ","),
+        F.lit('],"payment_method":"'),
+        quoted("o_orderpriority"),
+        F.lit('","payment_status":"'),
+        quoted("o_orderstatus"),
+        F.lit('","purchase_date":"'),
+        F.date_format("o_orderdate", "yyyy-MM-dd"),
+        F.lit('"}'),
     )
 
 
-def users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole user table, one row per customer."""
-    base = people_by_country(spark, sf_dir)
-    return with_purchase_history(with_login_history(base, spark, sf_dir), spark, sf_dir)
-
+def buyers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per purchase record of a customer, with the customer's own columns."""
+    return people(spark, sf_dir).join(purchases(spark, sf_dir), "id")
 
-def instruction_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``instruction, input, output``: a user turn, the system text, the answer to it.
 
-    Turns are numbered without gaps from 0, so the answer is the turn numbered one
-    higher, and joining on that number keeps one long conversation from becoming one
-    task. The system text, where there is one, is turn 0. It joins as a plain scan, so
-    that a long conversation can be split by the adaptive skew join.
-    """
-    turns = table(spark, sf_dir, "conversations")
-    asked = turns.where(F.col("role") == "user").select(
-        "conv_id", "turn", F.col("text").alias("instruction"), (F.col("turn") + 1).alias("reply")
-    )
-    answered = turns.where(F.col("role") == "assistant").select(
-        F.col("conv_id").alias("reply_conv"),
-        F.col("turn").alias("reply_turn"),
-        F.col("text").alias("output"),
-    )
-    system = turns.where((F.col("role") == "system") & (F.col("turn") == 0)).select(
-        F.col("conv_id").alias("system_conv"), F.col("text").alias("system_text")
-    )
-    return (
-        asked.join(
-            answered,
-            (F.col("conv_id") == F.col("reply_conv")) & (F.col("reply") == F.col("reply_turn")),
-        )
-        .join(system, F.col("conv_id") == F.col("system_conv"), "left")
+def users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole user table: one row per login or purchase record, at least one per user."""
+    base = people_by_country(spark, sf_dir)
+    nothing = F.lit(None).cast("string")
+    records = (
+        login_records(spark, sf_dir)
         .select(
-            "conv_id",
-            "turn",
-            "instruction",
-            F.coalesce("system_text", F.lit("")).alias("input"),
-            "output",
+            F.col("user_id").alias("id"),
+            F.date_format("last_ts", "yyyy-MM-dd HH:mm:ss").alias("last_login"),
+            "login_history",
+            nothing.alias("purchase_history"),
+        )
+        .unionByName(
+            purchases(spark, sf_dir).select(
+                "id", nothing.alias("last_login"), nothing.alias("login_history"), "purchase_history"
+            )
         )
     )
+    # an inner join, whose larger side can be split, and the users it leaves out
+    seen = table(spark, sf_dir, "events").select(F.col("user_id").alias("id"))
+    seen = seen.unionByName(table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("id")))
+    rest = base.join(seen.distinct(), "id", "left_anti")
+    return base.join(records, "id").unionByName(rest, allowMissingColumns=True)
+
+
+def instruction_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``conv_id, turn, instruction, input, output`` of the conversations."""
+    return conversation_prompts(table(spark, sf_dir, "conversations"))

@@ -1,9 +1,23 @@
 """Running totals over arriving files."""
 
 from patronscope.streaming.incremental import (
+    batch_totals,
     incremental_profile,
+    latest_totals,
+    login_entries,
     profile_entries,
+    purchase_entries,
     stream_files,
+    user_entries,
 )
 
-__all__ = ["incremental_profile", "profile_entries", "stream_files"]
+__all__ = [
+    "batch_totals",
+    "incremental_profile",
+    "latest_totals",
+    "login_entries",
+    "profile_entries",
+    "purchase_entries",
+    "stream_files",
+    "user_entries",
+]

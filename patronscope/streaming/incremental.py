@@ -1,39 +1,131 @@
-"""Profile totals that grow as files arrive."""
+"""Profile totals that grow as files arrive.
+
+Entries are rows ``dimension, label, cnt, amount``. Those of a whole user table come from
+:func:`profile_entries`; where logins and purchases arrive apart from the users,
+:func:`user_entries`, :func:`login_entries` and :func:`purchase_entries` make them one by one.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import time
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from patronscope.functions import age_group
+from patronscope.functions import age_group, has_document, login_period, purchase_document
 from patronscope.operators.durable import fresh_path
+from patronscope.operators.logins import login_times
 
-_TOTALS = "dimension string, label string, cnt bigint"
+_TOTALS = "dimension string, label string, cnt bigint, amount decimal(38,8)"
+_ACTIVE = "active_user"
 
 
 def stream_files(
     spark: SparkSession,
     path: str,
     schema: str | StructType,
-    glob: str = "part-*",
-    files_per_trigger: int | None = 1,
+    glob: str | None = "part-*",
+    files_per_trigger: int | None = None,
 ) -> DataFrame:
-    """A directory of parquet files as a stream, some files per step."""
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", glob)
+    """Parquet files as a stream; all files that are there make one step, unless limited.
+
+    ``path`` is a directory or a pattern of files or directories.
+    """
+    reader = spark.readStream.schema(schema)
+    if glob is not None:
+        reader = reader.option("pathGlobFilter", glob)
     if files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     return reader.parquet(path)
 
 
+def _entry(dimension: str, label: Column, amount: Column | None = None) -> Column:
+    money = F.lit(None) if amount is None else amount.try_cast("decimal(28,8)")
+    return F.struct(
+        F.lit(dimension).alias("dimension"),
+        label.cast("string").alias("label"),
+        money.cast("decimal(28,8)").alias("amount"),
+    )
+
+
+def user_entries(users: DataFrame) -> DataFrame:
+    """Everyone, gender, age bin and, where there is one, country."""
+    entries = [
+        _entry("all", F.lit("all")),
+        _entry("gender", F.col("gender")),
+        _entry("age_group", age_group(F.col("age"))),
+    ]
+    if "country" in users.columns:
+        entries.append(_entry("country", F.col("country")))
+    return users.select(F.inline(F.array(*entries)))
+
+
+def login_entries(users: DataFrame) -> DataFrame:
+    """Each login of a user of known age under ``age bin|period``."""
+    aged = users.where(F.col("age").isNotNull()).withColumn("age_group", age_group(F.col("age")))
+    times = login_times(aged, "age_group").where(F.col("login_time").isNotNull())
+    label = F.concat_ws("|", "age_group", login_period(F.col("login_time")))
+    return times.select(F.inline(F.array(_entry("login", label))))
+
+
+def purchase_entries(users: DataFrame) -> DataFrame:
+    """What each purchase document spent, and the ids of active users that have one.
+
+    An id is a label of its own, so that the stream's state tells which ids it has seen.
+    """
+    bought = users.where(has_document(F.col("purchase_history")))
+    price = purchase_document(F.col("purchase_history"), "avg_price")["avg_price"]
+    spent = _entry("spent", F.lit("all"), price)
+    active = F.when(F.col("is_active"), F.array(spent, _entry(_ACTIVE, F.col("id"))))
+    return bought.select(F.inline(F.coalesce(active, F.array(spent))))
+
+
 def profile_entries(users: DataFrame) -> DataFrame:
-    """Each user as ``(dimension, label)`` rows: everyone, gender and age bin."""
-    entries = F.array(
-        F.struct(F.lit("all").alias("dimension"), F.lit("all").alias("label")),
-        F.struct(F.lit("gender").alias("dimension"), F.col("gender").alias("label")),
-        F.struct(F.lit("age_group").alias("dimension"), age_group(F.col("age")).alias("label")),
+    """All entries of a user table."""
+    return (
+        user_entries(users)
+        .unionByName(login_entries(users))
+        .unionByName(purchase_entries(users))
+    )
+
+
+def _collapsed(totals: DataFrame) -> DataFrame:
+    """Ids become their number."""
+    is_id = F.col("dimension") == _ACTIVE
+    return (
+        totals.withColumns(
+            {
+                "cnt": F.when(is_id, F.lit(1).cast("bigint")).otherwise(F.col("cnt")),
+                "label": F.when(is_id, F.lit("all")).otherwise(F.col("label")),
+            }
+        )
+        .groupBy("dimension", "label")
+        .agg(F.sum("cnt").alias("cnt"), F.sum("amount").cast("decimal(38,8)").alias("amount"))
     )
-    return users.select(F.inline(entries))
+
+
+def batch_totals(entries: DataFrame) -> DataFrame:
+    """The totals of entries that are all there."""
+    grouped = entries.groupBy("dimension", "label").agg(
+        F.count("*").alias("cnt"), F.sum("amount").alias("amount")
+    )
+    return _collapsed(grouped)
+
+
+def latest_totals(spark: SparkSession, output: str) -> DataFrame:
+    """The totals of the last complete step under ``output``; empty before the first."""
+    steps = spark.read.schema(_TOTALS + ", step bigint").option("basePath", output)
+    try:
+        every = steps.parquet(output)
+        last = every.agg(F.max("step")).first()[0]
+    except Exception as error:  # noqa: BLE001
+        if "PATH_NOT_FOUND" not in str(error):
+            raise
+        last = None
+    if last is None:
+        return spark.createDataFrame([], _TOTALS)
+    return every.where(F.col("step") == last).drop("step")
 
 
 def incremental_profile(
@@ -41,26 +133,28 @@ def incremental_profile(
 ) -> DataFrame:
     """Run a stream of entries to the end of the available files and return the totals.
 
-    The totals are few rows: one per label. Every step replaces the table at
-    ``output`` by the totals so far. With the same ``output`` and ``checkpoint`` a
-    later call continues with the files that have arrived since.
+    The totals are few rows: one per label. Every step writes them to a folder of its
+    own under ``output``, named after the moment, so a reader always finds the last
+    complete step. With the same ``output`` and ``checkpoint`` a later call continues with the files
+    that have arrived since.
     """
     spark = entries.sparkSession
     output = output or fresh_path(spark, "profile-totals")
     checkpoint = checkpoint or fresh_path(spark, "profile-stream")
-    totals = entries.groupBy("dimension", "label").agg(F.count("*").alias("cnt"))
-    # Before the first file has arrived the totals are an empty table.
-    spark.createDataFrame([], _TOTALS).write.mode("ignore").parquet(output)
+    totals = entries.groupBy("dimension", "label").agg(
+        F.count("*").alias("cnt"), F.sum("amount").alias("amount")
+    )
 
-    def replace_totals(batch: DataFrame, _: int) -> None:
-        batch.coalesce(1).write.mode("overwrite").parquet(output)
+    def write_step(batch: DataFrame, _: int) -> None:
+        step = time.time_ns()
+        _collapsed(batch).write.parquet(f"{output}/step={step}")
 
     query = (
         totals.writeStream.outputMode("complete")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .foreachBatch(replace_totals)
+        .foreachBatch(write_step)
         .start()
     )
     query.awaitTermination()
-    return spark.read.schema(_TOTALS).parquet(output)
+    return latest_totals(spark, output)

@@ -11,7 +11,13 @@ from patronscope import sources
 from patronscope.operators import durable, profile, prompts
 from patronscope.plans import jobs
 from patronscope.sources import star_tables
-from patronscope.streaming import incremental_profile, profile_entries, stream_files
+from patronscope.streaming import (
+    batch_totals,
+    incremental_profile,
+    latest_totals,
+    profile_entries,
+    stream_files,
+)
 
 SF = os.environ.get("PATRONSCOPE_TESTDATA", "/root/testdata") + "/sf0.001"
 
@@ -20,7 +26,11 @@ SF = os.environ.get("PATRONSCOPE_TESTDATA", "/root/testdata") + "/sf0.001"
 def user_dir(spark, tmp_path_factory):
     """The user table as three part files beside a file that is not one."""
     path = str(tmp_path_factory.mktemp("users") / "table")
-    star_tables.users(spark, SF).repartition(3, "id").write.parquet(path)
+    # one row per user, as in the common user table
+    attributes = ["id", "gender", "age", "country", "income", "is_active"]
+    documents = ["last_login", "login_history", "purchase_history"]
+    users = star_tables.users(spark, SF).groupBy(*attributes).agg(*[F.max(n).alias(n) for n in documents])
+    users.repartition(3, "id").write.parquet(path)
     stray = next(name for name in os.listdir(path) if name.startswith("part-"))
     with open(f"{path}/{stray}", "rb") as source, open(f"{path}/copy.parquet", "wb") as target:
         target.write(source.read())
@@ -82,10 +92,11 @@ def test_rfm_job(spark, user_dir, tmp_path):
     centers = read_json(tmp_path / "cluster_centers")
     assert [c["cluster"] for c in sorted(centers, key=lambda c: c["recency"])] == [0, 1, 2]
     members = read_json(tmp_path / "user_clusters")
-    users = read_json(tmp_path / "rfm_merge_users")
-    assert {m["user_id"] for m in members} == {u["user_id"] for u in users}
+    users = [r for r in read_json(tmp_path / "rfm_summary") if r["section"] == "rfm"]
+    assert {str(m["user_id"]) for m in members} == {u["name"] for u in users}
     assert len(read_json(tmp_path / "nearest_to_center")) == len(members)
     assert len(read_json(tmp_path / "rfm_summary")) == len(users) + 9
+    assert not os.path.exists(tmp_path / "rfm_merge_users")
     assert read_json(tmp_path / "run")[0]["processing_seconds"] > 0
 
 
@@ -93,7 +104,7 @@ def test_rfm_job_without_purchase_dates(spark):
     users = spark.createDataFrame([(1, "garbage")], "id bigint, purchase_history string")
     tables = jobs.rfm_tables(users, F.lit("2024-01-01").cast("timestamp"))
     assert tables["user_clusters"].count() == 0
-    assert tables["rfm_merge_users"].count() == 1
+    assert tables["rfm_summary"].where("section = 'rfm'").count() == 1
 
 
 def test_check_ids_and_preview(spark, user_dir, capsys):
@@ -102,7 +113,23 @@ def test_check_ids_and_preview(spark, user_dir, capsys):
     cli.main(["check-ids", "--input", user_dir], spark)
     assert "false" in capsys.readouterr().out
     cli.main(["preview", "--input", user_dir, "--glob", "part-*"], spark)
-    assert "purchase_history" in capsys.readouterr().out
+    shown = capsys.readouterr().out
+    assert "purchase_history" in shown and "payment_status" in shown
+
+
+def test_check_ids_writes_all_repeats(spark, tmp_path):
+    source, target = str(tmp_path / "in"), str(tmp_path / "out")
+    spark.range(30).unionByName(spark.range(30)).write.parquet(source)
+    cli.main(["check-ids", "--input", source, "--output", target], spark)
+    assert len(read_json(tmp_path / "out" / "duplicate_ids")) == 30
+
+
+def test_profile_job_without_sparse_columns(spark, user_dir, tmp_path):
+    options = ["--input", user_dir, "--glob", "part-*", "--output", str(tmp_path), "--drop-sparse"]
+    cli.main(["profile", *options], spark)
+    assert sorted(os.listdir(tmp_path)) == sorted(
+        ["age_share", "country_share", "gender_dist", "profile_summary", "quality_report", "total_users"]
+    )
 
 
 EXAMPLES = [("Say 100% {x}", "", "done"), ("Add", "1, 2", None)]
@@ -133,29 +160,32 @@ def test_prompts_job(spark, tmp_path):
 
 def test_stream_totals_equal_batch_totals_and_continue(spark, user_dir, tmp_path):
     landing = str(tmp_path / "landing")
-    people = star_tables.people_by_country(spark, SF)
+    users = sources.scan_part_files(spark, user_dir)
     out, state = str(tmp_path / "totals"), str(tmp_path / "state")
 
     def run():
-        stream = stream_files(spark, landing, people.schema)
+        stream = stream_files(spark, landing, users.schema)
         return incremental_profile(profile_entries(stream), out, state)
 
     os.makedirs(landing)
     assert run().count() == 0
-    for piece in (people.where("id % 2 = 0"), people.where("id % 2 = 1")):
+    for piece in (users.where("id % 2 = 0"), users.where("id % 2 = 1"), users.where("id < 9")):
         piece.repartition(2).write.mode("append").parquet(landing)
-        expected = profile_entries(spark.read.parquet(landing)).groupBy("dimension", "label")
+        expected = batch_totals(profile_entries(spark.read.parquet(landing)))
         totals = run()
         assert sorted(map(repr, map(tuple, totals.collect()))) == sorted(
-            map(repr, map(tuple, expected.count().collect()))
+            map(repr, map(tuple, expected.collect()))
         )
+    assert {r.dimension for r in totals.collect()} == {
+        "all", "gender", "age_group", "country", "login", "spent", "active_user",
+    }
 
 
 def test_totals_job(spark, user_dir, tmp_path):
     out = str(tmp_path / "totals")
     options = ["--input", user_dir, "--glob", "part-*", "--output", out]
     cli.main(["totals", *options, "--state", str(tmp_path / "state")], spark)
-    totals = spark.read.parquet(out).where("dimension = 'all'").collect()
+    totals = latest_totals(spark, out).where("dimension = 'all'").collect()
     assert [r.cnt for r in totals] == [150]
 
 
@@ -165,29 +195,16 @@ def test_shared_folder_comes_from_the_session(spark):
     assert stored.count() == 5
 
 
-class FakeSession:
-    """Just enough of a session without ``spark.checkpoint.dir``."""
-
-    def __init__(self, master):
-        self.conf = self.sparkContext = self
-        self.master = master
-        self.checkpoint_dir = None
-
-    def get(self, _, default):
-        return default
-
-    def getCheckpointDir(self):
-        return self.checkpoint_dir
+def test_unset_shared_folder_is_in_the_warehouse():
+    class Session:
+        """Just enough of a session without ``spark.checkpoint.dir``."""
 
-    def setCheckpointDir(self, folder):
-        self.checkpoint_dir = folder
+        def get(self, name, default=None):
+            return "hdfs://x/warehouse/" if name == "spark.sql.warehouse.dir" else default
 
+        def getCheckpointDir(self):
+            return None
 
-def test_unset_shared_folder_is_an_error_on_a_cluster():
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        durable.shared_folder(FakeSession("yarn"))
-    local = FakeSession("local[2]")
-    folder = durable.shared_folder(local)
-    assert os.path.isdir(folder)
-    assert durable.shared_folder(local) == folder
-    assert durable.fresh_path(local, "x").startswith(folder)
+    session = Session()
+    session.conf = session.sparkContext = session
+    assert durable.fresh_path(session, "x").startswith("hdfs://x/warehouse/patronscope-work/")

@@ -5,18 +5,31 @@ import os
 import pytest
 
 import __spark_entry__ as spark_entry
-from oracle import compare, connect
+from oracle import TABLES, compare, connect
 
 ROOT = os.environ.get("PATRONSCOPE_TESTDATA", "/root/testdata")
 QUERIES = spark_entry.queries()
 SQL = spark_entry.oracle_sql()
 
 
+@pytest.fixture(scope="module")
+def parts_dir(spark, tmp_path_factory):
+    """The smallest tables, each as a folder of part files."""
+    path = str(tmp_path_factory.mktemp("parts"))
+    for name in TABLES:
+        spark.read.parquet(f"{ROOT}/sf0.001/{name}.parquet").repartition(3).write.parquet(
+            f"{path}/{name}.parquet"
+        )
+    return path
+
+
 @pytest.mark.parametrize("name", sorted(SQL))
-@pytest.mark.parametrize("scale", ["sf0.001", "sf0.01"])
-def test_matches_sql(spark, scale, name):
-    sf_dir = f"{ROOT}/{scale}"
-    difference = compare(QUERIES[name](spark, sf_dir), connect(sf_dir), SQL[name])
+@pytest.mark.parametrize("layout", ["files", "folders"])
+def test_matches_sql(spark, parts_dir, layout, name):
+    given = f"{ROOT}/sf0.01" if layout == "files" else f"{ROOT}/sf0.001"
+    read = given if layout == "files" else parts_dir
+    difference = compare(QUERIES[name](spark, read), connect(given), SQL[name])
+    spark.catalog.clearCache()
     assert difference is None, difference
 
 

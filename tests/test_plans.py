@@ -4,12 +4,12 @@ import os
 
 import pytest
 
-import __spark_entry__ as spark_entry
-from patronscope.operators import logins, profile, purchases, quality, rfm
+from patronscope.operators import conversations, logins, profile, purchases, quality, rfm
+from patronscope.plans import catalog, catalog_sql
 from patronscope.sources import USER_SCHEMA, scan_users, star_tables
 
 SF = os.environ.get("PATRONSCOPE_TESTDATA", "/root/testdata") + "/sf0.001"
-QUERIES = spark_entry.queries()
+QUERIES = catalog.queries()
 
 
 def plan(df):
@@ -23,7 +23,7 @@ def stored(spark, tmp_path_factory):
     return scan_users(spark, path, USER_SCHEMA)
 
 
-@pytest.mark.parametrize("name", sorted(spark_entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(catalog_sql.oracle_sql()))
 def test_no_pair_joins_and_no_python_in_any_query(spark, name):
     text = plan(QUERIES[name](spark, SF))
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas"):
@@ -89,7 +89,9 @@ def test_top_rows_are_cut_before_the_shuffle(spark, stored):
     assert ranked.count("WindowGroupLimit") == 4
 
 
-def test_scaling_reuses_the_shuffle_of_the_features(spark):
-    df = QUERIES["rfm_scaled"](spark, SF)
-    df.collect()
-    assert "ReusedExchange" in plan(df).split("Initial Plan")[0]
+def test_no_window_over_a_whole_conversation(spark):
+    turns = star_tables.table(spark, SF, "conversations")
+    windows = [x for x in plan(conversations.conversation_prompts(turns)).splitlines() if "Window [" in x]
+    # over the turns of one block, and over the one row of each block
+    assert len(windows) == 2 and sum("turn#" in x for x in windows) == 1
+    assert all("__block#" in x for x in windows)

@@ -2,6 +2,8 @@
 
 from pyspark.sql import functions as F
 
+import pytest
+
 from patronscope.functions import age_group, has_document, login_period, purchase_document
 from patronscope.operators import logins, profile, purchases, quality
 from patronscope.operators.binned import count_bins
@@ -116,11 +118,17 @@ def test_empty_table(spark):
     assert quality.unique_id_check(df).first().is_unique
 
 
-def test_count_bins_ignores_unknown_labels(spark):
+def test_count_bins_and_labels_without_a_bin(spark):
     df = spark.createDataFrame([("a", 2), ("a", 3), ("z", 9), (None, 1)], "k string, w int")
-    assert {r.k: r.cnt for r in count_bins(df, {"k": ["a", "b"]}).collect()} == {"a": 2, "b": 0}
-    weighted = count_bins(df, {"k": ["a", "b"]}, weight="w")
-    assert {r.k: r.cnt for r in weighted.collect()} == {"a": 5, "b": 0}
+    bins = {"k": ["a", "b"]}
+    with pytest.raises(Exception, match="no bin of k"):
+        count_bins(df, bins).collect()
+    left = count_bins(df, bins, ignore_others=True)
+    assert {r.k: r.cnt for r in left.collect()} == {"a": 2, "b": 0}
+    weighted = count_bins(df, bins, weight="w", others="rest")
+    assert {r.k: r.cnt for r in weighted.collect()} == {"a": 5, "b": 0, "rest": 10}
+    known = df.where("k = 'a'")
+    assert {r.k: r.cnt for r in count_bins(known, bins).collect()} == {"a": 2, "b": 0}
 
 
 def test_country_top_breaks_ties_by_name(spark):

@@ -153,10 +153,12 @@ def test_nearest_to_center_against_brute_force(spark):
     assert clusters.cluster_scatter(labelled, k=3, n=7).count() == 21
 
 
-def test_more_labels_than_k_is_an_error(spark):
-    labelled = blobs(spark).withColumn("cluster", (F.col("user_id") % 4).cast("int"))
-    with pytest.raises(Exception, match="more than 3 cluster labels"):
-        clusters.distance_to_center(labelled, k=3).collect()
+def test_labels_outside_k_keep_their_rows_without_a_distance(spark):
+    label = F.when(F.col("user_id") % 5 != 4, F.col("user_id") % 5).cast("int")
+    labelled = blobs(spark).withColumn("cluster", label)
+    rows = clusters.distance_to_center(labelled, k=3).collect()
+    assert len(rows) == labelled.count()
+    assert all((r.distance is None) == (r.cluster not in (0, 1, 2)) for r in rows)
 
 
 def test_top_per_group_with_one_hot_group(spark):
