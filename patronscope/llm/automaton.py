@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 
 class SuffixAutomaton:
     """Recognises every run of words that occurs in one of a list of items.
@@ -16,7 +18,7 @@ class SuffixAutomaton:
         self.next: list[dict[int, int]] = [{}]
         self.link = [-1]
         self.length = [0]
-        self.items: list[tuple[str, list[int]]] = []
+        self.items: list[tuple[list[str], Sequence[int]]] = []
 
     def _state(self, length: int) -> int:
         self.next.append({})
@@ -49,10 +51,11 @@ class SuffixAutomaton:
         self.link[new] = 0 if p < 0 else self._split(p, word, self.next[p][word])
         return new
 
-    def add(self, item_id: str, words: list[int]) -> None:
+    def add(self, ids: list[str], words: Sequence[int]) -> None:
+        """One text, and the ids of the items that have it."""
         if not words:
             return
-        self.items.append((item_id, words))
+        self.items.append((ids, words))
         state = 0
         for word in words:
             state = self._extend(state, word)

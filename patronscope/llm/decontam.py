@@ -7,8 +7,9 @@ the automaton, so only runs of known words need its steps. A run of ``window`` w
 a whole item of fewer words, is a hit.
 
 Scale. Items are dealt to automata of about ``WORDS_PER_AUTOMATON`` words by a hash of their
-text, so what a task holds is bounded; a benchmark of several such blocks is matched
-block after block. Documents are never shuffled.
+text; equal texts are one item with several ids. ``AT_ONCE`` automata are built, broadcast and
+held at a time: a larger benchmark takes several passes over the documents, which carry
+the matches so far in a written table. Documents are never shuffled.
 
 Defined cases: NULL text has no words; items without words or with NULL text match
 nothing; a NULL item_id is the text ''; an item_id that repeats counts once per document;
@@ -20,7 +21,8 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+import zlib
+from collections.abc import Callable, Iterator
 from itertools import repeat
 
 import numpy as np
@@ -29,10 +31,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from patronscope.llm.automaton import SuffixAutomaton
-from patronscope.llm.common import batch, texts
+from patronscope.llm.common import batch, free, stored, texts
 
 WINDOW = 10
 WORDS_PER_AUTOMATON = 100_000
+AT_ONCE = 4
 #: Lower-cases A-Z and turns every ASCII byte that is in no word into a space.
 _FOLD = bytes(
     b if b >= 128 or chr(b) in "0123456789abcdefghijklmnopqrstuvwxyz"
@@ -53,12 +56,15 @@ class Matcher:
     def __init__(self, items: list[tuple[str, bytes | None]], window: int) -> None:
         self.numbers: dict[bytes, int] = {}
         automaton = SuffixAutomaton(window)
-        shortest = window
+        ids: dict[tuple[int, ...], list[str]] = {}
         for item_id, text in items:
-            numbered = [self.numbers.setdefault(w, len(self.numbers)) for w in words(text)]
-            automaton.add(item_id, numbered)
+            numbered = tuple(self.numbers.setdefault(w, len(self.numbers)) for w in words(text))
             if numbered:
-                shortest = min(shortest, len(numbered))
+                ids.setdefault(numbered, []).append(item_id)
+        for numbered, own in ids.items():
+            automaton.add(own, numbered)
+        shortest = min(map(len, ids), default=window)
+        shortest = min(shortest, window)
         self.automaton, self.shortest = automaton.finish(), shortest
 
     def match(self, found_words: list[bytes], hit: bytearray) -> tuple[set[str], int]:
@@ -76,11 +82,11 @@ class Matcher:
         for i in long_enough:
             a, b = int(starts[i]), int(ends[i])
             longest = max(longest, self.automaton.scan(numbered[a:b].tolist(), hit, a, found))
-        return {self.automaton.items[k][0] for k in found}, longest
+        return {item_id for k in found for item_id in self.automaton.items[k][0]}, longest
 
 
-def matchers(benchmark: DataFrame, window: int = WINDOW) -> list:
-    """Broadcast matchers over blocks of the benchmark, each of a bounded size."""
+def matchers(benchmark: DataFrame, window: int = WINDOW) -> Iterator[list]:
+    """Broadcast matchers over blocks of the benchmark, at most ``AT_ONCE`` together."""
     spark = benchmark.sparkSession
     items = benchmark.select(
         F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"),
@@ -89,12 +95,79 @@ def matchers(benchmark: DataFrame, window: int = WINDOW) -> list:
     # a word and its separator are two bytes at least
     size = items.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 0
     blocks = max(1, -(-size // (2 * WORDS_PER_AUTOMATON)))
-    out = []
-    for block in range(blocks):
-        own = items.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == block)
-        rows = [(r.item_id, r.text.encode()) for r in own.collect()]
-        out.append(spark.sparkContext.broadcast(Matcher(sorted(rows), window)))
-    return out
+    for first in range(0, blocks, AT_ONCE):
+        out = []
+        for block in range(first, min(first + AT_ONCE, blocks)):
+            own = items.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == block)
+            rows = sorted((r.item_id, r.text.encode()) for r in own.collect())
+            out.append(spark.sparkContext.broadcast(Matcher(rows, window)))
+        yield out
+
+
+class Carried:
+    """What earlier passes found in a document, kept beside it in one binary column."""
+
+    SEPARATOR = b"\0"
+
+    @staticmethod
+    def read(data: bytes | None, n_words: int) -> tuple[bytearray, set[str], int]:
+        """Hit words, ids of the items found and the longest run."""
+        if data is None:
+            return bytearray(n_words), set(), 0
+        longest, hit, ids = zlib.decompress(data).split(Carried.SEPARATOR, 2)
+        marks = bytearray(x - 48 for x in hit)
+        found = {bytes.fromhex(x.decode()).decode() for x in ids.split(b",")[1:]}
+        return marks, found, int(longest)
+
+    @staticmethod
+    def write(hit: bytearray, found: set[str], longest: int) -> bytes | None:
+        if not longest:
+            return None
+        ids = b"".join(b"," + x.encode().hex().encode() for x in sorted(found))
+        marks = bytes(x + 48 for x in hit)
+        return zlib.compress(Carried.SEPARATOR.join([b"%d" % longest, marks, ids]), 1)
+
+
+Judge = Callable[[bytes | None, bytes | None], tuple[int, bytearray, set[str], int]]
+
+
+def matched(documents: DataFrame, benchmark: DataFrame, window: int) -> tuple[DataFrame, str, Judge]:
+    """The documents with a column of what all passes but the last found, its name, and the last pass.
+
+    That pass is a function of a text and that column's value; it returns the number of words, the
+    hit words, the ids of the items found and the longest run.
+    """
+
+    def judge_by(blocks: list) -> Judge:
+        def judge(text: bytes | None, before: bytes | None) -> tuple[int, bytearray, set[str], int]:
+            w = words(text)
+            hit, found, longest = Carried.read(before, len(w))
+            for block in blocks:
+                ids, run = block.value.match(w, hit)
+                found, longest = found | ids, max(longest, run)
+            return len(w), hit, found, longest
+
+        return judge
+
+    name = free(documents, "matched")
+    documents = documents.withColumn(name, F.lit(None).cast("binary"))
+    at, last = documents.columns.index("text"), len(documents.columns) - 1
+    passes = matchers(benchmark, window)
+    blocks = next(passes)
+    for following in passes:
+        judge = judge_by(blocks)
+
+        def carry(batches: Iterator[pa.RecordBatch], judge: Judge = judge) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                both = zip(texts(b.column(at)), b.column(last).to_pylist())
+                found = [Carried.write(*judge(text, before)[1:]) for text, before in both]
+                yield b.set_column(last, b.schema.field(last), pa.array(found, b.schema.field(last).type))
+
+        documents = stored(documents.mapInArrow(carry, documents.schema), "matched")
+        for block in blocks:
+            block.unpersist()
+        blocks = following
+    return documents, name, judge_by(blocks)
 
 
 HITS_SCHEMA = pa.schema(
@@ -116,28 +189,25 @@ HITS_DDL = (
 
 def hits(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """Per document: its words, those inside an item's window, and the items found."""
-    blocks = matchers(benchmark, window)
+    docs = documents.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
+    )
+    docs, _, judge = matched(docs, benchmark, window)
 
-    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             columns: list[list] = [[] for _ in HITS_SCHEMA]
-            for doc_id, text in zip(b.column(0).to_pylist(), texts(b.column(1))):
-                w = words(text)
-                hit, found, longest = bytearray(len(w)), set(), 0
-                for block in blocks:
-                    ids, run = block.value.match(w, hit)
-                    found, longest = found | ids, max(longest, run)
+            rows = zip(b.column(0).to_pylist(), texts(b.column(1)), b.column(2).to_pylist())
+            for doc_id, text, before in rows:
+                n_words, hit, found, longest = judge(text, before)
                 sha = hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
                 n_hit = sum(hit)
-                row = (doc_id, len(w), n_hit, len(found), sha, n_hit > 0, longest)
+                row = (doc_id, n_words, n_hit, len(found), sha, n_hit > 0, longest)
                 for c, v in zip(columns, row):
                     c.append(v)
             yield batch(HITS_SCHEMA, columns)
 
-    docs = documents.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
-    )
-    return docs.mapInArrow(judge, HITS_DDL)
+    return docs.mapInArrow(run, HITS_DDL)
 
 
 def _without(text: bytes, hit: bytearray) -> bytes:
@@ -169,27 +239,24 @@ def decontaminate(
     document of which more than ``max_coverage`` of the words were hit is dropped. All
     columns are kept; ``n_chars``, where there is one, follows the text.
     """
-    blocks = matchers(benchmark, window)
     source = documents.withColumn("text", F.col("text").cast("string"))
-    at = source.columns.index("text")
+    source, name, judge = matched(source, benchmark, window)
+    at, last = source.columns.index("text"), len(source.columns) - 1
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out, keep = texts(b.column(at)), []
-            for i, text in enumerate(out):
-                w = words(text)
-                hit = bytearray(len(w))
-                for block in blocks:
-                    block.value.match(w, hit)
+            for i, (text, before) in enumerate(zip(out, b.column(last).to_pylist())):
+                n_words, hit, _, _ = judge(text, before)
                 n_hit = sum(hit)
-                keep.append(n_hit <= max_coverage * len(w))
+                keep.append(n_hit <= max_coverage * n_words)
                 if n_hit and keep[-1]:
                     out[i] = _without(text, hit)
             column = pa.array(out, pa.binary()).cast(b.schema.field(at).type)
             changed = b.set_column(at, b.schema.field(at), column)
             yield changed.filter(pa.array(keep, pa.bool_()))
 
-    result = source.mapInArrow(cut, source.schema)
+    result = source.mapInArrow(cut, source.schema).drop(name)
     if "n_chars" in result.columns:
         kind = documents.schema["n_chars"].dataType
         result = result.withColumn("n_chars", F.char_length("text").cast(kind))

@@ -56,8 +56,10 @@ def test_random_texts(spark, monkeypatch):
     text = lambda n: " ".join(pick.choice(["a", "B", "c,", "é", "7"]) for _ in range(n))
     items = [(i, text(pick.randint(0, 9))) for i in range(12)] + [(3, "a b"), (50, None), (51, "")]
     docs = [(i, text(pick.randint(0, 60))) for i in range(60)] + [(7, None), (7, ""), (None, "a b c")]
-    for words in (100_000, 8):  # one automaton, and several
+    items += [(60, items[0][1]), (61, items[5][1])]  # equal texts
+    for words, at_once in ((100_000, 4), (8, 50), (20, 2)):  # one automaton, several, several passes
         monkeypatch.setattr(decontam, "WORDS_PER_AUTOMATON", words)
+        monkeypatch.setattr(decontam, "AT_ONCE", at_once)
         assert got(decontam.hits(*frames(spark, docs, items), window=5)) == brute(docs, items, 5)
 
 
