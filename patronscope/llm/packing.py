@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from patronscope.llm import tokens
-from patronscope.llm.common import batch, parts, stored
+from patronscope.llm.common import batch, stored
 
 WINDOW = 2048
 END_ID = 1
@@ -68,7 +68,7 @@ def tokenized(documents: DataFrame, vocabularies: str) -> DataFrame:
                 part = b.slice(at, 256)
                 ids = [encode(t) + end if t else end for t in part.column(1).to_pylist()]
                 for x in ids:
-                    n_docs[np.unique(np.frombuffer(x, "<u2"))] += 1
+                    n_docs[term_counts(np.frombuffer(x, "<u2"))[0]] += 1
                 yield batch(IDS, [part.column(0).to_pylist(), ids, [None] * len(ids)])
         yield batch(IDS, [[None], [None], [n_docs.tobytes()]])
 
@@ -96,6 +96,13 @@ def documents_per_id(rows: DataFrame) -> np.ndarray:
     return out
 
 
+def term_counts(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ids of a document, ascending, and how often each occurs."""
+    x = np.sort(ids, kind="stable")  # a radix sort, as ids have 16 bits
+    first = np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]]))
+    return x[first], np.diff(np.append(first, len(x)))
+
+
 class Shard:
     """A BM25 inverted index over the documents of one shard."""
 
@@ -103,7 +110,7 @@ class Shard:
         terms, owners, scores = [], [], []
         self.queries = []
         for i, x in enumerate(ids):
-            term, count = np.unique(x, return_counts=True)
+            term, count = term_counts(x)
             norm = K1 * (1 - B + B * len(x) / mean_length)
             score = (weight[term] * count * (K1 + 1) / (count + norm)).astype(np.float32)
             terms.append(term)
@@ -242,7 +249,7 @@ def pack(
         return spark.createDataFrame([], PIECES_DDL)
     holders = documents_per_id(rows)
     weight = spark.sparkContext.broadcast(np.log1p((n - holders + 0.5) / (holders + 0.5)))
-    shards = int(max(-(-size // shard_tokens), min(parts(docs), n)))
+    shards = -(-int(size) // shard_tokens)
     # by id and content, so that a repeated id is no hot shard
     shard = F.pmod(F.xxhash64("doc_id", F.crc32("ids")), F.lit(shards))
     by_shard = docs.withColumn("shard", shard).groupBy("shard")

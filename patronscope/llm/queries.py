@@ -1,4 +1,4 @@
-"""The queries ``op1_`` to ``op10_``; the SQL that checks them is in ``queries_sql``."""
+"""The queries ``op1_`` to ``op13_``; the SQL that checks them is in ``queries_sql``."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from patronscope.llm import (
+    align,
     ann,
     decontam,
     html_extract,
@@ -80,6 +81,10 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(table(spark, sf_dir, "pages"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.align(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     own = [
         op1_warc_chunks,
@@ -92,5 +97,6 @@ def queries() -> dict[str, Query]:
         op8_packing,
         op9_decontamination,
         op10_html_extraction,
+        op11_token_alignment,
     ]
     return {q.__name__: q for q in own}

@@ -97,12 +97,8 @@ def test_neighbours_share_sequences(spark):
         "judge court lawyer crime trial prison police justice".split(),
     ]
     docs = [(i, " ".join(pick.choice(topics[i % 6]) for _ in range(30))) for i in range(120)]
-    df = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
-    spark.conf.set("spark.sql.shuffle.partitions", "1")
-    try:
-        rows = packing.pack(df, window=256).collect()
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    rows = packing.pack(df, window=256).collect()
     kinds = defaultdict(list)
     for r in rows:
         kinds[r.sequence_id].append(r.doc_id % 6)
