@@ -15,6 +15,7 @@ from patronscope.llm import (
     langid,
     neardup,
     packing,
+    phrases,
     quality,
     secret_scan,
     substring,
@@ -85,6 +86,10 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align.align(table(spark, sf_dir, "documents"))
 
 
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     own = [
         op1_warc_chunks,
@@ -98,5 +103,6 @@ def queries() -> dict[str, Query]:
         op9_decontamination,
         op10_html_extraction,
         op11_token_alignment,
+        op12_phrase_collocations,
     ]
     return {q.__name__: q for q in own}

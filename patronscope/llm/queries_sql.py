@@ -72,6 +72,30 @@ FROM words w LEFT JOIN hit ON hit.doc_id = w.doc_id LEFT JOIN ids ON ids.doc_id
 WHERE w.item_id IS NULL
 """
 
+OP12 = f"""
+WITH piece AS (SELECT coalesce(lang, 'und') AS lang,
+    unnest(string_split_regex({LOWER}, '[.,;:!?\\x0A-\\x0D]')) AS p FROM documents),
+w AS (SELECT lang, regexp_extract_all(p, '[^\\x20\\x09]+') AS ws FROM piece),
+total AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM w GROUP BY 1),
+f AS (SELECT lang, ph, count(*) AS f FROM (
+    SELECT lang, ws[i:i + k - 1] AS ph FROM (
+        SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i
+        FROM w, (SELECT unnest([1, 2, 3]) AS k) WHERE len(ws) >= k)) GROUP BY 1, 2),
+cand AS (SELECT lang, ph, f AS a FROM f WHERE len(ph) > 1 AND f >= 10),
+cut AS (SELECT lang, ph, a, k, ph[1:k] AS first, ph[k + 1:] AS rest
+    FROM (SELECT *, unnest(range(1, len(ph))) AS k FROM cand)),
+score AS (SELECT cut.lang, cut.ph, a, k, x.f AS l, y.f AS r,
+        ((1000000::HUGEINT * a * a) // (x.f::HUGEINT * y.f))::BIGINT AS score
+    FROM cut JOIN f x ON x.lang = cut.lang AND x.ph = first JOIN f y ON y.lang = cut.lang AND y.ph = rest),
+low AS (SELECT * FROM score QUALIFY row_number() OVER (PARTITION BY lang, ph ORDER BY score, k) = 1),
+inside AS (SELECT lang, ph, max(a) AS longer FROM (
+    SELECT lang, unnest([ph[1:2], ph[2:3]]) AS ph, a FROM cand WHERE len(ph) = 3) GROUP BY 1, 2),
+kept AS (SELECT low.*, array_to_string(low.ph, ' ') AS phrase
+    FROM low LEFT JOIN inside USING (lang, ph) WHERE longer IS NULL OR 100 * longer < 50 * a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
@@ -79,4 +103,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_near_duplicates": OP5,
         "op6_substring_dedup": OP6,
         "op9_decontamination": OP9,
+        "op12_phrase_collocations": OP12,
     }
