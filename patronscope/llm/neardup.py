@@ -5,13 +5,12 @@ smallest doc_id stands for it; only these representatives are joined.
 
 Chosen path. Independent trees branch the representatives by minwise tokens: at each level a
 tree takes the minimum of the set under some of ``POOL`` hash functions, and documents that
-agree stay together in a node. A node of at most ``NODE_LIMIT`` documents is compared
-exhaustively. A larger one compares all its documents with two pivots (the first and last
-by a hash of the id) and branches on, to the depths in ``DEPTHS``; what is still large at the
-last depth are copies with small changes, which the pivots link. So a node never yields
-more than a fixed number of pairs per document. A pair with the least similarity s stays
-together to depth d with probability s ** d; the number of trees follows from the recall
-asked for. Candidate pairs are then confirmed on the full sets of both texts.
+agree stay together in a node. After ``DEPTH`` levels the documents of a node are compared with each
+other, whatever their number: first each with the node's smallest, which joins the copies of a group; then
+all of the node that are not in one component yet, large nodes in blocks of bounded size
+(see ``linking``). So a pair with the least similarity s that meets in a tree is always compared, it meets with
+probability s ** DEPTH, and the number of trees follows from the recall asked for. Pairs that sizes and
+parity sketches allow are confirmed on the full sets of both texts.
 
 Links go through components by alternating large-star and small-star steps, each written to
 the shared folder, until nothing changes.
@@ -28,80 +27,60 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from patronscope.llm import linking
 from patronscope.llm.common import batch, fmix64, stored, texts
-from patronscope.llm.hashing import FIRST, hashed, window_hashes
+from patronscope.llm.hashing import FIRST
+from patronscope.llm.linking import SKETCH, components, shingles, sketch, word_list
+
+__all__ = ["components", "n_trees", "near_duplicates", "shingles", "word_list"]
 
 POOL = 64
-DEPTHS = (5, 8, 12)
-NODE_LIMIT = 16
+DEPTH = 5
 RECALL = 0.9995
 
 SETS = pa.schema(
-    [
-        ("doc_id", pa.int64()),
-        ("n_shingles", pa.int64()),
-        ("set_a", pa.int64()),
-        ("set_b", pa.int64()),
-        ("nodes", pa.list_(pa.int64())),
-        ("deeper", pa.list_(pa.int32())),
-    ]
+    [("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_a", pa.int64()), ("set_b", pa.int64())]
+    + [(s, pa.int64()) for s in SKETCH]
+    + [("nodes", pa.list_(pa.int64()))]
 )
 SETS_DDL = (
-    "doc_id long, n_shingles long, set_a long, set_b long, nodes array<bigint>, deeper array<int>"
+    "doc_id long, n_shingles long, set_a long, set_b long, "
+    + ", ".join(f"{s} long" for s in SKETCH)
+    + ", nodes array<bigint>"
 )
 
 
 def n_trees(recall: float, similarity: float) -> int:
-    return math.ceil(math.log(1 - recall) / math.log(1 - similarity ** DEPTHS[0]))
-
-
-def word_list(text: bytes | None) -> list[bytes]:
-    """Words with A-Z in lower case; they end at ASCII white space."""
-    return text.lower().split() if text else []
-
-
-def shingles(text: bytes | None, width: int) -> np.ndarray:
-    """The distinct shingle hashes of a text, ascending."""
-    values = hashed(word_list(text))
-    if not len(values):
-        return values
-    if len(values) < width:
-        return fmix64(window_hashes(values, len(values), FIRST) + np.uint64(len(values)))
-    return np.unique(fmix64(window_hashes(values, width, FIRST)))
+    return math.ceil(math.log(1 - recall) / math.log(1 - similarity**DEPTH))
 
 
 def _choices(trees: int) -> tuple[np.ndarray, np.ndarray]:
     """Multipliers of the minwise functions, and the functions each tree takes in turn."""
     random = np.random.default_rng(20)
     multipliers = random.integers(1 << 62, 1 << 63, POOL, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    return multipliers, np.array([random.permutation(POOL)[: DEPTHS[-1]] for _ in range(trees)])
+    return multipliers, np.array([random.permutation(POOL)[:DEPTH] for _ in range(trees)])
 
 
-def _paths(values: np.ndarray, multipliers: np.ndarray, turns: np.ndarray) -> tuple[list, list]:
-    """Node keys of a set in each tree: 64 bits at the first depth, 32 more at each next one."""
+def _paths(values: np.ndarray, multipliers: np.ndarray, turns: np.ndarray) -> list[int]:
+    """The node of a set in each tree."""
     least = np.full(POOL, np.iinfo(np.uint64).max, np.uint64)
     for at in range(0, len(values), 4096):
         some = values[None, at : at + 4096] * multipliers[:, None]
         np.minimum(least, some.min(axis=1), out=least)
     key = np.arange(len(turns), dtype=np.uint64)
-    columns = []
-    for depth in range(DEPTHS[-1]):
-        key = fmix64(key * np.uint64(FIRST) + least[turns[:, depth]] + np.uint64(1))
-        if depth + 1 in DEPTHS:
-            columns.append(key)
-    deeper = (np.stack(columns[1:], axis=1) >> np.uint64(32)).astype(np.uint32).view(np.int32)
-    return columns[0].view(np.int64).tolist(), deeper.ravel().tolist()
+    for level in range(DEPTH):
+        key = fmix64(key * np.uint64(FIRST) + least[turns[:, level]] + np.uint64(1))
+    return key.view(np.int64).tolist()
 
 
 def sets(documents: DataFrame, width: int, similarity: float, recall: float = RECALL) -> DataFrame:
-    """Per document: size and 128-bit digest of its set, and its node keys in all trees."""
+    """Per document: size, 128-bit digest and sketch of its set, and its nodes in all trees."""
     multipliers, turns = _choices(n_trees(recall, similarity))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,106 +90,12 @@ def sets(documents: DataFrame, width: int, similarity: float, recall: float = RE
                 values = shingles(text, width)
                 digest = hashlib.blake2b(values.tobytes(), digest_size=16).digest()
                 a, c = np.frombuffer(digest, np.int64).tolist()
-                keys = _paths(values, multipliers, turns) if len(values) else (None, None)
-                for column, v in zip(columns, (doc_id, len(values), a, c, *keys)):
+                nodes = _paths(values, multipliers, turns) if len(values) else None
+                for column, v in zip(columns, (doc_id, len(values), a, c, *sketch(values), nodes)):
                     column.append(v)
             yield batch(SETS, columns)
 
-    docs = documents.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
-    )
-    return docs.mapInArrow(run, SETS_DDL)
-
-
-def _level(rows: DataFrame, depth: int) -> tuple[DataFrame, DataFrame]:
-    """Candidate pairs of the nodes at one depth, and the rows that branch on."""
-    key = [f"k{i}" for i in range(depth + 1)]
-    member = F.struct("id", "n")
-    order = F.xxhash64("id")
-    nodes = rows.groupBy(*key).agg(
-        F.count("*").alias("size"),
-        F.min_by(member, order).alias("low"),
-        F.max_by(member, order).alias("high"),
-    )
-    small = rows.join(nodes.where(F.col("size").between(2, NODE_LIMIT)).select(*key), key)
-    # its own exchange, so that the join before it can split the rows of a large node
-    small = small.repartition(*key).groupBy(*key).agg(F.sort_array(F.collect_list(member)).alias("all"))
-    first = small.select(F.posexplode("all").alias("i", "a"), "all")
-    exhaustive = first.select(
-        "a", F.explode(F.slice("all", F.col("i") + 2, NODE_LIMIT)).alias("b")
-    )
-    large = rows.join(nodes.where(F.col("size") > NODE_LIMIT), key)
-    star = large.select(
-        F.explode(F.array("low", "high")).alias("pivot"), member.alias("own")
-    ).select(F.least("pivot", "own").alias("a"), F.greatest("pivot", "own").alias("b"))
-    return exhaustive.unionByName(star), large.select(rows.columns)
-
-
-def candidates(classes: DataFrame, similarity: float) -> DataFrame:
-    """Distinct pairs ``a < b`` of class ids that share a small node or a pivot.
-
-    Pairs whose sizes alone rule the similarity out are left out.
-    """
-    percent = round(100 * similarity)
-    more = len(DEPTHS) - 1
-    rows = classes.select("id", "n", F.posexplode("nodes").alias("tree", "k0"), "deeper").select(
-        "id",
-        "n",
-        "k0",
-        *[F.get("deeper", F.col("tree") * more + i).alias(f"k{i + 1}") for i in range(more)],
-    )
-    found = None
-    for depth in range(len(DEPTHS)):
-        pairs, rows = _level(rows, depth)
-        found = pairs if found is None else found.unionByName(pairs)
-    fits = 100 * F.least("a.n", "b.n") >= percent * F.greatest("a.n", "b.n")
-    return (
-        found.where((F.col("a.id") != F.col("b.id")) & fits)
-        .select(F.col("a.id").alias("a"), F.col("b.id").alias("b"))
-        .distinct()
-    )
-
-
-def confirmed(pairs: DataFrame, documents: DataFrame, width: int, similarity: float) -> DataFrame:
-    """The pairs whose full sets reach the similarity: ``100 * common >= percent * union``."""
-    percent = round(100 * similarity)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        full = lru_cache(maxsize=64)(lambda text: shingles(text, width))
-        for b in batches:
-            keep = []
-            for x, y in zip(texts(b.column(2)), texts(b.column(3))):
-                x, y = full(x), full(y)
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * common >= percent * (len(x) + len(y) - common))
-            yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    # one row per id, as pairs stand for ids; equal ids differ in text only by mistake
-    docs = documents.select(
-        F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text")
-    ).where("id is not null and text is not null")
-    with_a = pairs.join(docs.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
-    both = with_a.join(docs.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long").distinct()
-
-
-def components(links: DataFrame) -> DataFrame:
-    """``id, root`` of every linked id; ``root`` is the smallest id of its component."""
-    edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-    edges, before = stored(edges.where("u != v").distinct(), "edges"), None
-    while True:
-        either = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = either.groupBy("u").agg(F.min("v").alias("m"))
-        least = least.select("u", F.least("u", "m").alias("m"))
-        large = either.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u != v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = stored(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "edges")
-        after = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if after == before:
-            return edges.select(F.col("u").alias("id"), F.col("v").alias("root"))
-        before = after
+    return linking.documents_of(documents).mapInArrow(run, SETS_DDL)
 
 
 def near_duplicates(
@@ -222,29 +107,9 @@ def near_duplicates(
     links reach; ``kept`` marks the documents that are their component's first.
     """
     known = stored(sets(documents, width, similarity, recall), "shingle-sets")
-    full = known.where("n_shingles > 0 and doc_id is not null")
-    # a table of its own: a set that many documents share is then a join Spark can split
-    named = full.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("class_id"))
-    named = stored(named, "classes")
-    first = named.withColumnRenamed("class_id", "doc_id")
-    classes = full.join(first, ["doc_id", "set_a", "set_b"], "left_semi")
-    classes = classes.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "nodes", "deeper")
-    links = confirmed(candidates(classes, similarity), documents, width, similarity)
-    links = stored(links, "links")
-    own = known.drop("nodes", "deeper").join(named, ["set_a", "set_b"], "left")
-    # an id that stands for several rows links their classes
-    repeated = full.groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows > 1")
-    mixed = own.where("n_shingles > 0").join(repeated, "doc_id", "left_semi")
-    mixed = mixed.select(F.col("class_id").alias("a"), F.col("doc_id").alias("b")).where("a != b")
-    roots = components(links.unionByName(mixed))
-    class_id = F.when(F.col("n_shingles") > 0, F.col("class_id")).otherwise(F.col("doc_id"))
-    own = own.withColumn("class_id", F.when(F.col("doc_id").isNotNull(), class_id))
-    linked = own.join(roots.withColumnRenamed("id", "class_id"), "class_id", "left")
-    component = F.coalesce("root", "class_id")
-    return linked.select(
-        "doc_id",
-        "n_shingles",
-        "class_id",
-        component.alias("component_id"),
-        F.col("doc_id").eqNullSafe(component).alias("kept"),
-    )
+    named = linking.class_table(known)
+    first = linking.first_of_class(known, named)
+    classes = stored(first.select("id", "n", *SKETCH), "class-sketches")
+    rows = first.select("id", F.explode("nodes").alias("key"))
+    found = linking.links(rows, classes, documents, width, round(100 * similarity))
+    return linking.grouped(known, named, found)

@@ -1,15 +1,16 @@
 """Phrase collocations per language by SON partitioning.
 
-The corpus is dealt to ``shards`` shards by a hash of the documents. A phrase that occurs ``least``
+The input partitions are dealt to ``shards`` shards. A phrase that occurs ``least``
 times in all occurs at least ``ceil(least / shards)`` times in some shard, whatever the shards'
 sizes: that is the lowered local support.
 
 1. Every shard is mined completely at that support, level by level: words and pairs first, then
-   phrases of three words both of whose pairs are locally frequent, and so on. A shard is as large
-   as the cluster makes it: all tasks read documents of all shards, count in chunks and Spark
+   phrases of three words both of whose pairs are candidates, and so on. A shard is as large
+   as the cluster makes it: many tasks read its documents and count in chunks, and Spark
    adds the counts up by shard and phrase, so no shard has to fit anywhere.
-2. The union of the locally frequent phrases are the candidates; a second pass over the
-   documents counts all of them globally and exactly, by the words themselves.
+2. The union of the locally frequent phrases are the candidates, but for those that could not reach
+   ``least`` with one less than the local support in every shard where they are not frequent. A second pass
+   over the documents counts all of them globally and exactly, by the words themselves.
 
 What one pass tells the next is a table of ``FILTER_BITS`` bits, set at the hashes of the frequent
 phrases. Its size doesn't depend on the corpus. A bit that two phrases share, like a hash that
@@ -30,12 +31,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from patronscope.llm.common import fmix64, stored, texts
 from patronscope.llm.hashing import FIRST
+from patronscope.operators.ranking import top_per_group
 
 LEAST = 10
 MAX_WORDS = 3
@@ -53,7 +55,6 @@ UNKNOWN = "und"
 _ENDS = b".,;:!?\x0a\x0b\x0c\x0d"
 _TO_DOT = bytes(0x2E if b in _ENDS else b for b in range(256))
 _END = re.compile(rb"[.,;:!?\x0a-\x0d]")
-_SHARD_BITS = np.uint64(8)
 
 
 class _Words(dict):
@@ -75,14 +76,13 @@ def _parts(text: bytes) -> Iterator[bytes]:
 class Chunk:
     """The words of some documents as numbers, and hashes of their phrases."""
 
-    def __init__(self, words: list[bytes], lengths: list[int], langs: list[bytes], shards: list[int]) -> None:
+    def __init__(self, words: list[bytes], lengths: list[int], langs: list[bytes]) -> None:
         known = _Words({b".": 0})
         self.ids = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
         self.words = list(known)
         self.langs = sorted(set(langs))
         at = {lang: i for i, lang in enumerate(self.langs)}
         self.lang = np.repeat(np.array([at[x] for x in langs], np.int64), lengths)
-        self.shard = np.repeat(np.array(shards, np.uint64), lengths)
         word_hash = np.array([xxhash.xxh3_64_intdigest(w) for w in self.words], np.uint64)
         lang_hash = np.array([xxhash.xxh3_64_intdigest(x) for x in self.langs], np.uint64)
         self._hash = word_hash[self.ids]
@@ -91,22 +91,19 @@ class Chunk:
         self.codes = self.ids
         self.size = 1
 
-    def grow(self) -> None:
+    def grow(self, with_codes: bool = True) -> None:
         """From phrases of ``size`` words at each place to phrases of one more."""
         k = self.size
-        n = max(len(self.codes) - 1, 0)
+        n = max(len(self.hashes) - 1, 0)
         self.hashes = fmix64(self.hashes[:n] * np.uint64(FIRST) + self._hash[k : k + n])
         self.inside = self.inside[:n] & (self.ids[k : k + n] != 0)
+        self.size = k + 1
+        if not with_codes:
+            return
         codes, v = self.codes[:n], len(self.words)
         if n and int(codes.max()) >= (1 << 62) // (v * len(self.langs)):
             codes = np.unique(codes, return_inverse=True)[1]
         self.codes = codes * v + self.ids[k : k + n]
-        self.size = k + 1
-
-    def keys(self) -> np.ndarray:
-        """Hashes of language and phrase, their last bits the shard."""
-        own = self.hashes >> _SHARD_BITS << _SHARD_BITS
-        return own | self.shard[: len(own)]
 
     def phrases(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The first place of every distinct phrase and language among ``places``, and its count."""
@@ -122,21 +119,20 @@ class Chunk:
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[Chunk]:
-    words, lengths, langs, shards = [], [], [], []
+    words, lengths, langs = [], [], []
     for b in batches:
-        for lang, text, shard in zip(texts(b.column(0)), texts(b.column(1)), b.column(2).to_pylist()):
+        for lang, text in zip(texts(b.column(0)), texts(b.column(1))):
             for part in _parts(text):
                 own = part.lower().translate(_TO_DOT).replace(b".", b" . ").split()
                 own.append(b".")
                 words += own
                 lengths.append(len(own))
                 langs.append(lang)
-                shards.append(shard)
                 if len(words) >= CHUNK_WORDS:
-                    yield Chunk(words, lengths, langs, shards)
-                    words, lengths, langs, shards = [], [], [], []
+                    yield Chunk(words, lengths, langs)
+                    words, lengths, langs = [], [], []
     if words:
-        yield Chunk(words, lengths, langs, shards)
+        yield Chunk(words, lengths, langs)
 
 
 def _bits(keys: np.ndarray) -> np.ndarray:
@@ -148,55 +144,52 @@ def _holds(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & np.uint8(1) != 0
 
 
-def _read(documents: DataFrame, shards: int) -> DataFrame:
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    key = [F.col("doc_id").cast("string")] if "doc_id" in documents.columns else []
+def _read(documents: DataFrame) -> DataFrame:
     return documents.select(
         F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN)).alias("lang"),
-        text.alias("text"),
-        F.pmod(F.xxhash64(text, *key), F.lit(shards)).alias("shard"),
+        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
 
 
-def local_counts(read: DataFrame, sizes: range, pairs=None) -> DataFrame:
-    """``key, n``: occurrences of the phrases of these sizes by shard.
+def local_counts(read: DataFrame, sizes: range, shards: int, shorter=None) -> DataFrame:
+    """``key, shard, n``: occurrences of the phrases of these sizes in each shard.
 
-    With a filter ``pairs`` of locally frequent phrases one word shorter, only phrases whose first and last
-    words both make such a phrase.
+    With a filter ``shorter`` of candidates one word shorter, only phrases whose first and last
+    words both make such a phrase: others cannot be frequent in the corpus, in whatever shards.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bitmap = None if pairs is None else np.frombuffer(pairs.value, np.uint8)
+        shard = TaskContext.get().partitionId() % shards
+        bitmap = None if shorter is None else np.frombuffer(shorter.value, np.uint8)
         for chunk in _chunks(batches):
             found = []
             for size in range(1, sizes.stop):
                 if size > 1:
-                    chunk.grow()
+                    chunk.grow(with_codes=False)
                 if bitmap is not None and size == sizes.start - 1:
-                    holds = _holds(bitmap, chunk.keys())
+                    holds = _holds(bitmap, chunk.hashes)
                     likely = holds[:-1] & holds[1:]
                 if size >= sizes.start:
                     keep = chunk.inside if bitmap is None else chunk.inside & likely
-                    found.append(chunk.keys()[keep])
+                    found.append(chunk.hashes[keep])
             keys, n = np.unique(np.concatenate(found), return_counts=True)
             for at in range(0, len(keys), 1 << 16):
                 part = slice(at, at + (1 << 16))
-                columns = [pa.array(keys[part].view(np.int64)), pa.array(n[part])]
-                yield pa.RecordBatch.from_arrays(columns, ["key", "n"])
+                own = keys[part].view(np.int64)
+                columns = [pa.array(own), pa.array(np.full(len(own), shard, np.int32)), pa.array(n[part])]
+                yield pa.RecordBatch.from_arrays(columns, ["key", "shard", "n"])
 
-    counts = read.mapInArrow(run, "key long, n long")
-    return counts.groupBy("key").agg(F.sum("n").alias("n"))
+    counts = read.mapInArrow(run, "key long, shard int, n long")
+    # chunks are counted already and most of their phrases are rare: straight to the shuffle
+    return counts.repartition("key").groupBy("key", "shard").agg(F.sum("n").alias("n"))
 
 
-def filters(frequent: DataFrame) -> tuple[bytes, bytes]:
-    """Tables of bits: one of the keys by shard, one of the phrases in any shard."""
-    blocks = FILTER_BITS >> 16
+def bits_of(keys: DataFrame) -> bytes:
+    """A table of ``FILTER_BITS`` bits, those of the column ``key`` set."""
 
     def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keys = b.column(0).to_numpy().view(np.uint64)
-            bits = np.concatenate([_bits(keys), FILTER_BITS + _bits(keys >> _SHARD_BITS)])
-            bits = np.unique(bits)
+            bits = np.unique(_bits(b.column(0).to_numpy().view(np.uint64)))
             yield pa.RecordBatch.from_arrays([pa.array(bits >> 16), pa.array(bits & 0xFFFF)], ["block", "bit"])
 
     def drawn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,25 +204,32 @@ def filters(frequent: DataFrame) -> tuple[bytes, bytes]:
                 ["block", "marks"],
             )
 
-    bits = frequent.select("key").mapInArrow(numbered, "block long, bit long")
+    bits = keys.select("key").mapInArrow(numbered, "block long, bit long")
     rows = bits.repartition(F.col("block")).mapInArrow(drawn, "block long, marks binary")
-    out = bytearray(FILTER_BITS // 4)
-    for row in rows.limit(2 * blocks).collect():
+    out = bytearray(FILTER_BITS // 8)
+    for row in rows.limit(FILTER_BITS >> 16).collect():
         out[row.block << 13 : (row.block + 1) << 13] = row.marks
-    return bytes(out[: FILTER_BITS // 8]), bytes(out[FILTER_BITS // 8 :])
+    return bytes(out)
 
 
-def candidates(read: DataFrame, least: int, max_words: int, shards: int) -> bytes:
-    """The filter of all phrases that are frequent in some shard."""
+def possible(counts: DataFrame, least: int, shards: int) -> DataFrame:
+    """``key`` of the locally frequent phrases that can be frequent in all the corpus."""
     support = -(-least // shards)
+    frequent = counts.where(F.col("n") >= support).groupBy("key")
+    frequent = frequent.agg(F.sum("n").alias("n"), F.count("*").alias("in_shards"))
+    return frequent.where(F.col("n") + (support - 1) * (shards - F.col("in_shards")) >= least).select("key")
+
+
+def candidates(read: DataFrame, least: int, max_words: int, shards: int) -> bytes:
+    """The filter of all phrases that can be frequent."""
     spark = read.sparkSession
-    frequent = local_counts(read, range(1, min(max_words, 2) + 1)).where(F.col("n") >= support)
-    pairs, union = filters(frequent)
+    counts = local_counts(read, range(1, min(max_words, 2) + 1), shards)
+    union = shorter = bits_of(possible(counts, least, shards))
     for size in range(3, max_words + 1):
-        shared = spark.sparkContext.broadcast(pairs)
-        frequent = local_counts(read, range(size, size + 1), shared).where(F.col("n") >= support)
-        pairs, more = filters(frequent)
-        union = (np.frombuffer(union, np.uint8) | np.frombuffer(more, np.uint8)).tobytes()
+        shared = spark.sparkContext.broadcast(shorter)
+        counts = local_counts(read, range(size, size + 1), shards, shared)
+        shorter = bits_of(possible(counts, least, shards))
+        union = (np.frombuffer(union, np.uint8) | np.frombuffer(shorter, np.uint8)).tobytes()
         shared.unpersist()
     return union
 
@@ -251,7 +251,7 @@ def global_counts(read: DataFrame, union: bytes, max_words: int) -> DataFrame:
                 if size > 1:
                     chunk.grow()
                 keep = chunk.inside.copy()
-                keep[keep] = _holds(bitmap, chunk.hashes[keep] >> _SHARD_BITS)
+                keep[keep] = _holds(bitmap, chunk.hashes[keep])
                 places, n = chunk.phrases(np.flatnonzero(keep))
                 langs += [chunk.langs[i].decode() for i in chunk.lang[places].tolist()]
                 names += [chunk.text(i).decode() for i in places.tolist()]
@@ -309,17 +309,14 @@ def collocations(
     shards: int = SHARDS,
 ) -> DataFrame:
     """``lang, rank, phrase, a, l, r, n, score`` of each language's ``top`` phrases."""
-    if not 1 <= shards < 1 << int(_SHARD_BITS):
-        raise ValueError("1 to 255 shards")
-    read = _read(documents, shards)
+    read = _read(documents)
     union = candidates(read, least, max_words, shards)
     counted = global_counts(read, union, max_words)
     counted = stored(counted.where((F.col("n") >= least) | F.col("phrase").isNull()), "phrases")
     frequent = counted.where("phrase is not null").withColumnRenamed("n", "a")
     totals = counted.where("phrase is null").select("lang", "n")
-    order = W.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
-    ranked = uncovered(scored(frequent)).withColumn("rank", F.row_number().over(order))
-    ranked = ranked.where(F.col("rank") <= top)
+    order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
+    ranked = top_per_group(uncovered(scored(frequent)), "lang", order, top)
     return ranked.join(totals, "lang").select(
         "lang", F.col("rank").cast("long"), "phrase", "a", "l", "r", "n", "score"
     )

@@ -18,6 +18,7 @@ from patronscope.llm import (
     phrases,
     quality,
     secret_scan,
+    sketch_join,
     substring,
     warc,
 )
@@ -90,6 +91,11 @@ def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(spark, sf_dir, "documents"))
 
 
+def op13_parity_sketch_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sketch_join.similar(table(spark, sf_dir, "documents"), width=4, similarity=0.85)
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 def queries() -> dict[str, Query]:
     own = [
         op1_warc_chunks,
@@ -104,5 +110,6 @@ def queries() -> dict[str, Query]:
         op10_html_extraction,
         op11_token_alignment,
         op12_phrase_collocations,
+        op13_parity_sketch_join,
     ]
     return {q.__name__: q for q in own}

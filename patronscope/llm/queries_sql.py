@@ -14,22 +14,24 @@ SELECT page_id, url, strlen(html) AS payload_bytes,
 FROM f
 """
 
-OP5 = f"""
+_LINKED = f"""
 WITH RECURSIVE w AS (
     SELECT doc_id, regexp_extract_all({LOWER}, '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
 s AS (
-    SELECT DISTINCT doc_id, ws[i:i + 1] AS sh
-    FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws), 2))) AS i FROM w WHERE len(ws) > 0)),
+    SELECT DISTINCT doc_id, ws[i:i + {{width}} - 1] AS sh
+    FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - {{width}} + 2, 2))) AS i FROM w WHERE len(ws) > 0)),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
 pair AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
     FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id <> b.doc_id GROUP BY 1, 2),
 link AS (SELECT a, b FROM pair JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
-    WHERE 100 * c >= 80 * (x.n + y.n - c)),
+    WHERE 100 * c >= {{percent}} * (x.n + y.n - c)),
 reach AS (SELECT doc_id AS a, doc_id AS b FROM documents
     UNION SELECT reach.a, link.b FROM reach JOIN link ON link.a = reach.b)
-SELECT doc_id, coalesce(n, 0) AS n_shingles, root AS component_id, root = doc_id AS kept
+SELECT doc_id, coalesce(n, 0) AS n_shingles, root AS component_id{{more}}
 FROM (SELECT a AS doc_id, min(b) AS root FROM reach GROUP BY 1) LEFT JOIN n USING (doc_id)
 """
+OP5 = _LINKED.format(width=2, percent=80, more=", root = doc_id AS kept")
+OP13 = _LINKED.format(width=4, percent=85, more="")
 
 OP6 = """
 WITH t AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
@@ -104,4 +106,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_substring_dedup": OP6,
         "op9_decontamination": OP9,
         "op12_phrase_collocations": OP12,
+        "op13_parity_sketch_join": OP13,
     }

@@ -64,3 +64,27 @@ def test_components_of_a_chain_and_a_star(spark):
     roots = {r.id: r.root for r in neardup.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     want = {i: 0 for i in range(1, 61)} | {100 + i: 100 for i in range(1, 200)} | {350: 349}
     assert {k: v for k, v in roots.items() if k != v} == want
+
+
+def template(seed):
+    """Documents that share 850 of 1,000 words (no links), and 100 pairs at a similarity of 0.81."""
+    pick = random.Random(seed)
+    base = [f"t{i}" for i in range(850)]
+    own = [[f"u{seed}_{i}_{j}" for j in range(150)] for i in range(400)]
+    for i in range(0, 200, 2):
+        own[i + 1] = own[i][:46] + own[i + 1][:104]
+    docs = [" ".join(base + x) for x in own]
+    pick.shuffle(docs)
+    return list(enumerate(docs))
+
+
+def test_links_within_a_shared_template(spark):
+    found = wanted = 0
+    for seed in range(5):
+        docs = template(seed)
+        df = spark.createDataFrame(docs, "doc_id long, text string")
+        rows, want = got(neardup.near_duplicates(df, 1)), near_duplicates(docs, 1)
+        links = sum(not r[3] for r in want)
+        assert links == 100 and all(r in want or r[3] for r in rows)
+        found, wanted = found + sum(not r[3] for r in rows), wanted + links
+    assert found >= 0.99 * wanted

@@ -81,7 +81,7 @@ def test_one_very_long_text_in_parts(spark, monkeypatch):
 def test_small_chunks_give_the_same(monkeypatch):
     rows = corpus(1)
     batch = pa.RecordBatch.from_pydict(
-        {"lang": [r[0] or "und" for r in rows], "text": [r[1] or "" for r in rows], "shard": [0] * len(rows)}
+        {"lang": [r[0] or "und" for r in rows], "text": [r[1] or "" for r in rows]}
     )
 
     def counted(size):
@@ -102,7 +102,7 @@ def test_small_chunks_give_the_same(monkeypatch):
 def test_a_full_filter_changes_nothing(spark, monkeypatch):
     rows = corpus(4)
     docs = spark.createDataFrame(rows, "lang string, text string")
-    read = phrases._read(docs, 4)
+    read = phrases._read(docs)
     everything = b"\xff" * (phrases.FILTER_BITS // 8)
     counts = phrases.global_counts(read, everything, 3).where("phrase is not null and n >= 10")
     exact = phrases.global_counts(read, phrases.candidates(read, 10, 3, 4), 3).where("phrase is not null and n >= 10")
