@@ -12,7 +12,7 @@ class of equal sets some keys, so that similar classes are likely (or sure) to s
 
 So a large group of copies costs a pair per copy, and no pair of classes that share a key
 is left uncompared. Before texts move, pairs are tested by sketches: the parities of the set's
-tokens in 512 cells. Cells in which two sketches differ each need a token that
+tokens in 512 cells, and for larger sets in as many cells as tokens or more. Cells in which two sketches differ each need a token that
 only one set has, so their number is a lower bound of the symmetric difference and no link is lost.
 """
 
@@ -31,7 +31,10 @@ from patronscope.llm.common import fmix64, stored, texts
 from patronscope.llm.hashing import FIRST, hashed, window_hashes
 
 BLOCK = 1024
-SKETCH = [f"s{i}" for i in range(8)]
+NARROW = [f"s{i}" for i in range(8)]
+SKETCH = [*NARROW, "wide"]
+SKETCH_FIELDS = [*((s, pa.int64()) for s in NARROW), ("wide", pa.binary())]
+SKETCH_DDL = ", ".join([*(f"{s} long" for s in NARROW), "wide binary"])
 #: A key is frequent if a sample of one row in ``SAMPLED`` holds it so often.
 SAMPLED, FREQUENT, MOST_FREQUENT = 16, 64, 10_000
 
@@ -51,10 +54,27 @@ def shingles(text: bytes | None, width: int) -> np.ndarray:
     return np.unique(fmix64(window_hashes(values, width, FIRST)))
 
 
-def sketch(values: np.ndarray) -> list[int]:
-    """Parities of the tokens in 512 cells, as eight 64-bit numbers."""
-    odd = np.bincount((values & np.uint64(511)).astype(np.int64), minlength=512) & 1
-    return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
+def parities(values: np.ndarray, cells: int) -> np.ndarray:
+    """Parities of the tokens in a power of two of cells, 64 in a number."""
+    odd = np.bincount((values & np.uint64(cells - 1)).astype(np.int64), minlength=cells) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def sketch(values: np.ndarray) -> list:
+    """Eight numbers with the parities in 512 cells; for a set of more tokens also a wide sketch, else NULL."""
+    if len(values) <= 512:
+        return [*parities(values, 512).tolist(), None]
+    wide = parities(values, 1 << (len(values) - 1).bit_length())
+    return [*np.bitwise_xor.reduce(wide.reshape(-1, 8)).tolist(), wide.tobytes()]
+
+
+def wide_difference(a: bytes, b: bytes) -> int:
+    """In how many cells two wide sketches differ; the larger one is folded to the other's cells."""
+    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+    if len(x) > len(y):
+        x, y = y, x
+    y = np.bitwise_xor.reduce(y.reshape(-1, len(x)))
+    return int(np.bitwise_count(x ^ y).sum())
 
 
 def documents_of(documents: DataFrame) -> DataFrame:
@@ -76,10 +96,21 @@ def likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
         )
         for x in "ab"
     )
-    differ = sum((F.bit_count(F.col(f"{s}_a").bitwiseXOR(F.col(f"{s}_b"))) for s in SKETCH), F.lit(0))
+    differ = sum((F.bit_count(F.col(f"{s}_a").bitwiseXOR(F.col(f"{s}_b"))) for s in NARROW), F.lit(0))
     both = pairs.join(left, "a").join(right, "b")
     allowed = (100 + percent) * differ <= (100 - percent) * (F.col("n_a") + F.col("n_b"))
-    return both.where(fits(F.col("n_a"), F.col("n_b"), percent) & allowed).select("a", "b")
+    both = both.where(fits(F.col("n_a"), F.col("n_b"), percent) & allowed)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for x in batches:
+            a, b, n, m, wide_a, wide_b = (c.to_pylist() for c in x.columns)
+            keep = [
+                v is None or w is None or (100 + percent) * wide_difference(v, w) <= (100 - percent) * (i + j)
+                for i, j, v, w in zip(n, m, wide_a, wide_b)
+            ]
+            yield x.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return both.select("a", "b", "n_a", "n_b", "wide_a", "wide_b").mapInArrow(run, "a long, b long")
 
 
 def confirmed(pairs: DataFrame, documents: DataFrame, width: int, percent: int) -> DataFrame:
@@ -181,7 +212,7 @@ def block_pairs(rows: DataFrame, percent: int) -> DataFrame:
     own = F.pmod(F.xxhash64("id", "key"), n_blocks).cast("int")
     dealt = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), n_blocks - 1)))
     group = [F.col("key"), F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")]
-    dealt = dealt.select(*group, "own", "id", "part", F.col("n").cast("long"), *SKETCH)
+    dealt = dealt.select(*group, "own", "id", "part", F.col("n").cast("long"), *NARROW)
     dealt = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,8 +257,9 @@ def links(rows: DataFrame, classes: DataFrame, documents: DataFrame, width: int,
         F.count("*").alias("size"), F.min("part").alias("low"), F.max("part").alias("high")
     )
     several = several.where("low != high").select("key", "size")
-    left = parts.join(several, "key").join(classes, "id")
+    left = parts.join(several, "key").join(classes.drop("wide"), "id")
     more = block_pairs(left, percent).join(tested, ["a", "b"], "left_anti")
+    more = stored(likely(more, classes, percent), "pairs")
     more = stored(confirmed(more, documents, width, percent), "links")
     return found.unionByName(more)
 

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from patronscope.llm import linking
 from patronscope.llm.common import batch, fmix64, stored, texts
 from patronscope.llm.hashing import FIRST
-from patronscope.llm.linking import SKETCH, components, shingles, sketch, word_list
+from patronscope.llm.linking import SKETCH, SKETCH_DDL, SKETCH_FIELDS, components, shingles, sketch, word_list
 
 __all__ = ["components", "n_trees", "near_duplicates", "shingles", "word_list"]
 
@@ -46,13 +46,11 @@ RECALL = 0.9995
 
 SETS = pa.schema(
     [("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_a", pa.int64()), ("set_b", pa.int64())]
-    + [(s, pa.int64()) for s in SKETCH]
+    + SKETCH_FIELDS
     + [("nodes", pa.list_(pa.int64()))]
 )
 SETS_DDL = (
-    "doc_id long, n_shingles long, set_a long, set_b long, "
-    + ", ".join(f"{s} long" for s in SKETCH)
-    + ", nodes array<bigint>"
+    f"doc_id long, n_shingles long, set_a long, set_b long, {SKETCH_DDL}, nodes array<bigint>"
 )
 
 

@@ -30,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
@@ -114,8 +115,11 @@ class Chunk:
         _, first, count = np.unique(code * n + self.lang[places], return_index=True, return_counts=True)
         return places[first], count
 
-    def text(self, place: int) -> bytes:
-        return b" ".join([self.words[i] for i in self.ids[place : place + self.size].tolist()])
+    def texts(self, places: np.ndarray) -> pa.Array:
+        """The phrases at some places."""
+        words = pa.array(self.words, pa.binary()).cast(pa.string())
+        own = [words.take(pa.array(self.ids[places + i])) for i in range(self.size)]
+        return pc.binary_join_element_wise(*own, " ") if self.size > 1 else own[0]
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[Chunk]:
@@ -240,29 +244,27 @@ def global_counts(read: DataFrame, union: bytes, max_words: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmap = np.frombuffer(shared.value, np.uint8)
+        names = ["lang", "phrase", "n"]
         for chunk in _chunks(batches):
-            langs, names, counts = [], [], []
-            total = np.bincount(chunk.lang[chunk.inside], minlength=len(chunk.langs))
-            for lang, n in zip(chunk.langs, total.tolist()):
-                langs.append(lang.decode())
-                names.append(None)
-                counts.append(n)
+            langs = pa.array(chunk.langs, pa.binary()).cast(pa.string())
+            total = np.bincount(chunk.lang[chunk.inside], minlength=len(langs))
+            none = pa.nulls(len(langs), pa.string())
+            yield pa.RecordBatch.from_arrays([langs, none, pa.array(total)], names)
             for size in range(1, max_words + 1):
                 if size > 1:
                     chunk.grow()
                 keep = chunk.inside.copy()
                 keep[keep] = _holds(bitmap, chunk.hashes[keep])
                 places, n = chunk.phrases(np.flatnonzero(keep))
-                langs += [chunk.langs[i].decode() for i in chunk.lang[places].tolist()]
-                names += [chunk.text(i).decode() for i in places.tolist()]
-                counts += n.tolist()
-            for at in range(0, len(langs), 1 << 15):
-                part = slice(at, at + (1 << 15))
-                columns = [pa.array(langs[part], pa.string()), pa.array(names[part], pa.string()), pa.array(counts[part], pa.int64())]
-                yield pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "n"])
+                for at in range(0, len(places), 1 << 16):
+                    part = slice(at, at + (1 << 16))
+                    own = langs.take(pa.array(chunk.lang[places[part]]))
+                    columns = [own, chunk.texts(places[part]), pa.array(n[part])]
+                    yield pa.RecordBatch.from_arrays(columns, names)
 
     counts = read.mapInArrow(run, "lang string, phrase string, n long")
-    return counts.groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
+    # chunks are counted already: straight to the shuffle
+    return counts.repartition("lang", "phrase").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
 
 
 def _slice(start: Column, size: Column) -> Column:

@@ -35,20 +35,18 @@ from pyspark.sql import functions as F
 
 from patronscope.llm import linking
 from patronscope.llm.common import batch, fmix64, stored, texts
-from patronscope.llm.linking import SKETCH, sketch, shingles
+from patronscope.llm.linking import SKETCH, SKETCH_DDL, SKETCH_FIELDS, shingles, sketch
 
 #: From one band's smallest size to the next one's; the share of the words that a set leaves out.
 GROWTH, LEFT_OUT = 1.3, 1 / 8
 
 SETS = pa.schema(
     [("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_a", pa.int64()), ("set_b", pa.int64())]
-    + [(s, pa.int64()) for s in SKETCH]
+    + SKETCH_FIELDS
     + [("keys", pa.list_(pa.int64()))]
 )
 SETS_DDL = (
-    "doc_id long, n_shingles long, set_a long, set_b long, "
-    + ", ".join(f"{s} long" for s in SKETCH)
-    + ", keys array<bigint>"
+    f"doc_id long, n_shingles long, set_a long, set_b long, {SKETCH_DDL}, keys array<bigint>"
 )
 
 

@@ -92,8 +92,8 @@ def test_small_chunks_give_the_same(monkeypatch):
                 if k > 1:
                     chunk.grow()
                 places, n = chunk.phrases(np.flatnonzero(chunk.inside))
-                for i, c in zip(places.tolist(), n.tolist()):
-                    total[chunk.langs[chunk.lang[i]], chunk.text(i)] += c
+                for i, phrase, c in zip(places.tolist(), chunk.texts(places).to_pylist(), n.tolist()):
+                    total[chunk.langs[chunk.lang[i]], phrase] += c
         return total
 
     assert counted(50) == counted(10**9)
