@@ -8,10 +8,16 @@ holds more than one segment. Files are written by Spark's text sink, whose line
 separator is the two line ends that close a WARC record; it works on every file system
 Spark can reach, and a failed task leaves nothing behind. Each file is one gzip stream.
 
-Reading. A gzip file is read by one task from its start, cut at each pair of line ends;
-the parser counts ``Content-Length`` bytes, so such pairs inside a payload do no harm.
-It yields one row per chunk: record number, chunk number, and the digest and length of
+Reading. A gzip file is read by one task from its start, in rows that end at each pair of line ends.
+The parser puts these ends back and counts ``Content-Length`` bytes, so line ends in a payload,
+also where it ends, are its own. It holds one such row and one chunk at a time, and
+yields one row per chunk: record number, chunk number, and the digest and length of
 the payload up to and with that chunk. The digest is carried on from chunk to chunk.
+Own archives have no longer row than a segment; in others, a block without two line ends in a
+row is one row of Spark's reader, whatever its length.
+
+A url with white space or control characters is escaped in ``WARC-Target-URI`` and kept as it is in
+a header of its own.
 
 Defined cases: NULL html is an empty payload; NULL page_id and url are left out of the
 headers and come back as NULL; a NULL page_id is larger than any other; rows that repeat
@@ -32,6 +38,8 @@ from pyspark.sql import functions as F
 from patronscope.llm.common import gathered
 
 RECORD_END = "\r\n\r\n"
+_END = RECORD_END.encode()
+_UNSAFE = r"[\x00-\x20\x7F-\x9F]"
 HTTP_HEAD = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8"
 #: The standard's name for this kind of revisit (fixed value).
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -117,7 +125,8 @@ def records(pages: DataFrame, segment_bytes: int = 1 << 20, revisit_min_bytes: i
         line("WARC-Type", kind),
         line("WARC-Record-ID", F.when(segment == 0, own_id).otherwise(segment_id)),
         line("WARC-Date", F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'")),
-        line("WARC-Target-URI", F.regexp_replace("url", r"[\x00-\x20]", "%20")),
+        line("WARC-Target-URI", F.regexp_replace("url", _UNSAFE, "%20")),
+        line("X-Page-Url", F.when(F.col("url").rlike(_UNSAFE), F.base64(F.encode("url", "UTF-8")))),
         line("X-Page-Id", F.col("page_id")),
         line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("digest"))),
         line("X-Payload-Length", size),
@@ -148,39 +157,93 @@ def write_archives(pages: DataFrame, path: str, **options) -> None:
     out.option("compression", "gzip").text(path)
 
 
-def _headers(piece: bytes) -> dict[str, str]:
-    lines = piece.decode("utf-8", "replace").split("\r\n")[1:]
-    return {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines)}
+class _Archive:
+    """The bytes of an archive from the rows between its ``RECORD_END`` marks."""
+
+    def __init__(self, pieces: Iterator[bytes]) -> None:
+        self.pieces, self.rest = pieces, b""
+
+    def _more(self) -> bool:
+        piece = next(self.pieces, None)
+        if piece is not None:
+            self.rest += piece + _END
+        return piece is not None
+
+    def at_end(self) -> bool:
+        """Whether nothing but line ends is left."""
+        while not self.rest.strip(b"\r\n"):
+            self.rest = b""
+            if not self._more():
+                return True
+        return False
+
+    def head(self) -> bytes:
+        """Up to the next ``RECORD_END``, which is passed over."""
+        while (at := self.rest.find(_END)) < 0:
+            if not self._more():
+                raise ValueError("an archive ends within headers")
+        out, self.rest = self.rest[:at], self.rest[at + len(_END) :]
+        return out
+
+    def take(self, n: int) -> Iterator[bytes]:
+        """The next ``n`` bytes, as they come."""
+        while n:
+            if not self.rest and not self._more():
+                raise ValueError("an archive ends within a block")
+            out, self.rest = self.rest[:n], self.rest[n:]
+            n -= len(out)
+            yield out
+
+
+def _headers(head: bytes) -> dict[str, str]:
+    lines = head.decode("utf-8", "replace").split("\r\n")[1:]
+    return {k.strip().lower(): v.strip(" \t") for k, _, v in (x.partition(":") for x in lines)}
+
+
+def _cut(parts: Iterator[bytes], size: int) -> Iterator[bytes]:
+    """The same bytes in chunks of ``size``, the last one shorter; one empty chunk for no bytes."""
+    kept = bytearray()
+    for part in parts:
+        kept += part
+        while len(kept) > size:
+            yield bytes(kept[:size])
+            del kept[:size]
+    yield bytes(kept)
 
 
 def _chunks(pieces: Iterator[bytes], chunk_bytes: int, with_data: bool) -> Iterator[tuple]:
     """One row per chunk of each record in a stream of pieces between ``RECORD_END``."""
+    archive = _Archive(pieces)
     record_no, digest, length, chunk_no, first = -1, None, 0, 0, {}
-    for piece in pieces:
-        if not piece.strip():
-            continue
-        here = _headers(piece)
+    while not archive.at_end():
+        here = _headers(archive.head())
         left = int(here["content-length"])
         if here.get("warc-type") != "continuation":
             record_no, digest, length, chunk_no, first = record_no + 1, hashlib.sha1(), 0, 0, here
         kind = first.get("warc-type")
-        in_head = here is first and "application/http" in here.get("content-type", "")
         segmented = "warc-segment-number" in here
         ends = not segmented or "warc-segment-total-length" in here
-        page, target, refers = (
-            first.get("x-page-id"),
-            first.get("warc-target-uri"),
-            first.get("x-refers-to-page-id"),
-        )
-
-        def row(data: bytes, last: bool) -> tuple:
+        page, refers = first.get("x-page-id"), first.get("x-refers-to-page-id")
+        target = first.get("warc-target-uri")
+        if "x-page-url" in first:
+            target = base64.b64decode(first["x-page-url"]).decode()
+        if here is first and "application/http" in here.get("content-type", ""):
+            left -= len(archive.head()) + len(_END)
+            if left < 0:
+                raise ValueError("HTTP headers are longer than their record")
+        read = 0
+        for data in _cut(archive.take(left), chunk_bytes):
+            read += len(data)
+            digest.update(data)
+            length += len(data)
+            last = ends and read == left
             size, sha1 = length, base64.b32encode(digest.digest()).decode()
             if kind == "revisit":
                 size = int(first["x-payload-length"])
                 sha1 = first["warc-payload-digest"].partition(":")[2]
             elif last and sha1 != first.get("warc-payload-digest", "").partition(":")[2]:
                 raise ValueError(f"payload of record {first.get('warc-record-id')} is damaged")
-            return (
+            yield (
                 record_no,
                 chunk_no,
                 kind,
@@ -192,35 +255,9 @@ def _chunks(pieces: Iterator[bytes], chunk_bytes: int, with_data: bool) -> Itera
                 last,
                 data if with_data else None,
             )
-
-        joint = False
-        part = next(pieces)
-        while True:
-            # the separators between two pieces of one block belong to the block
-            data = RECORD_END.encode() + part if joint else part
-            left -= len(data)
-            if left < 0:
-                raise ValueError("a block is longer than its Content-Length")
-            if in_head:
-                in_head, data = False, b""
-                if left:  # the separator after the HTTP headers
-                    left -= len(RECORD_END)
-                    if left == 0:  # an empty payload is a piece of its own
-                        next(pieces, None)
-            else:
-                joint = True
-            for at in range(0, len(data), chunk_bytes):
-                cut = data[at : at + chunk_bytes]
-                digest.update(cut)
-                length += len(cut)
-                done = ends and left == 0 and at + chunk_bytes >= len(data)
-                yield row(cut, done)
-                chunk_no += 1
-            if left == 0:
-                if ends and not data:
-                    yield row(b"", True)
-                break
-            part = next(pieces)
+            chunk_no += 1
+        if b"".join(archive.take(len(_END))) != _END:
+            raise ValueError("a block is longer than its Content-Length")
 
 
 def read_chunks(

@@ -2,6 +2,9 @@
 
 import base64
 import hashlib
+import itertools
+
+import pytest
 
 from patronscope.llm import queries, warc
 from patronscope.operators.durable import fresh_path
@@ -88,3 +91,45 @@ def test_query_on_the_table(spark, sf):
     rows = queries.op1_warc_chunks(spark, sf).collect()
     got = sorted(((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in rows), key=repr)
     assert got == expected(pages)
+
+
+@pytest.mark.parametrize("segment_bytes", [1, 2, 3, 5, 1 << 20])
+def test_all_short_strings_of_line_ends(spark, tmp_path, segment_bytes):
+    texts = ["".join(x) for n in range(8 if segment_bytes > 5 else 6) for x in itertools.product("a\r\n", repeat=n)]
+    rows = [(i, f"http://x/{i}", t) for i, t in enumerate(texts)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(2)
+    path = str(tmp_path / "warc")
+    # payloads are unique, so that every one is written
+    warc.write_archives(pages, path, segment_bytes=segment_bytes)
+    for chunk_bytes in (2, 1 << 20):
+        found = {}
+        for r in warc.read_chunks(spark, path, chunk_bytes).orderBy("page_id", "chunk_no").collect():
+            found[r.page_id] = found.get(r.page_id, b"") + r.data
+            assert len(r.data) <= chunk_bytes
+        assert found == {i: t.encode() for i, _, t in rows}
+
+
+def test_urls_come_back_unchanged(spark, tmp_path):
+    urls = ["http://x/a b", " lead", "trail ", "tab\there", "x\r\nX-Page-Id: 9", "\u3000wide\u3000", "\x85", "%20", "", None, "é"]
+    pages = spark.createDataFrame([(i, u, f"p{i}") for i, u in enumerate(urls)], "page_id long, url string, html string")
+    warc.write_archives(pages, str(tmp_path / "warc"))
+    rows = warc.record_digests(warc.read_chunks(spark, str(tmp_path / "warc"))).collect()
+    assert {r.page_id: r.url for r in rows} == dict(enumerate(urls))
+
+
+def test_a_very_long_text_at_the_default_segment_size(spark, tmp_path):
+    text = "é<p>line\r\n\r\n</p>\r\n" * 200_000
+    pages = spark.createDataFrame([(1, "u", text), (2, "v", text + "\r\n")], "page_id long, url string, html string")
+    warc.write_archives(pages, str(tmp_path / "warc"))
+    chunks = warc.read_chunks(spark, str(tmp_path / "warc")).orderBy("page_id", "chunk_no").collect()
+    for page_id, want in ((1, text), (2, text + "\r\n")):
+        own = [c for c in chunks if c.page_id == page_id]
+        assert b"".join(c.data for c in own) == want.encode() and len(own) > 3 and [c.last for c in own].count(True) == 1
+
+
+def test_a_damaged_block_is_an_error(spark):
+    head = b"WARC/1.1\r\nWARC-Type: resource\r\nContent-Length: 3"
+    with pytest.raises(ValueError):
+        list(warc._chunks(iter([head, b"abcd"]), 10, True))
+    with pytest.raises(ValueError):
+        list(warc._chunks(iter([head, b"a"]), 10, True))
