@@ -3,8 +3,10 @@
 import hashlib
 import math
 import re
+import time
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from patronscope.llm import queries, secret_scan
@@ -105,3 +107,75 @@ def test_redaction_keeps_everything_else(spark):
 
 def test_no_rows(spark):
     assert secret_scan.spans(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def is_secret(text):
+    """The rules for a candidate, without regular expressions that repeat groups."""
+    if re.fullmatch(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}|[0-9+/=_-]+|[A-Za-z+/=_-]+", text):
+        return False
+    if re.search(r"(?i)example|placeholder|your[_-]|xxxxx", text):
+        return False
+    runs = [x for x in re.split("[/_-]+", re.sub("^/|/$", "", text))]
+    if len(runs) > 1 and all(x and (x.isalpha() or x.isdigit()) for x in runs):
+        return False
+    kind = "single_case"
+    if re.fullmatch("[0-9a-f]+|[0-9A-F]+", text):
+        kind = "hex"
+    elif all(re.search(x, text) for x in ("[a-z]", "[A-Z]", "[0-9]")):
+        kind = "mixed"
+    return entropy(text, secret_scan.WINDOW) >= secret_scan.BOUNDS[kind]
+
+
+def every(text):
+    spans = base(text)
+    for m in re.finditer(r"[A-Za-z0-9+/=_-]{20,}", text):
+        if not any(a < m.end() and b > m.start() for a, _, b, _ in spans) and is_secret(m.group()):
+            spans.append((m.start(), 3, m.end(), "entropy"))
+    return ",".join(f"{k}:{a}:{b}" for a, _, b, k in sorted(spans))
+
+
+def test_all_spans_of_random_texts(spark):
+    import random
+
+    pick = random.Random(4)
+    parts = ["password=", "token: ", "AKIA", "0123456789abcdef01234567", "Zx9qL2mV7tR4", "wB8nKc3JpD6s", "é", " ", "-", "/", "abc", "12", "=", "\n"]
+    texts = ["".join(pick.choice(parts) for _ in range(pick.randrange(1, 60))) for _ in range(400)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in secret_scan.spans(docs).collect()}
+    assert got == {i: every(t) for i, t in enumerate(texts)} and sum("entropy" in x for x in got.values()) > 50
+
+
+LONG = {
+    "ab-12- repeated": ("ab-12-" * 166_667, ""),
+    "one letter": ("a" * 1_000_000, "hex:0:1000000"),
+    "one long word": ("aB3dE6gH9k" * 100_000, ""),
+    "path-like": ("ab/" * 300_000 + "1", ""),
+    "a secret at the end": ("aB3dE6gH9k" * 50_000 + "Zx9qL2mV7tR4wB8nKc3J", "entropy:0:500020"),
+    "letters only": ("gh" * 500_000, ""),
+}
+
+
+@pytest.mark.parametrize("name", LONG)
+def test_a_million_characters(spark, name):
+    text, want = LONG[name]
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string").coalesce(1)
+    began = time.monotonic()
+    assert secret_scan.spans(docs).first().spans == want
+    assert time.monotonic() - began < 10
+
+
+@pytest.mark.parametrize("unit", ["token=abcdef ", "password=abcdef123456 Zx9qL2mV7tR4wB8nKc3JpD6s ", "0123456789abcdef01234567é"])
+def test_fifty_thousand_spans(spark, unit):
+    text = unit * 50_000
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string").coalesce(1)
+    one = [x.split(":") for x in every(unit).split(",")]
+    size = len(unit)
+    want = ",".join(f"{k}:{int(a) + i * size}:{int(b) + i * size}" for i in range(50_000) for k, a, b in one)
+    began = time.monotonic()
+    assert secret_scan.spans(docs).first().spans == want
+    assert time.monotonic() - began < 10
+    began = time.monotonic()
+    redacted = secret_scan.redact(docs).first().text
+    again = "".join((unit[: int(one[0][1])], *(("[SECRET]", unit[int(x[2]) : int(y[1])])[k] for x, y in zip(one, [*one[1:], (0, size, 0)]) for k in (0, 1))))
+    assert redacted == again * 50_000
+    assert time.monotonic() - began < 10
