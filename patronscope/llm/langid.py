@@ -4,8 +4,10 @@ A text is read in lower case as words of letters; its subwords are the byte n-gr
 ``SIZES`` within a word and its two edges, hashed to ``BUCKETS`` rows of an embedding table. The mean
 of a text's rows goes through a linear layer and a softmax. Both are trained by stochastic
 gradient descent in numpy on a bounded sample of labelled texts. The temperature of the softmax
-and the bound below which a prediction is rejected are set on a part of the sample that the
-training doesn't see: rejected are scores below the one that keeps ``PRECISION`` of the rest right.
+and the bounds below which a prediction is rejected are set on a part of the sample that the
+training doesn't see. The temperature minimises a loss with smoothed labels, which stays finite where languages are
+easily told apart. Each class of lengths has its own bound: rejected are scores below the one that
+keeps ``PRECISION`` of the rest right, and those lower than all but ``UNLIKELY`` of the right answers.
 
 As the layer is linear, the product of the embedding table with it is one small table of logits per
 bucket; scoring a text is one look-up and sum per subword over the whole text.
@@ -39,7 +41,11 @@ TEXT_SUBWORDS = 400
 STEPS, RATE = 24_000, 0.5
 #: Subwords of the short texts that the calibration adds.
 SHORT = (6, 12, 25, 50)
-PRECISION = 0.99
+#: Where the length classes begin after the first: each is judged by the longest draw that it covers.
+LENGTHS = (*SHORT[1:], 4 * SHORT[-1])
+PRECISION, UNLIKELY = 0.99, 0.01
+#: Share of the labels' weight that the loss of the temperature gives to the other languages.
+SMOOTHED = 0.01
 UNKNOWN = "und"
 #: Bytes that are no letters become spaces; what is above ASCII stays.
 _LETTERS = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
@@ -73,7 +79,11 @@ class Model:
     table: np.ndarray  # logits per bucket
     bias: np.ndarray
     temperature: float
-    least: float
+    least: tuple[float, ...]  # by length: the sizes of SHORT, then whole texts
+
+    def bound(self, n: int) -> float:
+        """The least accepted score of a text of ``n`` subwords."""
+        return self.least[int(np.searchsorted(LENGTHS, n, "right"))]
 
 
 def _softmax(z: np.ndarray) -> np.ndarray:
@@ -116,28 +126,30 @@ def fit(rows: list[tuple[str, str]], seed: int = 7) -> Model | None:
             # every subword has its share of the mean
             np.subtract.at(embedding, found, (rate / len(found)) * back)
     table = embedding @ layer
-    # whole texts, and short draws from them, of which the model must be less certain
-    rows, truth = [], []
-    for i in checked:
-        language, found = samples[i]
-        for few in (found, *(random.choice(found, size) for size in SHORT)):
-            rows.append(table[few].mean(axis=0) + bias)
-            truth.append(language)
-    logits, truth = np.array(rows), np.array(truth)
+    # short draws from the texts, of which the model must be less certain, and whole texts
+    rows, truth = [], np.array([samples[i][0] for i in checked])
+    for size in (*SHORT, None):
+        draws = [samples[i][1] if size is None else random.choice(samples[i][1], size) for i in checked]
+        rows.append(np.array([table[few].mean(axis=0) + bias for few in draws]))
+    logits, every = np.concatenate(rows), np.tile(truth, len(rows))
+    others = SMOOTHED / max(len(languages) - 1, 1)
 
     def loss(t: float) -> float:
-        p = _softmax(logits * t)
-        return -float(np.log(p[np.arange(len(truth)), truth] + 1e-12).mean())
-
-    temperature = min(2.0 ** np.arange(-5, 5, 0.25), key=loss)
-    p = _softmax(logits * temperature)
-    right, score = p.argmax(axis=1) == truth, p.max(axis=1)
-    least = 0.0
-    for bound in np.sort(score):
-        least = float(bound)
-        if right[score >= bound].mean() >= PRECISION:
-            break
-    return Model(languages, table.astype(np.float32), bias, float(temperature), least)
+        log_p = np.log(_softmax(logits.astype(np.float64) * t) + 1e-300)
+        own = log_p[np.arange(len(every)), every]
+        return -float(((1 - SMOOTHED - others) * own + others * log_p.sum(axis=1)).mean())
+
+    temperature = float(min(2.0 ** np.arange(-5, 5, 0.125), key=loss))
+    least = []
+    for own in rows:
+        p = _softmax(own * temperature)
+        right, score = p.argmax(axis=1) == truth, p.max(axis=1)
+        order = np.argsort(score)
+        precise = np.cumsum(right[order][::-1])[::-1] >= PRECISION * np.arange(len(score), 0, -1)
+        bound = score[order][int(precise.argmax())] if precise.any() else 1.0
+        unlikely = np.quantile(score[right], UNLIKELY) if right.any() else 1.0
+        least.append(float(max(bound if not precise[0] else 0.0, unlikely)))
+    return Model(languages, table.astype(np.float32), bias, temperature, tuple(least))
 
 
 def train(documents: DataFrame) -> Model | None:
@@ -161,7 +173,7 @@ def predict(documents: DataFrame, model: Model | None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for b in batches:
-            langs, scores = [UNKNOWN] * b.num_rows, np.zeros(b.num_rows)
+            langs, scores, least = [UNKNOWN] * b.num_rows, np.zeros(b.num_rows), np.ones(b.num_rows)
             has_letter = b.column(n + 1).to_pylist()
             for i, text in enumerate(texts(b.column(n))):
                 if model is None or not has_letter[i]:
@@ -173,8 +185,8 @@ def predict(documents: DataFrame, model: Model | None) -> DataFrame:
                 p = _softmax(logits * model.temperature)
                 best = int(p.argmax())
                 langs[i], scores[i] = model.languages[best], min(float(p[best]), 1.0)
-            least = 1.0 if model is None else model.least
-            rejected = [x == UNKNOWN or s < least for x, s in zip(langs, scores)]
+                least[i] = model.bound(len(found))
+            rejected = [x == UNKNOWN or bool(s < y) for x, s, y in zip(langs, scores, least)]
             columns = [*b.columns[:n], pa.array(langs), pa.array(scores), pa.array(rejected)]
             yield pa.RecordBatch.from_arrays(columns, [*names, "lang_pred", "score", "rejected"])
 

@@ -53,3 +53,24 @@ def test_far_off_text_is_less_certain():
         return langid._softmax((model.table[found].mean(axis=0) + model.bias) * model.temperature).max()
 
     assert top("the dog and the cat") > top("zzqx vvkp") and isinstance(model.table, np.ndarray)
+
+
+def test_rejection_is_calibrated(spark, sf):
+    larger = sf.replace("sf0.001", "sf0.01")
+    docs = {r.doc_id: r for r in spark.read.parquet(f"{larger}/documents.parquet").collect()}
+    own = [r for r in queries.op2_language_id(spark, larger).collect() if r.held_out and docs[r.doc_id].text]
+    right = [r for r in own if r.lang_pred == docs[r.doc_id].lang]
+    accepted = [r for r in own if not r.rejected]
+    assert len(right) > 300 and sum(r.rejected for r in right) <= 0.05 * len(right)
+    assert sum(r.lang_pred == docs[r.doc_id].lang for r in accepted) >= 0.99 * len(accepted)
+    assert len({r.score for r in own}) > 100 and min(r.score for r in own) < 0.999
+
+
+def test_unlike_texts_are_rejected_and_names_may_clash(spark):
+    model = langid.fit([(lang, text) for text, lang in ROWS])
+    texts = ["the cat and the dog went over there", "Ελληνικά γράμματα εδώ", "漢字仮名交じり文の例", "zzqx vvkp wwj"]
+    rows = [(i, t, "x", 0.5, False) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang_pred string, score double, rejected boolean")
+    found = langid.predict(docs, model).orderBy("doc_id").collect()
+    assert [r.rejected for r in found] == [False, True, True, True] and found[0].lang_pred == "en"
+    assert all(0 <= r.score <= 1 for r in found)
