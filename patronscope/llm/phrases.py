@@ -36,6 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from patronscope.llm.bitmap import bits_of, holds_bits
 from patronscope.llm.common import fmix64, stored, texts
 from patronscope.llm.hashing import FIRST
 from patronscope.operators.ranking import top_per_group
@@ -139,15 +140,6 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[Chunk]:
         yield Chunk(words, lengths, langs)
 
 
-def _bits(keys: np.ndarray) -> np.ndarray:
-    return (fmix64(keys) % np.uint64(FILTER_BITS)).astype(np.int64)
-
-
-def _holds(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    at = _bits(keys)
-    return (bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & np.uint8(1) != 0
-
-
 def _read(documents: DataFrame) -> DataFrame:
     return documents.select(
         F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN)).alias("lang"),
@@ -171,7 +163,7 @@ def local_counts(read: DataFrame, sizes: range, shards: int, shorter=None) -> Da
                 if size > 1:
                     chunk.grow(with_codes=False)
                 if bitmap is not None and size == sizes.start - 1:
-                    holds = _holds(bitmap, chunk.hashes)
+                    holds = holds_bits(bitmap, chunk.hashes)
                     likely = holds[:-1] & holds[1:]
                 if size >= sizes.start:
                     keep = chunk.inside if bitmap is None else chunk.inside & likely
@@ -188,34 +180,6 @@ def local_counts(read: DataFrame, sizes: range, shards: int, shorter=None) -> Da
     return counts.repartition("key").groupBy("key", "shard").agg(F.sum("n").alias("n"))
 
 
-def bits_of(keys: DataFrame) -> bytes:
-    """A table of ``FILTER_BITS`` bits, those of the column ``key`` set."""
-
-    def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            bits = np.unique(_bits(b.column(0).to_numpy().view(np.uint64)))
-            yield pa.RecordBatch.from_arrays([pa.array(bits >> 16), pa.array(bits & 0xFFFF)], ["block", "bit"])
-
-    def drawn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[int, np.ndarray] = {}
-        for b in batches:
-            block, bit = b.column(0).to_numpy(), b.column(1).to_numpy()
-            for number in np.unique(block).tolist():
-                known.setdefault(number, np.zeros(1 << 16, bool))[bit[block == number]] = True
-        for number, marks in known.items():
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([number]), pa.array([np.packbits(marks, bitorder="little").tobytes()])],
-                ["block", "marks"],
-            )
-
-    bits = keys.select("key").mapInArrow(numbered, "block long, bit long")
-    rows = bits.repartition(F.col("block")).mapInArrow(drawn, "block long, marks binary")
-    out = bytearray(FILTER_BITS // 8)
-    for row in rows.limit(FILTER_BITS >> 16).collect():
-        out[row.block << 13 : (row.block + 1) << 13] = row.marks
-    return bytes(out)
-
-
 def possible(counts: DataFrame, least: int, shards: int) -> DataFrame:
     """``key`` of the locally frequent phrases that can be frequent in all the corpus."""
     support = -(-least // shards)
@@ -228,11 +192,11 @@ def candidates(read: DataFrame, least: int, max_words: int, shards: int) -> byte
     """The filter of all phrases that can be frequent."""
     spark = read.sparkSession
     counts = local_counts(read, range(1, min(max_words, 2) + 1), shards)
-    union = shorter = bits_of(possible(counts, least, shards))
+    union = shorter = bits_of(possible(counts, least, shards), FILTER_BITS)
     for size in range(3, max_words + 1):
         shared = spark.sparkContext.broadcast(shorter)
         counts = local_counts(read, range(size, size + 1), shards, shared)
-        shorter = bits_of(possible(counts, least, shards))
+        shorter = bits_of(possible(counts, least, shards), FILTER_BITS)
         union = (np.frombuffer(union, np.uint8) | np.frombuffer(shorter, np.uint8)).tobytes()
         shared.unpersist()
     return union
@@ -254,7 +218,7 @@ def global_counts(read: DataFrame, union: bytes, max_words: int) -> DataFrame:
                 if size > 1:
                     chunk.grow()
                 keep = chunk.inside.copy()
-                keep[keep] = _holds(bitmap, chunk.hashes[keep])
+                keep[keep] = holds_bits(bitmap, chunk.hashes[keep])
                 places, n = chunk.phrases(np.flatnonzero(keep))
                 for at in range(0, len(places), 1 << 16):
                     part = slice(at, at + (1 << 16))

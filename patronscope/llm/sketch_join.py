@@ -8,11 +8,14 @@ hashed to one bit of ``words`` 64-bit words, and the sketch is the XOR of them a
 one of two sets flips one bit, so the words in which the sketches differ are no more than the
 symmetric difference: a pair that may link differs in at most ``d`` words.
 
-Pigeonhole. With ``words = d + 1 + 2 q`` the sketches of such a pair agree in ``2 q + 1`` words or more. Each set leaves
-out its ``q`` words of the fewest bits, which say the least (an empty word agrees with any other). Two sets
-leave out at most ``2 q`` of the agreeing words, so they share the key (band, place, word)
-of at least one that is left. A set has the keys of its own band and, if a partner may be in the next
-band, of that one too. Sets so small that ``d`` is 0 link only with equal ones.
+Pigeonhole. With ``words = d + 1 + left_out`` at least ``left_out + 1`` words of such a pair have no differing token.
+All words of a band have one order: first those with the most rare tokens, then those with the most bits. Each set leaves
+out its last ``left_out`` words, so two sets that may link share the key (band, place, word) of at least
+one that is left: the first in that order of those that they have in common. A set has the keys of its own band and,
+if a partner may be in the next band, of that one too. Sets so small that ``d`` is 0 link only with equal ones.
+
+Rare are tokens that a bounded sample of the documents doesn't hold twice. Passages that many documents share so give
+few keys. What is called rare changes the work, never the links.
 
 Keys lead to links as in ``linking``: candidates are tested by the sizes and by 512-bit parity
 sketches, whose Hamming distance is a lower bound too, then verified on the full sets. No link is lost.
@@ -34,11 +37,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from patronscope.llm import linking
-from patronscope.llm.common import batch, fmix64, stored, texts
+from patronscope.llm.bitmap import bits_of, holds_bits
+from patronscope.llm.common import batch, drawn, fmix64, stored, texts
 from patronscope.llm.linking import SKETCH, SKETCH_DDL, SKETCH_FIELDS, shingles, sketch
 
-#: From one band's smallest size to the next one's; the share of the words that a set leaves out.
-GROWTH, LEFT_OUT = 1.3, 1 / 8
+#: From one band's smallest size to the next one's; words that a set leaves out, as a share of ``d``.
+GROWTH, LEFT_OUT = 1.3, 1 / 3
+#: Documents in which common tokens are sought, and bits of the table that holds them.
+SAMPLE_ROWS, COMMON_BITS = 5_000, 1 << 24
 
 SETS = pa.schema(
     [("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_a", pa.int64()), ("set_b", pa.int64())]
@@ -83,38 +89,67 @@ class Bands:
         return [own, own + 1] if partner >= self.start(own + 1) else [own]
 
 
+def _first(place: np.ndarray) -> np.ndarray:
+    return np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
+
+
+def places(values: np.ndarray, n: int) -> np.ndarray:
+    """The word of each token: chosen by its high bits, so ascending like the tokens."""
+    return (((values >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)).astype(np.int64)
+
+
 def words(values: np.ndarray, n: int) -> np.ndarray:
-    """A sketch of ``n`` words from ascending hashes: the high bits choose the word, the low ones its bit."""
-    place = ((values >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)
-    first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
+    """A sketch of ``n`` words from ascending hashes; the low bits of a token choose its bit in its word."""
+    place = places(values, n)
+    first = _first(place)
     out = np.zeros(n, np.uint64)
-    out[place[first].astype(np.int64)] = np.bitwise_xor.reduceat(np.uint64(1) << (values & np.uint64(63)), first)
+    out[place[first]] = np.bitwise_xor.reduceat(np.uint64(1) << (values & np.uint64(63)), first)
     return out
 
 
-def keys(values: np.ndarray, bands: Bands) -> list[int]:
-    """The keys of a set in its bands."""
+def keys(values: np.ndarray, bands: Bands, rare: np.ndarray) -> list[int]:
+    """The keys of a set in its bands; ``rare`` marks its rare tokens."""
     out = []
     for band in bands.of(len(values)):
         d = bands.differences(band)
         if not d:
             continue
         skip = int(d * LEFT_OUT)
-        n = d + 1 + 2 * skip
+        n = d + 1 + skip
         word = words(values, n)
-        kept = np.arange(n)
+        place = np.arange(n)
+        hashes = fmix64(word ^ fmix64(place.astype(np.uint64) + np.uint64(band << 40) + np.uint64(1)))
         if skip:
-            kept = np.sort(np.argsort(np.bitwise_count(word), kind="stable")[skip:])
-        place = fmix64(kept.astype(np.uint64) + np.uint64(band << 40) + np.uint64(1))
-        out.append(fmix64(word[kept] ^ place))
+            n_rare = np.bincount(places(values, n)[rare], minlength=n)
+            # the hash decides what is equal, as the order must be the same for every set
+            order = np.lexsort((hashes, np.bitwise_count(word), n_rare))
+            hashes = hashes[order[skip:]]
+        out.append(hashes)
     return np.concatenate(out).view(np.int64).tolist() if out else []
 
 
+def common_tokens(documents: DataFrame, width: int) -> bytes:
+    """A table of bits of the tokens that two different texts of a bounded sample share."""
+    docs = linking.documents_of(documents).select("text").where("text is not null")
+    some = drawn(docs, F.col("text"), SAMPLE_ROWS, documents.count()).distinct()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for text in texts(b.column(0)):
+                values = shingles(text, width).view(np.int64)
+                for at in range(0, len(values), 1 << 16):
+                    yield pa.RecordBatch.from_arrays([pa.array(values[at : at + (1 << 16)])], ["key"])
+
+    tokens = some.mapInArrow(run, "key long").groupBy("key").count()
+    return bits_of(tokens.where("count > 1"), COMMON_BITS)
+
+
 def sets(documents: DataFrame, width: int, percent: int) -> DataFrame:
-    """Per document: size, 128-bit digest, 512-bit sketch and keys of its set."""
+    """Per document: size, 128-bit digest, sketches and keys of its set."""
+    common = documents.sparkSession.sparkContext.broadcast(common_tokens(documents, width))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bands = Bands(percent)
+        bands, bitmap = Bands(percent), np.frombuffer(common.value, np.uint8)
         for b in batches:
             for at in range(0, b.num_rows, 512):
                 part = b.slice(at, 512)
@@ -123,7 +158,8 @@ def sets(documents: DataFrame, width: int, percent: int) -> DataFrame:
                     values = shingles(text, width)
                     digest = hashlib.blake2b(values.tobytes(), digest_size=16).digest()
                     row = (doc_id, len(values), *np.frombuffer(digest, np.int64).tolist(), *sketch(values))
-                    for column, v in zip(columns, (*row, keys(values, bands) if len(values) else [])):
+                    rare = ~holds_bits(bitmap, values)
+                    for column, v in zip(columns, (*row, keys(values, bands, rare) if len(values) else [])):
                         column.append(v)
                 yield batch(SETS, columns)
 

@@ -74,10 +74,21 @@ def test_words_bound_the_difference():
             other = np.unique(np.concatenate([values[: random.integers(1, 60)], random.integers(0, 1 << 64, 9, dtype=np.uint64)]))
             difference = len(np.setxor1d(values, other))
             assert (sketch_join.words(values, n) != sketch_join.words(other, n)).sum() <= difference
-            a, b = (np.array(linking.sketch(x)).view(np.uint64) for x in (values, other))
+            a, b = (np.array(linking.sketch(x)[:8]).view(np.uint64) for x in (values, other))
             assert np.bitwise_count(a ^ b).sum() <= difference
 
 
+def test_wide_sketches_bound_the_difference_and_fold():
+    random = np.random.default_rng(4)
+    for n, m in ((600, 650), (1000, 1100), (5000, 4300), (513, 8000)):
+        values = np.unique(random.integers(0, 1 << 64, n, dtype=np.uint64))
+        other = np.unique(np.concatenate([values[: n // 2], random.integers(0, 1 << 64, m - n // 2, dtype=np.uint64)]))
+        x, y = linking.sketch(values), linking.sketch(other)
+        found = linking.wide_difference(x[8], y[8])
+        assert found == linking.wide_difference(y[8], x[8]) <= len(np.setxor1d(values, other))
+        assert x[:8] == linking.parities(values, 512).tolist() and found > 0.1 * min(n, m)
+
+
 @pytest.mark.parametrize("percent", [60, 85, 99, 100])
 def test_bands_bring_partners_together(percent):
     bands = sketch_join.Bands(percent)
