@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.clustering import KMeans
+import numpy as np
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
@@ -16,6 +16,9 @@ from patronscope.operators.ranking import top_per_group
 from patronscope.operators.rfm import RFM_COLUMNS, column_stats
 
 Centers = Sequence[Sequence[float]]
+Point = tuple[float, ...]
+#: Rows from which the first centres are drawn, and steps taken on them.
+SAMPLE_ROWS, SAMPLE_STEPS = 10_000, 50
 
 
 def kmeans_assign(
@@ -113,9 +116,9 @@ def fit_clusters(
 ) -> ClusterModel | None:
     """Standardise and run k-means; ``None`` when there is nothing to cluster.
 
-    ``features`` is read many times: pass a persisted table. The steps end when no
+    ``features`` is read once a round: pass a persisted table. The steps of a start end when no
     centre moves by more than ``tolerance``; of several random ``starts`` the one with the smallest
-    sum of squared distances counts. Clusters are numbered
+    sum of squared distances counts. Fewer distinct points than ``k`` are that many clusters. Clusters are numbered
     by ascending first column, then by descending second, so that the numbers do not
     depend on the random start.
     """
@@ -125,17 +128,80 @@ def fit_clusters(
         return None
     scales = tuple(stats[f"{name}_scale"] for name in columns)
     unordered = ClusterModel(tuple(columns), means, scales, ())
-    vectors = _as_vectors(unordered.standardize(features), columns)
-    runs = [
-        KMeans(k=k, seed=seed + i, maxIter=max_iter, tol=tolerance, featuresCol="__vector").fit(vectors)
-        for i in range(starts)
-    ]
-    fitted = min(runs, key=lambda run: run.summary.trainingCost)
-    centers = [tuple(float(x) for x in center) for center in fitted.clusterCenters()]
+    scaled = unordered.standardize(features).select(*columns)
+    centers = lloyd(scaled, start_centers(scaled, k, seed, starts), max_iter, tolerance)
     ordered = sorted(centers, key=lambda c: (c[0], *(-x for x in c[1:2]), *c[2:]))
     return ClusterModel(tuple(columns), means, scales, tuple(ordered))
 
 
+def start_centers(scaled: DataFrame, k: int, seed: int, starts: int) -> list[list[Point]]:
+    """Centres to begin with: k-means++ and Lloyd steps on a sample of ``SAMPLE_ROWS`` rows.
+
+    The sample are the rows with the smallest hashes, whatever the table's partitions. It is
+    all that reaches the driver; the steps over all rows follow.
+    """
+    sample = scaled.orderBy(F.xxhash64(F.lit(seed), *scaled.columns), *scaled.columns).limit(SAMPLE_ROWS)
+    points = np.array([tuple(row) for row in sample.collect()], dtype=float)
+    out = []
+    for start in range(starts):
+        random = np.random.default_rng([seed, start])
+        centers = points[random.integers(len(points))][None, :]
+        while len(centers) < k:
+            nearest = _squared(points, centers).min(axis=1)
+            if not nearest.any():
+                break
+            drawn = points[random.choice(len(points), p=nearest / nearest.sum())]
+            centers = np.concatenate([centers, drawn[None, :]])
+        for _ in range(SAMPLE_STEPS):
+            labels = _squared(points, centers).argmin(axis=1)
+            members = [points[labels == c] for c in range(len(centers))]
+            moved = np.array([m.mean(axis=0) if len(m) else c for m, c in zip(members, centers)])
+            if np.array_equal(moved, centers):
+                break
+            centers = moved
+        out.append([tuple(map(float, c)) for c in centers])
+    return out
+
+
+def _squared(points: np.ndarray, centers: np.ndarray) -> np.ndarray:
+    return np.stack([((points - c) ** 2).sum(axis=1) for c in centers], axis=1)
+
+
+def lloyd(scaled: DataFrame, starts: list[list[Point]], max_iter: int, tolerance: float) -> list[Point]:
+    """Lloyd steps from all starts at once; the centres with the smallest cost.
+
+    A round is one aggregation over (start, cluster), whose few rows reach the driver. A start
+    takes part until its centres stand still; a centre without rows stays where it is.
+    """
+    columns = scaled.columns
+    values = [F.col(name) for name in columns]
+    moving, best = dict(enumerate(starts)), (float("inf"), starts[0])
+    for step in range(max_iter):
+        nearest = [
+            F.struct(F.lit(i).alias("start"), nearest_center(values, centers).alias("to"))
+            for i, centers in moving.items()
+        ]
+        labelled = scaled.select(*columns, F.explode(F.array(*nearest)).alias("__own"))
+        rows = labelled.groupBy("__own.start", "__own.to.cluster").agg(
+            F.sum(F.pow("__own.to.distance", F.lit(2))).alias("__cost"),
+            *[F.avg(name).alias(name) for name in columns],
+        )
+        found: dict[int, dict] = {}
+        for row in rows.collect():
+            found.setdefault(row["start"], {})[row["cluster"]] = row
+        for i, centers in list(moving.items()):
+            own = found[i]
+            new = [tuple(own[c][name] for name in columns) if c in own else centers[c] for c in range(len(centers))]
+            shift = max(sum((x - y) ** 2 for x, y in zip(a, b)) ** 0.5 for a, b in zip(new, centers))
+            moving[i] = new
+            if shift <= tolerance or step == max_iter - 1:
+                del moving[i]
+                best = min(best, (sum(r["__cost"] for r in own.values()), new))
+        if not moving:
+            break
+    return best[1]
+
+
 def _as_vectors(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return VectorAssembler(inputCols=list(columns), outputCol="__vector").transform(df)
 
@@ -198,13 +264,14 @@ def distance_to_center(
             for name in columns
         ]
     )
+    # one column, so that the plan has the subquery once and not once for each mean
     one_row = means.select(F.struct(*means.columns)).scalar()
     values = [F.col(name) for name in columns]
     distance = F.lit(None).cast("double")
     for c in range(k):
-        own = euclidean(values, [one_row[f"{name}_{c}"] for name in columns])
+        own = euclidean(values, [F.col(f"__means.{name}_{c}") for name in columns])
         distance = F.when(F.col("cluster") == c, own).otherwise(distance)
-    return labelled.withColumn("distance", distance)
+    return labelled.withColumn("__means", one_row).withColumn("distance", distance).drop("__means")
 
 
 def nearest_to_center(

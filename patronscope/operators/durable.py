@@ -10,9 +10,17 @@ _SETTING = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``, or one in the warehouse where it is unset."""
+    """The folder named by ``spark.checkpoint.dir``, or one in the warehouse where it is unset.
+
+    A warehouse on the driver's own disk will do for a local session only.
+    """
     folder = spark.conf.get(_SETTING, None) or spark.sparkContext.getCheckpointDir()
-    return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/patronscope-work"
+    if folder:
+        return folder
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    if warehouse.startswith(("/", "file:")) and not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"set {_SETTING} to a folder that the whole cluster shares")
+    return f"{warehouse.rstrip('/')}/patronscope-work"
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

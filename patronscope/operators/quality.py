@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import uuid
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from patronscope.operators.durable import fresh_path
+
 
 def percent(part: Column, whole: Column) -> Column:
     """``part`` in percent of ``whole``; NULL for an empty whole."""
@@ -43,14 +47,53 @@ def drop_sparse_columns(
 ) -> DataFrame:
     """``df`` without the columns missing in more than ``threshold`` percent of rows.
 
-    The remaining columns depend on the data, so this runs one job that returns one
-    row per column. Pass a ``report`` (from :func:`missing_percent`) to reuse one.
+    The remaining columns depend on the data. Without a ``report`` (from :func:`missing_percent`)
+    the table is written once to the shared folder, its NULLs are counted on the way, and
+    the result reads it back: however costly the table, it is built once.
     """
-    report = missing_percent(df) if report is None else report
+    if report is None:
+        return _written_without_sparse(df, threshold)
     sparse = report.where(F.col("missing_percent") > threshold).select("column_name").collect()
     return df.drop(*[row.column_name for row in sparse])
 
 
+def _written_without_sparse(df: DataFrame, threshold: float) -> DataFrame:
+    spark = df.sparkSession
+    seen = Observation(f"missing-{uuid.uuid4().hex}")
+    present = [F.count(F.col(f"`{name}`")).alias(f"c{i}") for i, name in enumerate(df.columns)]
+    path = fresh_path(spark, "table")
+    df.observe(seen, F.count("*").alias("rows"), *present).write.parquet(path)
+    rows = seen.get["rows"]
+    kept = [
+        name
+        for i, name in enumerate(df.columns)
+        if 100 * (rows - seen.get[f"c{i}"]) <= threshold * rows
+    ]
+    stored = spark.read.schema(df.schema).parquet(path)
+    return stored.select(*[f"`{name}`" for name in kept])
+
+
+def stored_missing_counts(spark: SparkSession, path: str) -> DataFrame:
+    """:func:`missing_counts` of a parquet table from its footers, without reading a column.
+
+    Columns of plain types are counted so; where one has no statistics Spark reads the table.
+    """
+    settings = {"spark.sql.sources.useV1SourceList": "", "spark.sql.parquet.aggregatePushdown": "true"}
+    before = {name: spark.conf.get(name, None) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        df = spark.read.parquet(path)
+        counts = df.agg(
+            F.count("*").alias("rows"), *[F.count(F.col(f"`{c}`")).alias(f"c{i}") for i, c in enumerate(df.columns)]
+        ).first()
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+    rows = [(c, counts["rows"] - counts[f"c{i}"], counts["rows"]) for i, c in enumerate(df.columns)]
+    return spark.createDataFrame(rows, "column_name string, missing_count long, row_count long")
+
+
 def unique_id_check(df: DataFrame, id_column: str = "id") -> DataFrame:
     """Rows, distinct ids, and whether every row has its own id."""
     return df.agg(

@@ -89,16 +89,17 @@ def _scale(name: str) -> Column:
 def standardize(df: DataFrame, columns: Sequence[str] = RFM_COLUMNS) -> DataFrame:
     """The columns shifted to mean 0 and scaled to population deviation 1.
 
-    The statistics are one row of doubles, used as a scalar subquery.
+    The statistics are one row of doubles, used as a scalar subquery: ``df`` is read twice, so
+    hold it if it is costly.
     """
     stats = column_stats(df, columns)
+    # one column, so that the plan has the subquery once and not once for each number
     one_row = stats.select(F.struct(*stats.columns)).scalar()
-    return df.withColumns(
-        {
-            name: (F.col(name) - one_row[f"{name}_mean"]) / one_row[f"{name}_scale"]
-            for name in columns
-        }
-    )
+    shifted = {
+        name: (F.col(name) - F.col(f"__stats.{name}_mean")) / F.col(f"__stats.{name}_scale")
+        for name in columns
+    }
+    return df.withColumn("__stats", one_row).withColumns(shifted).drop("__stats")
 
 
 def rfm_summary(report: DataFrame, merged: DataFrame) -> DataFrame:

@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +23,7 @@ from patronscope.operators import (
     rfm,
     segments,
 )
+from patronscope.operators.held import held, release
 from patronscope.sources import star_tables
 
 AS_OF = "2001-08-02 00:00:00"
@@ -43,10 +43,14 @@ def queries() -> dict[str, Query]:
 
 
 def _query(build: Query) -> Query:
-    """Registers a query under its function's name, run in UTC."""
+    """Registers a query under its function's name, run in UTC.
+
+    What an earlier query still holds is released first.
+    """
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+        release()
         return build(spark, sf_dir)
 
     _QUERIES[build.__name__] = run
@@ -106,18 +110,18 @@ def preview_columns(spark, sf_dir):
 
 @_query
 def missing_counts(spark, sf_dir):
-    return quality.missing_counts(star_tables.users(spark, sf_dir))
+    return quality.missing_counts(star_tables.users(spark, sf_dir, documents=False))
 
 
 @_query
 def missing_percent(spark, sf_dir):
-    report = quality.missing_percent(star_tables.users(spark, sf_dir))
+    report = quality.missing_percent(star_tables.users(spark, sf_dir, documents=False))
     return _rounded(report, 4, "missing_percent")
 
 
 @_query
 def quality_report(spark, sf_dir):
-    return quality.quality_report(star_tables.users(spark, sf_dir))
+    return quality.quality_report(star_tables.users(spark, sf_dir, documents=False))
 
 
 @_query
@@ -340,7 +344,7 @@ def rfm_extent(spark, sf_dir):
 
 @_query
 def rfm_scaled(spark, sf_dir):
-    return _rounded(rfm.standardize(_features(spark, sf_dir)), 4, *rfm.RFM_COLUMNS)
+    return _rounded(rfm.standardize(held(_features(spark, sf_dir))), 4, *rfm.RFM_COLUMNS)
 
 
 @_query
@@ -354,12 +358,12 @@ def rfm_summary(spark, sf_dir):
 
 
 def _assigned(spark, sf_dir):
-    return clusters.kmeans_assign(rfm.standardize(_features(spark, sf_dir)), CENTROIDS)
+    return clusters.kmeans_assign(rfm.standardize(held(_features(spark, sf_dir))), CENTROIDS)
 
 
 def _labelled(spark, sf_dir):
     """Features in their own units with the label of the fixed start centres."""
-    features = _features(spark, sf_dir)
+    features = held(_features(spark, sf_dir))
     units = {f"__{name}": F.col(name) for name in rfm.RFM_COLUMNS}
     scaled = rfm.standardize(features.withColumns(units), list(units))
     return clusters.kmeans_assign(scaled, CENTROIDS, list(units)).select(
@@ -376,7 +380,7 @@ def kmeans_assign(spark, sf_dir):
 
 @_query
 def kmeans_step(spark, sf_dir):
-    moved = clusters.kmeans_step(rfm.standardize(_features(spark, sf_dir)), CENTROIDS)
+    moved = clusters.kmeans_step(rfm.standardize(held(_features(spark, sf_dir))), CENTROIDS)
     return _rounded(moved, 4, *rfm.RFM_COLUMNS)
 
 
@@ -411,7 +415,7 @@ def cluster_scatter(spark, sf_dir):
 
 def _fitted(spark, sf_dir):
     """The features, held for the many passes, and the fitted centres."""
-    features = _features(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+    features = held(_features(spark, sf_dir))
     return features, clusters.fit_clusters(features, tolerance=1e-12, starts=6)
 
 

@@ -2,7 +2,7 @@
 
 A job reads a user table of any size, writes its tables as JSON under one folder and
 returns them as DataFrames. Tables that feed several outputs are persisted, in memory
-and on disk; what a lost executor held is computed again. The user table itself is
+and on disk, until ``held.release()``; what a lost executor held is computed again. The user table itself is
 scanned a fixed number of times, whatever the number of files.
 """
 
@@ -10,13 +10,13 @@ from __future__ import annotations
 
 import time
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from patronscope.functions import AGE_LABELS, PERIOD_LABELS, age_group
 from patronscope.operators import clusters, logins, profile, prompts, purchases, quality, rfm
 from patronscope.operators.binned import count_bins
+from patronscope.operators.held import held
 from patronscope.operators.segments import (
     SegmentRule,
     rfm_segments,
@@ -29,10 +29,6 @@ Tables = dict[str, DataFrame]
 _UNKNOWN = "unknown"
 
 
-def _held(df: DataFrame) -> DataFrame:
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
-
-
 def profile_tables(
     users: DataFrame,
     login_records: DataFrame | None = None,
@@ -48,9 +44,9 @@ def profile_tables(
     """
     report = quality.quality_report(users)
     if drop_sparse:
-        report = _held(report)
+        report = held(report)
         users = quality.drop_sparse_columns(users, report=report)
-    people = _held(profile.demographics(users)) if _has(users, "gender", "age", "country") else None
+    people = held(profile.demographics(users)) if _has(users, "gender", "age", "country") else None
     tables = {"quality_report": report}
     if people is not None:
         tables |= {
@@ -61,7 +57,7 @@ def profile_tables(
         }
     from_logins = users if login_records is None else login_records
     if _has(from_logins, "id", "age", "login_history"):
-        cells = _held(_login_cells(from_logins))
+        cells = held(_login_cells(from_logins))
         known = cells.where(F.col("age_group") != _UNKNOWN)
         tables |= {
             "login_by_age_period": known,
@@ -95,7 +91,7 @@ def run_profile(users: DataFrame, output: str, **options) -> Tables:
         if name != "profile_summary":
             write_json(table, f"{output}/{name}")
     if "profile_summary" in tables:
-        summary = _held(tables["profile_summary"])
+        summary = held(tables["profile_summary"])
         summary.count()
         seconds = F.lit(round(time.time() - started, 2)).alias("processing_seconds")
         write_one_json_object(summary.select("*", seconds), f"{output}/profile_summary")
@@ -112,10 +108,10 @@ def rfm_tables(
 ) -> Tables:
     """Every RFM table. The documents are parsed once, into one row per user."""
     records = purchases.purchase_records(users)
-    totals = _held(rfm.user_totals(records, as_of))
+    totals = held(rfm.user_totals(records, as_of))
     merged = totals.select("user_id", "last_purchase", "frequency", "monetary")
     features = rfm.rfm_features(merged, as_of)
-    report = _held(quality.quality_report(users))
+    report = held(quality.quality_report(users))
     tables = {
         "quality_report": report,
         "rfm_user_count": merged.agg(F.count("*").alias("rfm_users")),

@@ -112,12 +112,19 @@ def logins(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
+def purchases(
+    spark: SparkSession, sf_dir: str, items: bool = True, documents: bool = True
+) -> DataFrame:
     """Purchase records: each order with its price and items, very long ones in parts.
 
+    Without ``items``, one record per order with its price only, and no line item is read.
+    Without ``documents``, the same records with a short text wherever there is a document.
+
     The part of an item follows from its own numbers, so it is the same on every run;
     an order that holds a third of all items is counted, joined and gathered in parts.
     """
+    if not items:
+        return _priced_orders(spark, sf_dir)
     lines = table(spark, sf_dir, "lineitem")
     sizes = lines.groupBy("l_orderkey").agg(
         F.ceil(F.count("*") / ITEMS_PER_RECORD).cast("bigint").alias("n_parts")
@@ -147,7 +154,20 @@ def purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.max("avg_price").alias("avg_price"),
         F.sort_array(F.collect_list("item")).alias("items"),
     )
-    return records.select(F.col("o_custkey").alias("id"), _order_document().alias("purchase_history"))
+    document = _order_document() if documents else _has_document()
+    return records.select(F.col("o_custkey").alias("id"), document.alias("purchase_history"))
+
+
+def _priced_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders").withColumn("avg_price", F.col("o_totalprice"))
+    no_items = orders.withColumn("items", F.lit(None).cast("array<struct<id:bigint,text:string>>"))
+    return no_items.select(F.col("o_custkey").alias("id"), _order_document().alias("purchase_history"))
+
+
+def _has_document() -> Column:
+    """A text where :func:`_order_document` gives one: it is NULL where one of these is."""
+    parts = ("o_orderpriority", "o_orderstatus", "o_orderdate")
+    return F.when(F.coalesce(*[F.when(F.col(p).isNull(), False) for p in parts], F.lit(True)), F.lit("{}"))
 
 
 def _order_document() -> Column:
@@ -161,7 +181,7 @@ def _order_document() -> Column:
         F.lit("{"),
         F.coalesce(price, F.lit("")),
         F.lit('"items":['),
-        F.array_join("items.text", ","),
+        F.coalesce(F.array_join("items.text", ","), F.lit("")),
         F.lit('],"payment_method":"'),
         quoted("o_orderpriority"),
         F.lit('","payment_status":"'),
@@ -173,12 +193,18 @@ def _order_document() -> Column:
 
 
 def buyers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per purchase record of a customer, with the customer's own columns."""
-    return people(spark, sf_dir).join(purchases(spark, sf_dir), "id")
+    """One row per priced order of a customer, with the customer's own columns.
+
+    What reads it needs prices and who bought, so the items are left out.
+    """
+    return people(spark, sf_dir).join(purchases(spark, sf_dir, items=False), "id")
 
 
-def users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole user table: one row per login or purchase record, at least one per user."""
+def users(spark: SparkSession, sf_dir: str, documents: bool = True) -> DataFrame:
+    """The whole user table: one row per login or purchase record, at least one per user.
+
+    Without ``documents``, both histories are a short text wherever there is a document.
+    """
     base = people_by_country(spark, sf_dir)
     nothing = F.lit(None).cast("string")
     records = (
@@ -186,11 +212,11 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select(
             F.col("user_id").alias("id"),
             F.date_format("last_ts", "yyyy-MM-dd HH:mm:ss").alias("last_login"),
-            "login_history",
+            ("login_history" if documents else F.lit("{}").alias("login_history")),
             nothing.alias("purchase_history"),
         )
         .unionByName(
-            purchases(spark, sf_dir).select(
+            purchases(spark, sf_dir, documents=documents).select(
                 "id", nothing.alias("last_login"), nothing.alias("login_history"), "purchase_history"
             )
         )

@@ -95,3 +95,64 @@ def test_no_window_over_a_whole_conversation(spark):
     # over the turns of one block, and over the one row of each block
     assert len(windows) == 2 and sum("turn#" in x for x in windows) == 1
     assert all("__block#" in x for x in windows)
+
+
+@pytest.mark.parametrize("name", ["nearest_to_center", "distance_to_center", "cluster_scatter"])
+def test_labels_are_read_twice_and_built_once(spark, name):
+    text = plan(QUERIES[name](spark, SF))
+    # the statistics and the means, each one subquery in one column
+    assert 2 <= text.count("Subquery subquery#") <= 6
+    scans = [x for x in text.splitlines() if "FileScan" in x]
+    held = [x for x in text.splitlines() if "InMemoryTableScan" in x]
+    # the four scans of the records are printed below every read of the held features, and nowhere else
+    assert 0 < len(held) <= 4 and len(scans) == 4 * len(held)
+
+
+@pytest.mark.parametrize("name", ["missing_counts", "missing_percent", "quality_report"])
+def test_quality_builds_no_documents(spark, name):
+    text = plan(QUERIES[name](spark, SF))
+    assert "to_json" not in text and "array_join" not in text and "collect_list" not in text
+
+
+@pytest.mark.parametrize("name", ["total_spent", "active_users", "profile_summary"])
+def test_prices_need_no_items(spark, name):
+    assert "lineitem" not in plan(QUERIES[name](spark, SF)) and "l_orderkey" not in plan(QUERIES[name](spark, SF))
+
+
+def test_footers_give_the_missing_counts(spark, stored, tmp_path):
+    path = str(tmp_path / "t")
+    rows = [(i, None if i % 3 else "x", None) for i in range(100)]
+    spark.createDataFrame(rows, "id long, `a.b` string, n int").repartition(3).write.parquet(path)
+    read = spark.read.parquet(path)
+    assert sorted(map(tuple, quality.stored_missing_counts(spark, path).collect())) == sorted(
+        map(tuple, quality.missing_counts(read).collect())
+    )
+    assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"
+
+
+def test_a_table_without_sparse_columns_is_built_once(spark):
+    from pyspark.sql import functions as F
+
+    calls = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            calls.add(len(b))
+            yield b
+
+    df = spark.range(100).select("id", F.when(F.col("id") < 10, F.col("id")).alias("few"), F.lit("x").alias("x"))
+    result = quality.drop_sparse_columns(df.mapInPandas(counted, df.schema))
+    assert result.columns == ["id", "x"] and result.count() == 100 and result.agg(F.sum("id")).first()[0] == 4950
+    assert calls.value == 100
+    empty = quality.drop_sparse_columns(df.limit(0))
+    assert empty.columns == df.columns and empty.count() == 0
+
+
+def test_held_tables_are_released(spark):
+    from patronscope.operators.held import held, release
+
+    release()
+    kept = held(spark.range(10))
+    kept.count()
+    assert kept.storageLevel.useMemory and release() == 1
+    assert not kept.storageLevel.useMemory and release() == 0 and kept.count() == 10

@@ -207,3 +207,23 @@ def test_merged_equals_totals(spark):
     merged = rfm.rfm_merge_users(records)
     totals = rfm.user_totals(records, as_of()).select(merged.columns)
     assert sorted(merged.collect()) == sorted(totals.collect())
+
+
+def test_all_starts_step_together(spark):
+    features = blobs(spark)
+    scaled = rfm.standardize(features).select(*rfm.RFM_COLUMNS)
+    good = clusters.start_centers(scaled, 3, 1, 1)[0]
+    # a start that ends in a worse optimum, and one with a centre that no row is near
+    worse = [good[0], tuple(x + 0.001 for x in good[0]), good[2]]
+    alone = [*good[:2], (1e6, 1e6, 1e6)]
+    found = clusters.lloyd(scaled, [worse, good, alone], 50, 0.0)
+    for center, same in zip(sorted(found), sorted(clusters.lloyd(scaled, [good], 50, 0.0))):
+        assert center == pytest.approx(same)
+    assert len({c for c in found}) == 3
+
+
+def test_fewer_points_than_clusters(spark):
+    features = spark.createDataFrame([(i, float(i % 2), 1, 5.0) for i in range(9)], FEATURES)
+    model = clusters.fit_clusters(features, k=3, starts=3)
+    assert len(model.centers) == 2
+    assert {r.user_id % 2: r.cluster for r in model.predict(features).collect()} == {0: 0, 1: 1}
