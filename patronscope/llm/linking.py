@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from patronscope.llm.common import fmix64, stored, texts
 from patronscope.llm.hashing import FIRST, hashed, window_hashes
 
+Needed = tuple[list[int], list[int]]
 BLOCK = 1024
 NARROW = [f"s{i}" for i in range(8)]
 SKETCH = [*NARROW, "wide"]
@@ -187,7 +188,8 @@ class _Group:
         self.marks = np.stack([c.view(np.uint64) for c in columns[7:]], axis=1)
         self.blocks = columns[1][0], columns[2][0]
 
-    def pairs(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def pairs(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """One id, others, and the larger size of each two."""
         i, j = self.blocks
         left = np.flatnonzero(self.own == i)
         right = left if i == j else np.flatnonzero(self.own == j)
@@ -200,14 +202,16 @@ class _Group:
                 continue
             differ = np.bitwise_count(self.marks[others] ^ self.marks[x]).sum(axis=1, dtype=np.int64)
             allowed = (100 + self.percent) * differ <= (100 - self.percent) * (n + self.n[others])
-            yield np.full(int(allowed.sum()), self.id[x]), self.id[others[allowed]]
+            others = others[allowed]
+            yield np.full(len(others), self.id[x]), self.id[others], np.maximum(n, self.n[others])
 
 
-def block_pairs(rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs of ids of one key and different parts that sizes and sketches allow.
+def block_pairs(rows: DataFrame, percent: int, needed: Needed) -> DataFrame:
+    """Pairs of ids of different parts that share enough keys, and that sizes and sketches allow.
 
     ``rows`` has ``key, size, id, part, n`` and the sketch; ``size`` is the number of rows of the key.
     """
+    sizes, numbers = needed
     n_blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("id", "key"), n_blocks).cast("int")
     dealt = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), n_blocks - 1)))
@@ -234,17 +238,29 @@ def block_pairs(rows: DataFrame, percent: int) -> DataFrame:
 
     def found(groups: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
         for g in groups:
-            for a, b in _Group(percent, g).pairs():
+            for a, b, larger in _Group(percent, g).pairs():
                 if len(a):
-                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
-
-    return _distinct_pairs(dealt.mapInArrow(run, "a long, b long"))
-
-
-def links(rows: DataFrame, classes: DataFrame, documents: DataFrame, width: int, percent: int) -> DataFrame:
+                    need = np.array(numbers)[np.searchsorted(sizes, larger, "right") - 1]
+                    columns = [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(need)]
+                    yield pa.RecordBatch.from_arrays(columns, ["a", "b", "need"])
+
+    pairs = dealt.mapInArrow(run, "a long, b long, need long").where("a != b")
+    shared = pairs.groupBy("a", "b").agg(F.count("*").alias("keys"), F.max("need").alias("need"))
+    return shared.where("keys >= need").select("a", "b")
+
+
+def links(
+    rows: DataFrame,
+    classes: DataFrame,
+    documents: DataFrame,
+    width: int,
+    percent: int,
+    needed: Needed = ([0], [1]),
+) -> DataFrame:
     """Links that join all classes into components that share a key and reach the similarity.
 
-    ``rows`` has ``key, id``, ``classes`` ``id, n`` and the sketch.
+    ``rows`` has ``key, id``, ``classes`` ``id, n`` and the sketch. ``needed`` are sizes, ascending from 0, and how many keys
+    two sets that link share at least, if the larger one has that size or more.
     """
     rows = stored(shared_keys(rows), "shared-keys")
     tested = _distinct_pairs(rows.select(F.col("first").alias("a"), F.col("id").alias("b")))
@@ -258,7 +274,7 @@ def links(rows: DataFrame, classes: DataFrame, documents: DataFrame, width: int,
     )
     several = several.where("low != high").select("key", "size")
     left = parts.join(several, "key").join(classes.drop("wide"), "id")
-    more = block_pairs(left, percent).join(tested, ["a", "b"], "left_anti")
+    more = block_pairs(left, percent, needed).join(tested, ["a", "b"], "left_anti")
     more = stored(likely(more, classes, percent), "pairs")
     more = stored(confirmed(more, documents, width, percent), "links")
     return found.unionByName(more)

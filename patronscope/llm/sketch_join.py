@@ -8,10 +8,10 @@ hashed to one bit of ``words`` 64-bit words, and the sketch is the XOR of them a
 one of two sets flips one bit, so the words in which the sketches differ are no more than the
 symmetric difference: a pair that may link differs in at most ``d`` words.
 
-Pigeonhole. With ``words = d + 1 + left_out`` at least ``left_out + 1`` words of such a pair have no differing token.
+Pigeonhole. With ``words = d + 1 + spare`` at least ``spare + 1`` words of such a pair have no differing token.
 All words of a band have one order: first those with the most rare tokens, then those with the most bits. Each set leaves
-out its last ``left_out`` words, so two sets that may link share the key (band, place, word) of at least
-one that is left: the first in that order of those that they have in common. A set has the keys of its own band and,
+out its last ``spare + 1 - least`` words. Then two sets that may link share the keys (band, place, word) of at least
+``least`` words: the first in that order of those that they have in common. Pairs that share fewer are no links. A set has the keys of its own band and,
 if a partner may be in the next band, of that one too. Sets so small that ``d`` is 0 link only with equal ones.
 
 Rare are tokens that a bounded sample of the documents doesn't hold twice. Passages that many documents share so give
@@ -41,8 +41,10 @@ from patronscope.llm.bitmap import bits_of, holds_bits
 from patronscope.llm.common import batch, drawn, fmix64, stored, texts
 from patronscope.llm.linking import SKETCH, SKETCH_DDL, SKETCH_FIELDS, shingles, sketch
 
-#: From one band's smallest size to the next one's; words that a set leaves out, as a share of ``d``.
-GROWTH, LEFT_OUT = 1.3, 1 / 3
+#: From one band's smallest size to the next one's; spare words as a share of ``d``.
+GROWTH, SPARE = 1.3, 1 / 3
+#: Of so many spare words one is not left out, so that links share more keys.
+ASKED = 4
 #: Documents in which common tokens are sought, and bits of the table that holds them.
 SAMPLE_ROWS, COMMON_BITS = 5_000, 1 << 24
 
@@ -82,6 +84,19 @@ class Bands:
         largest = self.start(band + 1) - 1
         return (100 - self.percent) * 2 * largest // (100 + self.percent)
 
+    def spare(self, band: int) -> int:
+        """Words of a band beyond ``d + 1``."""
+        return int(self.differences(band) * SPARE)
+
+    def least(self, band: int) -> int:
+        """Keys of a band that two sets that link share at least."""
+        return 1 - (-self.spare(band) // ASKED)
+
+    def needed(self) -> linking.Needed:
+        """Sizes from which on the larger of two sets is in a band, and the keys that they share."""
+        last = self.band(1 << 40)
+        return [0, *self.starts[1 : last + 1]], [self.least(band) for band in range(last + 1)]
+
     def of(self, size: int) -> list[int]:
         """The bands in which a set has keys."""
         own = self.band(size)
@@ -114,8 +129,8 @@ def keys(values: np.ndarray, bands: Bands, rare: np.ndarray) -> list[int]:
         d = bands.differences(band)
         if not d:
             continue
-        skip = int(d * LEFT_OUT)
-        n = d + 1 + skip
+        n = d + 1 + bands.spare(band)
+        skip = bands.spare(band) + 1 - bands.least(band)
         word = words(values, n)
         place = np.arange(n)
         hashes = fmix64(word ^ fmix64(place.astype(np.uint64) + np.uint64(band << 40) + np.uint64(1)))
@@ -178,4 +193,5 @@ def similar(documents: DataFrame, width: int = 5, similarity: float = 0.8) -> Da
     first = linking.first_of_class(known, named)
     classes = stored(first.select("id", "n", *SKETCH), "class-sketches")
     rows = first.select("id", F.explode("keys").alias("key"))
-    return linking.grouped(known, named, linking.links(rows, classes, documents, width, percent))
+    found = linking.links(rows, classes, documents, width, percent, Bands(percent).needed())
+    return linking.grouped(known, named, found)

@@ -98,6 +98,27 @@ def test_bands_bring_partners_together(percent):
             band = bands.band(m)
             assert band in own and band in bands.of(m)
             assert (100 - percent) * (n + m) // (100 + percent) <= bands.differences(band)
+            sizes, least = bands.needed()
+            assert least[np.searchsorted(sizes, m, "right") - 1] == bands.least(band) <= bands.spare(band) + 1
+
+
+@pytest.mark.parametrize("percent", [70, 85, 95])
+def test_links_share_as_many_keys_as_asked(percent):
+    random = np.random.default_rng(percent)
+    bands = sketch_join.Bands(percent)
+    for _ in range(150):
+        n = int(random.integers(8, 900))
+        values = np.unique(random.integers(0, 1 << 64, n, dtype=np.uint64))
+        new = np.unique(random.integers(0, 1 << 64, 400, dtype=np.uint64))
+        gone, more = random.integers(0, n // 4 + 1), random.integers(0, n // 4 + 1)
+        other = np.unique(np.concatenate([random.permutation(values)[gone:], new[:more]]))
+        both = len(np.intersect1d(values, other))
+        if 100 * both < percent * (len(values) + len(other) - both) or len(np.setxor1d(values, other)) == 0:
+            continue
+        a, b = (
+            set(sketch_join.keys(x, bands, x % np.uint64(3) > 0)) for x in (values, other)
+        )
+        assert len(a & b) >= bands.least(bands.band(max(len(values), len(other))))
 
 
 def test_odd_rows(spark):
