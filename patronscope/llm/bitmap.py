@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from patronscope.llm.common import fmix64
+from patronscope.llm.common import fmix64, shuffles_freed
 
 
 def places(keys: np.ndarray, size: int) -> np.ndarray:
@@ -45,9 +45,11 @@ def bits_of(keys: DataFrame, size: int) -> bytes:
                 ["block", "marks"],
             )
 
-    bits = keys.select("key").mapInArrow(numbered, "block long, bit long")
-    rows = bits.repartition(F.col("block")).mapInArrow(drawn, "block long, marks binary")
     out = bytearray(size // 8)
-    for row in rows.limit(size >> 16).collect():
+    with shuffles_freed(keys.sparkSession):
+        bits = keys.select("key").mapInArrow(numbered, "block long, bit long")
+        rows = bits.repartition(F.col("block")).mapInArrow(drawn, "block long, marks binary")
+        found = rows.limit(size >> 16).collect()
+    for row in found:
         out[row.block << 13 : (row.block + 1) << 13] = row.marks
     return bytes(out)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
@@ -34,18 +35,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of the queries built and run within go as soon as each has ended."""
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CLEANUP, before)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared folder and read back: the lineage ends there.
 
     The table is complete when the write has ended, so its shuffle files go at once.
     """
-    conf, path = df.sparkSession.conf, fresh_path(df.sparkSession, name)
-    before = conf.get(_CLEANUP, "false")
-    conf.set(_CLEANUP, "true")
-    try:
+    path = fresh_path(df.sparkSession, name)
+    with shuffles_freed(df.sparkSession):
         df.write.parquet(path)
-    finally:
-        conf.set(_CLEANUP, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
