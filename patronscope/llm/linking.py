@@ -158,7 +158,7 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def shared_keys(rows: DataFrame) -> DataFrame:
-    """``key, id, first``: rows of the keys of two or more ids; ``first`` is the key's smallest id."""
+    """``key, id, need, first``: rows of the keys of two or more ids; ``first`` is the key's smallest id."""
     some = rows.where(F.pmod(F.xxhash64("id"), F.lit(SAMPLED)) == 0).groupBy("key").count()
     often = some.where(F.col("count") >= FREQUENT).orderBy(F.desc("count")).limit(MOST_FREQUENT)
     often = [r.key for r in often.select("key").collect()]
@@ -170,15 +170,11 @@ def shared_keys(rows: DataFrame) -> DataFrame:
         hot = rows.join(table, "key")
         first = hot.groupBy("key").agg(F.min("id").alias("first"))
         found = [hot.join(F.broadcast(first), "key")]
-    rest = rest.select("key", "id", F.min("id").over(own).alias("first"), F.count("*").over(own).alias("size"))
+    rest = rest.select("key", "id", "need", F.min("id").over(own).alias("first"), F.count("*").over(own).alias("size"))
     found.append(rest.where("size > 1").drop("size"))
     return found[0] if len(found) == 1 else found[0].unionByName(found[1])
 
 
-def _distinct_pairs(rows: DataFrame) -> DataFrame:
-    return rows.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a != b").distinct()
-
-
 class _Group:
     """Rows of one key and two blocks, as arrays, and the pairs among them that may be links."""
 
@@ -259,11 +255,17 @@ def links(
 ) -> DataFrame:
     """Links that join all classes into components that share a key and reach the similarity.
 
-    ``rows`` has ``key, id``, ``classes`` ``id, n`` and the sketch. ``needed`` are sizes, ascending from 0, and how many keys
+    ``rows`` has ``key, id, n``, ``classes`` ``id, n`` and the sketch. ``needed`` are sizes, ascending from 0, and how many keys
     two sets that link share at least, if the larger one has that size or more.
     """
-    rows = stored(shared_keys(rows), "shared-keys")
-    tested = _distinct_pairs(rows.select(F.col("first").alias("a"), F.col("id").alias("b")))
+    sizes, numbers = needed
+    band = F.size(F.filter(F.array(*[F.lit(s).cast("long") for s in sizes]), lambda s: s <= F.col("n")))
+    need = F.element_at(F.array(*[F.lit(min(x, 1 << 30)).cast("int") for x in numbers]), band).alias("need")
+    rows = stored(shared_keys(rows.select("key", "id", need)), "shared-keys")
+    firsts = rows.where("first != id").groupBy(F.col("first").alias("a"), F.col("id").alias("b"))
+    # the first of a key is not first in all keys that two sets share: half of them will do here
+    tested = firsts.agg(F.count("*").alias("keys"), F.max("need").alias("need")).where("2 * keys >= need")
+    tested = tested.select("a", "b")
     tested = stored(likely(tested, classes, percent), "pairs")
     found = stored(confirmed(tested, documents, width, percent), "links")
     roots = components(found)

@@ -108,6 +108,6 @@ def near_duplicates(
     named = linking.class_table(known)
     first = linking.first_of_class(known, named)
     classes = stored(first.select("id", "n", *SKETCH), "class-sketches")
-    rows = first.select("id", F.explode("nodes").alias("key"))
+    rows = first.select("id", "n", F.explode("nodes").alias("key"))
     found = linking.links(rows, classes, documents, width, round(100 * similarity))
     return linking.grouped(known, named, found)

@@ -192,6 +192,6 @@ def similar(documents: DataFrame, width: int = 5, similarity: float = 0.8) -> Da
     named = linking.class_table(known)
     first = linking.first_of_class(known, named)
     classes = stored(first.select("id", "n", *SKETCH), "class-sketches")
-    rows = first.select("id", F.explode("keys").alias("key"))
+    rows = first.select("id", "n", F.explode("keys").alias("key"))
     found = linking.links(rows, classes, documents, width, percent, Bands(percent).needed())
     return linking.grouped(known, named, found)
