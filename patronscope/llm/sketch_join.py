@@ -44,7 +44,7 @@ from patronscope.llm.linking import SKETCH, SKETCH_DDL, SKETCH_FIELDS, shingles,
 #: From one band's smallest size to the next one's; spare words as a share of ``d``.
 GROWTH, SPARE = 1.3, 1 / 3
 #: Of so many spare words one is not left out, so that links share more keys.
-ASKED = 4
+ASKED = 16
 #: Documents in which common tokens are sought, and bits of the table that holds them.
 SAMPLE_ROWS, COMMON_BITS = 5_000, 1 << 24
 
