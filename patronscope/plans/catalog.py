@@ -68,9 +68,13 @@ def _as_of():
 # Scans --------------------------------------------------------------------------
 
 
+# A pattern that this one name alone fits; a sibling such as customer.parquet.old is not read.
+_CUSTOMER_NAME = "customer.parque[t]"
+
+
 def _customer_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The customers, kept as one file or as a folder of part files."""
-    path = f"{sf_dir}/customer.parquet*"
+    path = f"{sf_dir}/{_CUSTOMER_NAME}"
     return sources.scan_part_files(spark, path, star_tables.SCHEMAS["customer"], glob=None)
 
 
@@ -499,7 +503,7 @@ def incremental_profile(spark, sf_dir):
     """Running totals over customers that arrive, with their logins and purchases."""
 
     def arriving() -> DataFrame:
-        path = f"{sf_dir}/customer.parquet*"
+        path = f"{sf_dir}/{_CUSTOMER_NAME}"
         return streaming.stream_files(spark, path, star_tables.SCHEMAS["customer"], glob=None)
 
     person = star_tables.person_columns(F.col("c_custkey"), F.col("c_mktsegment"), F.col("c_acctbal"))
@@ -508,7 +512,7 @@ def incremental_profile(spark, sf_dir):
     users = users.select(*person, F.col("n_name").alias("country"))
     people = arriving().select(*person)
     logins_of = star_tables.login_records(spark, sf_dir).withColumnRenamed("user_id", "id")
-    purchases_of = star_tables.purchases(spark, sf_dir)
+    purchases_of = star_tables.purchases(spark, sf_dir, items=False)
     entries = (
         streaming.user_entries(users)
         .unionByName(streaming.login_entries(people.join(logins_of, "id")))

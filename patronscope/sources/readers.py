@@ -74,9 +74,16 @@ def describe_schema(df: DataFrame) -> DataFrame:
 def preview_columns(
     df: DataFrame, columns: Sequence[str], order_by: Sequence[str] = ("id",), rows: int = 5
 ) -> DataFrame:
-    """The first rows of some columns, in a stated order."""
+    """The first rows of some columns, in a stated order.
+
+    The first of ``order_by`` alone tells which keys can be shown; the other columns, costly
+    documents perhaps, are built for the rows of those keys only.
+    """
     shown = list(dict.fromkeys([*order_by, *columns]))
-    return df.select(*shown).orderBy(*shown).limit(rows)
+    key = F.col(shown[0])
+    last = df.select(shown[0]).orderBy(shown[0]).limit(rows).agg(F.max(shown[0])).scalar()
+    # NULL keys come first
+    return df.select(*shown).where(key.isNull() | (key <= last)).orderBy(*shown).limit(rows)
 
 
 def require_rows(df: DataFrame, what: str = "input") -> DataFrame:

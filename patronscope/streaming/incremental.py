@@ -1,14 +1,16 @@
 """Profile totals that grow as files arrive.
 
-Entries are rows ``dimension, label, cnt, amount``. Those of a whole user table come from
-:func:`profile_entries`; where logins and purchases arrive apart from the users,
-:func:`user_entries`, :func:`login_entries` and :func:`purchase_entries` make them one by one.
+Entries are rows ``dimension, label, amount, once``; equal entries marked ``once`` count once, however
+often they come. Those of a whole user table come from :func:`profile_entries`; where logins
+and purchases arrive apart from the users, :func:`user_entries`, :func:`login_entries` and
+:func:`purchase_entries` make them one by one.
 """
 
 from __future__ import annotations
 
 import time
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -49,6 +51,11 @@ def _entry(dimension: str, label: Column, amount: Column | None = None) -> Colum
     )
 
 
+def _marked(entries: DataFrame, once: bool = False) -> DataFrame:
+    # a literal, so that the optimizer leaves out the branches that a filter on it excludes
+    return entries.withColumn("once", F.lit(once))
+
+
 def user_entries(users: DataFrame) -> DataFrame:
     """Everyone, gender, age bin and, where there is one, country."""
     entries = [
@@ -58,7 +65,7 @@ def user_entries(users: DataFrame) -> DataFrame:
     ]
     if "country" in users.columns:
         entries.append(_entry("country", F.col("country")))
-    return users.select(F.inline(F.array(*entries)))
+    return _marked(users.select(F.inline(F.array(*entries))))
 
 
 def login_entries(users: DataFrame) -> DataFrame:
@@ -66,19 +73,16 @@ def login_entries(users: DataFrame) -> DataFrame:
     aged = users.where(F.col("age").isNotNull()).withColumn("age_group", age_group(F.col("age")))
     times = login_times(aged, "age_group").where(F.col("login_time").isNotNull())
     label = F.concat_ws("|", "age_group", login_period(F.col("login_time")))
-    return times.select(F.inline(F.array(_entry("login", label))))
+    return _marked(times.select(_entry("login", label).alias("entry")).select("entry.*"))
 
 
 def purchase_entries(users: DataFrame) -> DataFrame:
-    """What each purchase document spent, and the ids of active users that have one.
-
-    An id is a label of its own, so that the stream's state tells which ids it has seen.
-    """
+    """What each purchase document spent, and, ``once`` each, the ids of active users that have one."""
     bought = users.where(has_document(F.col("purchase_history")))
     price = purchase_document(F.col("purchase_history"), "avg_price")["avg_price"]
-    spent = _entry("spent", F.lit("all"), price)
-    active = F.when(F.col("is_active"), F.array(spent, _entry(_ACTIVE, F.col("id"))))
-    return bought.select(F.inline(F.coalesce(active, F.array(spent))))
+    spent = bought.select(_entry("spent", F.lit("all"), price).alias("entry"))
+    active = bought.where("is_active").select(_entry(_ACTIVE, F.col("id")).alias("entry"))
+    return _marked(spent.select("entry.*")).unionByName(_marked(active.select("entry.*"), once=True))
 
 
 def profile_entries(users: DataFrame) -> DataFrame:
@@ -90,42 +94,29 @@ def profile_entries(users: DataFrame) -> DataFrame:
     )
 
 
-def _collapsed(totals: DataFrame) -> DataFrame:
-    """Ids become their number."""
-    is_id = F.col("dimension") == _ACTIVE
-    return (
-        totals.withColumns(
-            {
-                "cnt": F.when(is_id, F.lit(1).cast("bigint")).otherwise(F.col("cnt")),
-                "label": F.when(is_id, F.lit("all")).otherwise(F.col("label")),
-            }
-        )
-        .groupBy("dimension", "label")
-        .agg(F.sum("cnt").alias("cnt"), F.sum("amount").cast("decimal(38,8)").alias("amount"))
-    )
-
-
 def batch_totals(entries: DataFrame) -> DataFrame:
-    """The totals of entries that are all there."""
-    grouped = entries.groupBy("dimension", "label").agg(
-        F.count("*").alias("cnt"), F.sum("amount").alias("amount")
+    """The totals of entries, or of a stream of them; one row per label.
+
+    Of entries marked ``once`` those seen before go, and the label of the rest is ``all``.
+    """
+    first = entries.where("once").dropDuplicates(["dimension", "label"])
+    counted = entries.where("not once").unionByName(first.withColumn("label", F.lit("all")))
+    return counted.groupBy("dimension", "label").agg(
+        F.count("*").alias("cnt"), F.sum("amount").cast("decimal(38,8)").alias("amount")
     )
-    return _collapsed(grouped)
 
 
 def latest_totals(spark: SparkSession, output: str) -> DataFrame:
-    """The totals of the last complete step under ``output``; empty before the first."""
+    """The last total of every label under ``output``; empty before the first step."""
     steps = spark.read.schema(_TOTALS + ", step bigint").option("basePath", output)
     try:
         every = steps.parquet(output)
-        last = every.agg(F.max("step")).first()[0]
-    except Exception as error:  # noqa: BLE001
-        if "PATH_NOT_FOUND" not in str(error):
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        last = None
-    if last is None:
         return spark.createDataFrame([], _TOTALS)
-    return every.where(F.col("step") == last).drop("step")
+    last = F.max_by(F.struct("cnt", "amount"), "step").alias("last")
+    return every.groupBy("dimension", "label").agg(last).select("dimension", "label", "last.*")
 
 
 def incremental_profile(
@@ -133,24 +124,22 @@ def incremental_profile(
 ) -> DataFrame:
     """Run a stream of entries to the end of the available files and return the totals.
 
-    The totals are few rows: one per label. Every step writes them to a folder of its
-    own under ``output``, named after the moment, so a reader always finds the last
-    complete step. With the same ``output`` and ``checkpoint`` a later call continues with the files
-    that have arrived since.
+    The totals are few rows: one per label. Every step writes those that it changed to a
+    folder of its own under ``output``, named after the moment; a step that is repeated after a
+    failure writes the same totals again. Which ids have been seen stays in the stream's state, spread
+    over its partitions, and is never handed out. With the same ``output`` and ``checkpoint`` a
+    later call continues with the files that have arrived since.
     """
     spark = entries.sparkSession
     output = output or fresh_path(spark, "profile-totals")
     checkpoint = checkpoint or fresh_path(spark, "profile-stream")
-    totals = entries.groupBy("dimension", "label").agg(
-        F.count("*").alias("cnt"), F.sum("amount").alias("amount")
-    )
 
     def write_step(batch: DataFrame, _: int) -> None:
-        step = time.time_ns()
-        _collapsed(batch).write.parquet(f"{output}/step={step}")
+        batch.write.parquet(f"{output}/step={time.time_ns()}")
 
     query = (
-        totals.writeStream.outputMode("complete")
+        batch_totals(entries)
+        .writeStream.outputMode("update")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .foreachBatch(write_step)

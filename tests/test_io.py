@@ -37,6 +37,13 @@ def user_dir(spark, tmp_path_factory):
     return path
 
 
+def test_preview_orders_nulls_ties_and_few_rows(spark):
+    frame = spark.createDataFrame([(None, "b"), (None, "a"), (1, "d"), (1, "c"), (2, "e")], "id long, text string")
+    for rows in range(7):
+        found = [tuple(r) for r in sources.preview_columns(frame, ["text"], rows=rows).collect()]
+        assert found == [(None, "a"), (None, "b"), (1, "c"), (1, "d"), (2, "e")][:rows]
+
+
 def test_part_glob_ignores_other_files(spark, user_dir):
     assert sources.scan_users(spark, user_dir).count() > 150
     users = sources.scan_part_files(spark, user_dir)
@@ -181,6 +188,21 @@ def test_stream_totals_equal_batch_totals_and_continue(spark, user_dir, tmp_path
     }
 
 
+def test_a_step_writes_labels_and_no_ids(spark, user_dir, tmp_path):
+    landing, out = str(tmp_path / "landing"), str(tmp_path / "totals")
+    users = sources.scan_part_files(spark, user_dir).where("is_active and purchase_history is not null")
+    assert users.count() > 50
+    # the same ids in two files, so that the second step sees none for the first time
+    for _ in range(2):
+        users.coalesce(1).write.mode("append").parquet(landing)
+    stream = stream_files(spark, landing, users.schema, files_per_trigger=1)
+    totals = incremental_profile(profile_entries(stream), out, str(tmp_path / "state"))
+    (active,) = totals.where("dimension = 'active_user'").collect()
+    assert (active.label, active.cnt) == ("all", users.select("id").distinct().count())
+    steps = spark.read.parquet(out).groupBy("step").count().collect()
+    assert len(steps) == 2 and max(r["count"] for r in steps) <= totals.count()
+
+
 def test_totals_job(spark, user_dir, tmp_path):
     out = str(tmp_path / "totals")
     options = ["--input", user_dir, "--glob", "part-*", "--output", out]

@@ -156,3 +156,10 @@ def test_held_tables_are_released(spark):
     kept.count()
     assert kept.storageLevel.useMemory and release() == 1
     assert not kept.storageLevel.useMemory and release() == 0 and kept.count() == 10
+
+
+def test_preview_builds_documents_of_the_shown_keys_only(spark):
+    text = plan(QUERIES["preview_columns"](spark, SF))
+    for key in ("user_id", "o_custkey", "c_custkey"):
+        assert f"LessThanOrEqual({key},ScalarSubquery" in text
+    assert "lineitem" not in plan(QUERIES["total_spent"](spark, SF))
