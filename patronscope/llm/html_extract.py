@@ -8,6 +8,10 @@ to its ancestors: all to the parent, half to the grandparent, less further up. A
 container's points are discounted by its share of linked text. The best container
 and those siblings that look like part of it give the text, in page order.
 
+A class name of several words, such as ``related-work``, may name a topic of the article: its part
+goes only if a good share of its text is linked. Lists and boxes made of links go too, but
+not within an ``article`` or ``main`` element, where they are sources and the like.
+
 Pages are handled one by one in Arrow batches; nothing is shuffled.
 
 Defined cases: NULL or blank html gives ''; markup that is cut off or not closed is closed at
@@ -19,6 +23,7 @@ from __future__ import annotations
 
 import html as htmllib
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -29,7 +34,7 @@ from patronscope.llm.common import batch
 
 #: Element names (fixed values).
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-RAW = frozenset("script style textarea title iframe noframes noembed xmp template svg math".split())
+RAW = frozenset("script style textarea title iframe noframes noembed xmp template svg".split())
 BLOCK = frozenset(
     """address article aside blockquote body caption center dd details dialog dir div dl dt
     fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup html li main menu nav
@@ -37,7 +42,7 @@ BLOCK = frozenset(
 )
 DROPPED = frozenset(
     """nav footer aside form button select option input label fieldset dialog menu head noscript
-    object canvas audio video""".split()
+    object canvas audio video annotation annotation-xml""".split()
 )
 PARAGRAPH = frozenset("p pre td blockquote dd li".split())
 HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -59,8 +64,20 @@ BAD_WORDS = frozenset(
     skip social sponsor sponsored sponsors subscribe subscription tagcloud toolbar topbar tracking
     widget widgets""".split()
 )
+#: Bad words that may as well name a topic, and the words that make them name a part of the page.
+TOPIC_WORDS = frozenset(
+    """disclaimer discussion header login notice notices notification promotion recommended related
+    respond responses search skip social sponsor sponsors subscription tracking""".split()
+)
+PART_WORDS = frozenset(
+    """area article articles bar block box button buttons container content entries feed form icon icons
+    inner item items link links list media menu module nav news outer panel popup post posts row
+    section stories story strip top topics videos wrap wrapper""".split()
+)
 #: A class name with one of these words says what is beside the part, not what it is.
 BESIDE_WORDS = frozenset("has no with without".split())
+#: Ancestors that a paragraph passes points to.
+REACH = 12
 KEPT_ALWAYS = frozenset("html body article main".split())
 
 _TAG = re.compile(
@@ -77,23 +94,25 @@ _SPACE = re.compile(r"\s+")
 
 
 class Block:
-    __slots__ = ("tag", "parent", "parts", "linked", "points", "good")
+    __slots__ = ("tag", "parent", "parts", "linked", "points", "doubtful")
 
     def __init__(self, tag: str, parent: Block | None) -> None:
         self.tag, self.parent = tag, parent
         self.parts: list[str | Block] = []
         self.linked = 0
         self.points = 0.0
-        self.good = False
+        self.doubtful = False
 
 
-def _left_out(tag: str, attributes: str, inside_article: bool) -> bool:
+def _left_out(tag: str, attributes: str, inside_article: bool) -> bool | None:
+    """Whether an element is no article text; None if only its links can tell."""
     if tag in DROPPED or tag in RAW:
         return True
     if tag == "header":
         return not inside_article
     if not attributes or tag in KEPT_ALWAYS or tag in HEADING:
         return False
+    doubtful = False
     for name, a, b, c in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), a or b or c
         if name == "hidden":
@@ -107,15 +126,20 @@ def _left_out(tag: str, attributes: str, inside_article: bool) -> bool:
         else:
             for one in value.split():
                 words = {w.lower() for w in _PART.findall(one)} - ({"header"} if inside_article else set())
-                if BAD_WORDS & words and not BESIDE_WORDS & words:
+                bad = BAD_WORDS & words
+                if not bad or BESIDE_WORDS & words:
+                    continue
+                if not bad <= TOPIC_WORDS or bad == words or PART_WORDS & words:
                     return True
-    return False
+                doubtful = True
+    return None if doubtful else False
 
 
 def parse(page: str) -> Block:
     """The tree of blocks of a page, without the parts that are never article text."""
     root = Block("html", None)
     stack: list[tuple[str, Block, bool]] = [("html", root, False)]  # name, its block, is left out
+    opened: Counter[str] = Counter()
     at, in_link, in_article, size = 0, 0, 0, len(page)
 
     def text(raw: str) -> None:
@@ -129,6 +153,7 @@ def parse(page: str) -> Block:
     def pop() -> None:
         nonlocal in_link, in_article
         name = stack.pop()[0]
+        opened[name] -= 1
         in_link -= name == "a"
         in_article -= name in ("article", "main")
 
@@ -148,11 +173,13 @@ def parse(page: str) -> Block:
         if tag == "br" or tag == "hr":
             text(" ")
         elif closing:
-            depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == tag), 0)
-            if tag == "p" and not depth:
+            if not opened[tag]:
                 continue
             # an inline end tag doesn't close blocks, a block's end tag closes all within
-            if depth and (tag in BLOCK or not any(x[0] in BLOCK for x in stack[depth + 1 :])):
+            depth = len(stack) - 1
+            while stack[depth][0] != tag and (tag in BLOCK or stack[depth][0] not in BLOCK):
+                depth -= 1
+            if stack[depth][0] == tag:
                 while len(stack) > depth:
                     pop()
         elif tag in VOID:
@@ -173,13 +200,16 @@ def parse(page: str) -> Block:
                     elif name in BLOCK:
                         break
             _, block, out = stack[-1]
-            out = out or _left_out(tag, attributes, in_article > 0)
+            found = _left_out(tag, attributes, in_article > 0)
+            out = out or found is True
             if tag in BLOCK and not out:
                 child = Block(tag, block)
+                child.doubtful = found is None
                 block.parts.append(child)
                 block = child
             if not attributes.endswith("/") or tag in BLOCK:
                 stack.append((tag, block, out))
+                opened[tag] += 1
                 in_link += tag == "a"
                 in_article += tag in ("article", "main")
     return root
@@ -202,7 +232,7 @@ def _measure(block: Block, sizes: dict[int, tuple[int, int]]) -> tuple[int, int]
             # text straight inside a container counts as a paragraph of it
             up, share = (b.parent, 1.0) if b.tag in PARAGRAPH else (b, 1.0)
             level = 0
-            while up is not None:
+            while up is not None and level < REACH:
                 up.points += points * share
                 level += 1
                 share = 0.5 if level == 1 else 1 / (3 * level)
@@ -211,8 +241,8 @@ def _measure(block: Block, sizes: dict[int, tuple[int, int]]) -> tuple[int, int]
     return sizes[id(block)]
 
 
-def _pieces(block: Block, sizes: dict[int, tuple[int, int]], out: list[str]) -> None:
-    """Texts of the blocks in page order; lists and boxes made of links are left out."""
+def _pieces(block: Block, sizes: dict[int, tuple[int, int]], links: bool, out: list[str]) -> None:
+    """Texts of the blocks in page order; without ``links``, lists and boxes made of links are left out."""
     run: list[str] = []
     todo: list[Block | str | None] = [block]
     while todo:
@@ -225,8 +255,8 @@ def _pieces(block: Block, sizes: dict[int, tuple[int, int]], out: list[str]) ->
         if x is None:
             continue
         n, linked = sizes[id(x)]
-        menu = x.tag in ("ul", "ol", "dl", "div", "section", "table") and n and linked > 0.5 * n
-        if x is block or not menu:
+        menu = not links and x.tag in ("ul", "ol", "dl", "div", "section", "table") and linked > 0.5 * n
+        if x is block or not (menu or x.doubtful and linked > 0.25 * n):
             todo.append(None)
             todo += reversed(x.parts)
     out.append("".join(run))
@@ -270,7 +300,7 @@ def main_text(page: str | None) -> str:
         chosen = [x for x in best.parent.parts if isinstance(x, Block) and belongs(x)]
     out: list[str] = []
     for b in chosen:
-        _pieces(b, sizes, out)
+        _pieces(b, sizes, up is not None and b is best, out)
     return " ".join(t for t in (_SPACE.sub(" ", x).strip() for x in out) if t)
 
 

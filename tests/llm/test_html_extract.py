@@ -2,6 +2,9 @@
 
 import html
 import re
+import time
+
+import pytest
 
 from patronscope.llm import html_extract, queries
 from patronscope.llm.html_extract import main_text
@@ -56,3 +59,40 @@ def test_edge_rows(spark):
     assert sorted((r.page_id or 0, r.n_chars) for r in got) == [(0, 1), (1, 0), (1, 0), (4, 200_002)]
     empty = spark.createDataFrame([], "page_id long, url string, html string")
     assert html_extract.extract(empty).collect() == []
+
+
+ARTICLE = "<nav><a>Home</a></nav><article><h1>Title</h1><p>Some long enough text, with commas, here.</p>%s</article>"
+BEGIN = "Title Some long enough text, with commas, here."
+
+
+@pytest.mark.parametrize(
+    ("part", "text"),
+    [
+        ("<div>See <a href=x>the whole of a long linked report</a>.</div>", "See the whole of a long linked report."),
+        ("<ul><li><a>Source one</a></li><li><a>Source two</a></li></ul>", "Source one Source two"),
+        ("<div class='related-work'><p>Others did this.</p></div>", "Others did this."),
+        ("<section id=social-history><p>Towns grew.</p></section>", "Towns grew."),
+        ("<p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math> be.</p>", "Let x=2 be."),
+        ("<div class='related-work'><a>More of this</a> <a>And of that</a></div>", ""),
+        ("<div class='related'><p>Others did this.</p></div>", ""),
+        ("<div class='related-posts'><p>Others did this.</p></div>", ""),
+        ("<div class='reader-comments'><p>I did this too.</p></div>", ""),
+        ("<p>Tie</p><p>Tie</p>", "Tie Tie"),
+    ],
+)
+def test_text_of_an_article_stays(part, text):
+    assert main_text(ARTICLE % part) == f"{BEGIN} {text}".strip()
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<div>a" * 50_000,
+        "<div>a" * 50_000 + "</section>" * 50_000,
+        "<b>" + "<div>a</b>" * 50_000,
+    ],
+)
+def test_deep_pages_take_linear_time(page):
+    begin = time.process_time()
+    assert main_text(page).split() == ["a"] * 50_000
+    assert time.process_time() - begin < 5
