@@ -3,21 +3,22 @@
 A window is ``WIDTH`` neighbouring words of one document. Every word covered by a window
 whose words also start earlier (in a smaller doc_id, or earlier in the same document) goes.
 
-1. Documents are dealt to groups that are ranges of doc_id with about ``GROUP_BYTES`` of text,
-   so the order of windows is (group, place in the group). Each group keeps the first
-   window of each hash and sends the hashes, in order of place and nothing else, to
-   buckets chosen by a second hash.
-2. A bucket sorts its hashes; of equal ones the earliest group stays. What goes back to each
-   group is one bit per hash it sent.
+1. Documents are dealt by hash to groups of about ``GROUP_BYTES`` of text. Each group keeps the first
+   window of each hash and sends the hashes, in order of place, to buckets chosen by a
+   second hash, with the documents that they are from.
+2. A bucket sorts its hashes; of equal ones that of the earliest document stays. What goes back to
+   each group is one bit per hash it sent.
 3. Each group, with its documents again, repeats step 1, reads the bits and merges the
    repeated windows into maximal intervals of words.
 
-A passage that very many documents share is sent once per group, not per document. Hash
+A passage that very many documents share is sent once per group, not per document. A
+bucket has the hashes of about ``BUCKET_BYTES`` of text. A group sends a row to each bucket that it has a
+hash for, so the rows are never more than the windows. Hash
 and bucket together identify a window: false matches are expected to number (windows x
 buckets) / 2 ** 64 / buckets, below one for 10 ** 13 windows.
 
 Defined cases: NULL text has no words; NULL doc_ids come before all others; rows that repeat
-a doc_id are separate documents ordered by text, so a repeated row counts as a copy;
+a doc_id are separate documents in the order of a hash of their texts, so a repeated row counts as a copy;
 other columns are ignored; no rows give no rows.
 """
 
@@ -35,9 +36,14 @@ from patronscope.llm.hashing import FIRST, SECOND, hashed, window_hashes
 
 WIDTH = 20
 GROUP_BYTES = 4 << 20
+BUCKET_BYTES = 32 << 20
 
-SENT = pa.schema([("bucket", pa.int32()), ("group", pa.int32()), ("hashes", pa.binary())])
-SENT_DDL = "bucket int, group int, hashes binary"
+SENT = pa.schema(
+    [("bucket", pa.int32()), ("group", pa.int32()), ("hashes", pa.binary()), ("runs", pa.binary())]
+)
+SENT_DDL = "bucket int, group int, hashes binary, runs binary"
+#: Neighbouring hashes of one document: its place among all documents, and their number.
+RUN = np.dtype([("known", "u1"), ("id", "<i8"), ("text", "<i8"), ("n", "<u4")])
 MARKS = pa.schema([("group", pa.int32()), ("bucket", pa.int32()), ("bits", pa.binary())])
 MARKS_DDL = "group int, bucket int, bits binary"
 RESULT = pa.schema(
@@ -57,34 +63,27 @@ RESULT_DDL = (
 
 
 def grouped(documents: DataFrame) -> tuple[DataFrame, int]:
-    """The documents with ``group``, ascending with doc_id, and the number of groups."""
+    """The documents with a hash of the text and their ``group``, and the number of buckets."""
     docs = documents.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
     )
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(-(-size // GROUP_BYTES), parts(docs), 2)
-    fractions = [i / n for i in range(1, n)]
-    bounds = docs.agg(F.percentile_approx("doc_id", fractions, 20 * n)).first()[0] or []
-    bounds = sorted(set(bounds))
-    # a binary search: the number of bounds that are not above doc_id
-    known, steps = F.array(*map(F.lit, bounds)), len(bounds).bit_length()
-    halves = F.array(*[F.lit(1 << i) for i in reversed(range(steps))])
-
-    def search(below, half):
-        return F.when(F.get(known, below + half - 1) <= F.col("doc_id"), below + half).otherwise(below)
-
-    group = F.aggregate(halves, F.lit(0), search) if bounds else F.lit(0)
-    return docs.withColumn("group", group.cast("int")), n
+    group = F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int")
+    found = docs.withColumns({"text_hash": F.xxhash64("text"), "group": group})
+    return found, max(-(-size // BUCKET_BYTES), parts(docs))
 
 
 class Windows:
-    """The windows of a group's documents, in order of (doc_id, text, start)."""
+    """The windows of a group's documents, in order of (doc_id, hash of the text, start)."""
 
     def __init__(self, table: pa.Table, width: int, buckets: int) -> None:
         ids = table.column("doc_id").to_pylist()
         data = texts(table.column("text").combine_chunks())
-        order = sorted(range(len(ids)), key=lambda i: (ids[i] is not None, ids[i] or 0, data[i] or b""))
+        by = table.column("text_hash").to_pylist()
+        order = sorted(range(len(ids)), key=lambda i: (ids[i] is not None, ids[i] or 0, by[i]))
         self.ids = [ids[i] for i in order]
+        documents = np.array([(ids[i] is not None, ids[i] or 0, by[i], 0) for i in order], RUN)
         self.data = [data[i] or b"" for i in order]
         hashes, starts, at = [], [], 0
         self.bounds = [0]
@@ -114,7 +113,16 @@ class Windows:
         #: the windows sent to each bucket, in order of place
         self.sent = leaders[by_bucket]
         self.hashes = first[self.sent]
-        self.cuts = np.searchsorted(bucket[by_bucket], np.arange(buckets + 1, dtype=np.uint64))
+        bucket = bucket[by_bucket]
+        self.cuts = np.searchsorted(bucket, np.arange(buckets + 1, dtype=np.uint64))
+        document = np.searchsorted(self.bounds, self.places[self.sent], "right") - 1
+        new = np.ones(len(bucket), bool)
+        new[1:] = (bucket[1:] != bucket[:-1]) | (document[1:] != document[:-1])
+        begins = np.flatnonzero(new)
+        #: the documents of the hashes, and where those of each bucket begin
+        self.runs = documents[document[begins]]
+        self.runs["n"] = np.diff(np.append(begins, len(bucket)))
+        self.run_cuts = np.searchsorted(begins, self.cuts)
 
 
 def _send(width: int, buckets: int):
@@ -123,18 +131,22 @@ def _send(width: int, buckets: int):
         full = np.flatnonzero(np.diff(w.cuts))
         group = table.column("group")[0].as_py()
         blobs = [w.hashes[w.cuts[b] : w.cuts[b + 1]].tobytes() for b in full]
-        return pa.table([full.astype(np.int32), np.full(len(full), group, np.int32), blobs], schema=SENT)
+        runs = [w.runs[w.run_cuts[b] : w.run_cuts[b + 1]].tobytes() for b in full]
+        groups = np.full(len(full), group, np.int32)
+        return pa.table([full.astype(np.int32), groups, blobs, runs], schema=SENT)
 
     return send
 
 
 def _judge(table: pa.Table) -> pa.Table:
-    """Bits of the hashes that an earlier group has sent too."""
-    table = table.sort_by("group")
+    """Bits of the hashes that an earlier document of another group has too."""
     blobs = table.column("hashes").to_pylist()
     sizes = [len(b) // 8 for b in blobs]
     hashes = np.frombuffer(b"".join(blobs), np.uint64)
-    order = np.argsort(hashes, kind="stable")
+    runs = np.frombuffer(b"".join(table.column("runs").to_pylist()), RUN)
+    place = np.empty(len(runs), np.int64)
+    place[np.lexsort((runs["text"], runs["id"], runs["known"]))] = np.arange(len(runs))
+    order = np.lexsort((np.repeat(place, runs["n"]), hashes))
     again = np.zeros(len(hashes), bool)
     again[order[1:]] = hashes[order[1:]] == hashes[order[:-1]]
     cuts = np.concatenate(([0], np.cumsum(sizes)))
@@ -183,9 +195,9 @@ def _remove(width: int, buckets: int, with_text: bool):
 
 def remove_repeats(documents: DataFrame, width: int = WIDTH, with_text: bool = True) -> DataFrame:
     """Per document: words, removed words and intervals, the kept text and its digest."""
-    docs, n = grouped(documents)
+    docs, buckets = grouped(documents)
     by_group = docs.groupBy("group")
-    sent = by_group.applyInArrow(_send(width, n), SENT_DDL)
+    sent = by_group.applyInArrow(_send(width, buckets), SENT_DDL)
     marks = sent.groupBy("bucket").applyInArrow(_judge, MARKS_DDL)
     both = by_group.cogroup(marks.groupBy("group"))
-    return both.applyInArrow(_remove(width, n, with_text), RESULT_DDL)
+    return both.applyInArrow(_remove(width, buckets, with_text), RESULT_DDL)

@@ -44,3 +44,18 @@ def test_intervals_and_text(spark):
 
 def test_no_rows(spark):
     assert got(substring.remove_repeats(spark.createDataFrame([], "doc_id long, text string"))) == []
+
+
+def test_plan_and_rows_do_not_grow_with_groups(spark, monkeypatch):
+    text = " ".join(f"t{i % 977}x{i % 31}" for i in range(60_000))  # one very long text
+    df = spark.createDataFrame([(1, text), (None, text), (2, "a b")], "doc_id long, text string")
+    plans = []
+    for size in (substring.GROUP_BYTES, 40):  # 4 MB, and thousands of groups
+        monkeypatch.setattr(substring, "GROUP_BYTES", size)
+        found = substring.remove_repeats(df, with_text=False)
+        plans.append(len(found._jdf.queryExecution().optimizedPlan().toString()))
+    assert plans[1] < plans[0] + 100
+    assert got(found) == repeats([(1, text), (None, text), (2, "a b")], 20)
+    docs, buckets = substring.grouped(df)
+    sent = docs.groupBy("group").applyInArrow(substring._send(20, 10**6), substring.SENT_DDL)
+    assert buckets == 8 and sent.count() <= 2 * 60_000
