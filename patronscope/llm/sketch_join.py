@@ -30,6 +30,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -113,15 +114,20 @@ def places(values: np.ndarray, n: int) -> np.ndarray:
     return (((values >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)).astype(np.int64)
 
 
-def words(values: np.ndarray, n: int) -> np.ndarray:
+def words(values: np.ndarray, n: int, place: np.ndarray | None = None) -> np.ndarray:
     """A sketch of ``n`` words from ascending hashes; the low bits of a token choose its bit in its word."""
-    place = places(values, n)
+    place = places(values, n) if place is None else place
     first = _first(place)
     out = np.zeros(n, np.uint64)
     out[place[first]] = np.bitwise_xor.reduceat(np.uint64(1) << (values & np.uint64(63)), first)
     return out
 
 
+@lru_cache(maxsize=256)
+def _seeds(band: int, n: int) -> np.ndarray:
+    return fmix64(np.arange(n, dtype=np.uint64) + np.uint64(band << 40) + np.uint64(1))
+
+
 def keys(values: np.ndarray, bands: Bands, rare: np.ndarray) -> list[int]:
     """The keys of a set in its bands; ``rare`` marks its rare tokens."""
     out = []
@@ -131,13 +137,15 @@ def keys(values: np.ndarray, bands: Bands, rare: np.ndarray) -> list[int]:
             continue
         n = d + 1 + bands.spare(band)
         skip = bands.spare(band) + 1 - bands.least(band)
-        word = words(values, n)
-        place = np.arange(n)
-        hashes = fmix64(word ^ fmix64(place.astype(np.uint64) + np.uint64(band << 40) + np.uint64(1)))
+        place = places(values, n)
+        word = words(values, n, place)
+        hashes = fmix64(word ^ _seeds(band, n))
         if skip:
-            n_rare = np.bincount(places(values, n)[rare], minlength=n)
-            # the hash decides what is equal, as the order must be the same for every set
-            order = np.lexsort((hashes, np.bitwise_count(word), n_rare))
+            n_rare = np.minimum(np.bincount(place[rare], minlength=n), 65_535).astype(np.uint64)
+            # one number to sort by: 16 bits of rare tokens, 7 of bits set, then of the hash. It decides what is
+            # equal, and after it the place, as the order must be the same for every set
+            rank = n_rare << np.uint64(48) | np.bitwise_count(word).astype(np.uint64) << np.uint64(41)
+            order = np.argsort(rank | hashes >> np.uint64(23), kind="stable")
             hashes = hashes[order[skip:]]
         out.append(hashes)
     return np.concatenate(out).view(np.int64).tolist() if out else []
