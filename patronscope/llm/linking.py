@@ -28,7 +28,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from patronscope.llm.common import fmix64, stored, texts
-from patronscope.llm.hashing import FIRST, hashed, window_hashes
+from patronscope.llm.hashing import FIRST, window_hashes, word_hashes
 
 Needed = tuple[list[int], list[int]]
 BLOCK = 1024
@@ -47,7 +47,7 @@ def word_list(text: bytes | None) -> list[bytes]:
 
 def shingles(text: bytes | None, width: int) -> np.ndarray:
     """The distinct shingle hashes of a text, ascending."""
-    values = hashed(word_list(text))
+    values = word_hashes(text.lower()) if text else np.empty(0, np.uint64)
     if not len(values):
         return values
     if len(values) < width:
