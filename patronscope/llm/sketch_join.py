@@ -9,10 +9,11 @@ one of two sets flips one bit, so the words in which the sketches differ are no
 symmetric difference: a pair that may link differs in at most ``d`` words.
 
 Pigeonhole. With ``words = d + 1 + spare`` at least ``spare + 1`` words of such a pair have no differing token.
-All words of a band have one order: first those with the most rare tokens, then those with the most bits. Each set leaves
-out its last ``spare + 1 - least`` words. Then two sets that may link share the keys (band, place, word) of at least
-``least`` words: the first in that order of those that they have in common. Pairs that share fewer are no links. A set has the keys of its own band and,
-if a partner may be in the next band, of that one too. Sets so small that ``d`` is 0 link only with equal ones.
+All words of a band have one order: first those with the most rare tokens, then those with the most bits. A set whose partners
+in the band differ from it in at most ``e <= d`` tokens keeps its first ``e + least`` words. Two sets that may link differ in no more
+than the smaller ``e`` of theirs, so they share the keys (band, place, word) of at least ``least`` words: the first in that order
+of those that they have in common. Pairs that share fewer are no links. A set has the keys of its own band and,
+if a partner may be in the next band, of that one too. Sets so small that ``e`` is 0 link only with equal ones.
 
 Rare are tokens that a bounded sample of the documents doesn't hold twice. Passages that many documents share so give
 few keys. What is called rare changes the work, never the links.
@@ -43,7 +44,7 @@ from patronscope.llm.common import batch, drawn, fmix64, stored, texts
 from patronscope.llm.linking import SKETCH, SKETCH_DDL, SKETCH_FIELDS, shingles, sketch
 
 #: From one band's smallest size to the next one's; spare words as a share of ``d``.
-GROWTH, SPARE = 1.3, 1 / 3
+GROWTH, SPARE = 1.6, 1 / 3
 #: Of so many spare words one is not left out, so that links share more keys.
 ASKED = 16
 #: Documents in which common tokens are sought, and bits of the table that holds them.
@@ -85,6 +86,11 @@ class Bands:
         largest = self.start(band + 1) - 1
         return (100 - self.percent) * 2 * largest // (100 + self.percent)
 
+    def own_differences(self, band: int, size: int) -> int:
+        """The largest symmetric difference of a pair of a set of the size and one that is no larger than the band's."""
+        partner = min(100 * size // self.percent, self.start(band + 1) - 1)
+        return (100 - self.percent) * (size + partner) // (100 + self.percent)
+
     def spare(self, band: int) -> int:
         """Words of a band beyond ``d + 1``."""
         return int(self.differences(band) * SPARE)
@@ -132,11 +138,11 @@ def keys(values: np.ndarray, bands: Bands, rare: np.ndarray) -> list[int]:
     """The keys of a set in its bands; ``rare`` marks its rare tokens."""
     out = []
     for band in bands.of(len(values)):
-        d = bands.differences(band)
-        if not d:
+        own = bands.own_differences(band, len(values))
+        if not own:
             continue
-        n = d + 1 + bands.spare(band)
-        skip = bands.spare(band) + 1 - bands.least(band)
+        n = bands.differences(band) + 1 + bands.spare(band)
+        skip = n - own - bands.least(band)
         place = places(values, n)
         word = words(values, n, place)
         hashes = fmix64(word ^ _seeds(band, n))

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from brute import near_duplicates
-from patronscope.llm import linking, queries, sketch_join
+from patronscope.llm import hashing, linking, queries, sketch_join
 from test_neardup import changed, corpus, got
 
 
@@ -142,3 +142,21 @@ def test_changed_copies_of_the_table(spark, sf):
     df = spark.createDataFrame(docs, "doc_id long, text string")
     assert got(sketch_join.similar(df, 4, 0.85)) == sorted(near_duplicates(docs, 4, 85), key=repr)
     assert queries.op13_parity_sketch_join(spark, sf).columns == ["doc_id", "n_shingles", "component_id"]
+
+
+@pytest.mark.parametrize("percent", [60, 85, 99])
+def test_partners_differ_no_more_than_either_keeps(percent):
+    bands = sketch_join.Bands(percent)
+    for n in range(1, 400):
+        for m in range(n, 100 * n // percent + 1):
+            band, differ = bands.band(m), (100 - percent) * (n + m) // (100 + percent)
+            assert differ <= min(bands.own_differences(band, x) for x in (n, m)) <= bands.differences(band)
+
+
+def test_word_hashes_follow_words(monkeypatch):
+    text = b" \tone two\x0bTwo  \x1cthree\x00 three\x0cone\xc2\xa0x\r\n" + b"long" * 50 + b" two"
+    for size in (1 << 20, 1, 7):
+        monkeypatch.setattr(hashing, "PIECE", size)
+        words, values = text.split(), hashing.word_hashes(text).tolist()
+        assert len(words) == len(values) and len(set(zip(words, values))) == len(set(words)) == len(set(values))
+    assert [len(hashing.word_hashes(x)) for x in (b"", b" \n", b"a")] == [0, 0, 1]
