@@ -5,7 +5,8 @@ Every stage takes all that its predecessor kept. The first four return the colum
 
 * quality: documents that the compression classifier scores below 0.3 go.
 * near_dedup: of documents linked by a similarity of 0.8 or more on five-word shingles, the one with
-  the smallest id stays; rows that repeat its id go too. Rows without an id stay.
+  the smallest id stays. Different texts of one id are documents of their own, equal ones are
+  one. Rows without an id stay.
 * decontamination: spans that repeat benchmark items are cut out of the texts; a document
   that consists of them for more than half goes.
 * secret_removal: secrets in the texts become a mark; every document stays.
@@ -28,16 +29,36 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = neardup.near_duplicates(docs, width=5, similarity=0.8)
-    first = found.where("kept and doc_id is not null").select("doc_id")
+    own, mark, row_no = free(docs, "own_id"), free(docs, "text_hash"), free(docs, "row_no")
+    marked = docs.withColumn(mark, F.xxhash64("text"))
+    further = further_texts(marked.select(F.col("doc_id"), F.col(mark).alias("mark"))).select(
+        F.col("doc_id"), F.col("mark").alias(mark), F.col("own").alias(own)
+    )
+    # ids of further texts are above all others, so the first text of the smallest id stays
+    rows = marked.join(stored(further, "further-texts"), ["doc_id", mark], "left")
+    rows = rows.withColumn(own, F.coalesce(own, F.col("doc_id").cast("long"))).drop(mark)
+    ids = rows.select(F.col(own).alias("doc_id"), "text")
+    found = neardup.near_duplicates(ids, width=5, similarity=0.8)
+    first = found.where("kept and doc_id is not null").select(F.col("doc_id").alias(own))
     # the join has brought rows of one id together already
-    same_id = W.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    name = free(docs, "row_no")
-    kept = docs.join(first, "doc_id", "left_semi").withColumn(name, F.row_number().over(same_id))
-    kept = kept.where(F.col(name) == 1).select(docs.columns)
+    same_id = W.partitionBy(own).orderBy(F.xxhash64("text"))
+    kept = rows.join(first, own, "left_semi").withColumn(row_no, F.row_number().over(same_id))
+    kept = kept.where(F.col(row_no) == 1).select(docs.columns)
     return kept.unionByName(docs.where("doc_id is null"))
 
 
+def further_texts(marked: DataFrame) -> DataFrame:
+    """``doc_id, mark, own`` of texts of an id but for one; ``own`` is an id from 2 ** 62 on.
+
+    Only ids and hashes of texts move, combined before the shuffle.
+    """
+    low = marked.groupBy("doc_id").agg(F.min("mark").alias("low"), F.max("mark").alias("high"))
+    low = low.where("low < high").select("doc_id", "low")
+    further = marked.join(low, "doc_id").where("mark > low").select("doc_id", "mark").distinct()
+    own = F.xxhash64("doc_id", "mark").bitwiseAND((1 << 62) - 1) + F.lit(1 << 62)
+    return further.withColumn("own", own)
+
+
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return decontam.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
