@@ -66,5 +66,18 @@ def test_repeated_rows_and_rows_without_id(spark, sf):
         assert stage(spark, empty, sf).collect() == [], name
 
 
+def test_different_texts_of_one_id_stay(spark, sf):
+    one, two, three = ("one two three four five six", "seven eight nine ten eleven twelve", "a b c d e f g h")
+    rows = [(5, one), (5, two), (5, two), (2, one.upper()), (7, two), (7, three), (7, None), (7, ""), (1, "x")]
+    docs = spark.createDataFrame([(d, t, "k") for d, t in rows], "doc_id long, text string, own_id string")
+    kept = corpus_pipeline.near_dedup(spark, docs, sf)
+    assert kept.columns == docs.columns
+    found = sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr)
+    # each text stays once: of equal ones that of a first text, then that of the smallest own id
+    texts = [t and t.lower() for _, t in found]
+    assert sorted(texts, key=repr) == sorted([one, two, three, None, "", "x"], key=repr)
+    assert set(found) <= set(rows) and (2, one.upper()) in found
+
+
 def test_run(spark, sf):
     assert corpus_pipeline.run(spark, sf).count() > 0
