@@ -170,38 +170,72 @@ def _squared(points: np.ndarray, centers: np.ndarray) -> np.ndarray:
 def lloyd(scaled: DataFrame, starts: list[list[Point]], max_iter: int, tolerance: float) -> list[Point]:
     """Lloyd steps from all starts at once; the centres with the smallest cost.
 
-    A round is one aggregation over (start, cluster), whose few rows reach the driver. A start
-    takes part until its centres stand still; a centre without rows stays where it is.
+    A round is one aggregation to one row of sums, counted in place for each start and cluster:
+    no row is multiplied. A start takes part until its centres stand still; one that has the centres
+    of an earlier start, in the same order, would end where that one does and leaves. A centre
+    without rows stays where it is.
     """
     columns = scaled.columns
-    values = [F.col(name) for name in columns]
     moving, best = dict(enumerate(starts)), (float("inf"), starts[0])
     for step in range(max_iter):
-        nearest = [
-            F.struct(F.lit(i).alias("start"), nearest_center(values, centers).alias("to"))
-            for i, centers in moving.items()
-        ]
-        labelled = scaled.select(*columns, F.explode(F.array(*nearest)).alias("__own"))
-        rows = labelled.groupBy("__own.start", "__own.to.cluster").agg(
-            F.sum(F.pow("__own.to.distance", F.lit(2))).alias("__cost"),
-            *[F.avg(name).alias(name) for name in columns],
-        )
-        found: dict[int, dict] = {}
-        for row in rows.collect():
-            found.setdefault(row["start"], {})[row["cluster"]] = row
+        moving = _distinct(moving)
+        row = _cluster_sums(scaled, moving).first()
         for i, centers in list(moving.items()):
-            own = found[i]
-            new = [tuple(own[c][name] for name in columns) if c in own else centers[c] for c in range(len(centers))]
+            new = [
+                tuple(x if (mean := row[f"__mean{i}_{c}_{j}"]) is None else mean for j, x in enumerate(center))
+                for c, center in enumerate(centers)
+            ]
             shift = max(sum((x - y) ** 2 for x, y in zip(a, b)) ** 0.5 for a, b in zip(new, centers))
             moving[i] = new
             if shift <= tolerance or step == max_iter - 1:
                 del moving[i]
-                best = min(best, (sum(r["__cost"] for r in own.values()), new))
+                best = min(best, (row[f"__cost{i}"], new))
         if not moving:
             break
     return best[1]
 
 
+def _distinct(moving: dict[int, list[Point]]) -> dict[int, list[Point]]:
+    """The starts whose centres no earlier start has."""
+    first: dict[tuple[Point, ...], int] = {}
+    for i, centers in moving.items():
+        first.setdefault(tuple(centers), i)
+    return {i: moving[i] for i in first.values()}
+
+
+def _cluster_sums(scaled: DataFrame, moving: dict[int, list[Point]]) -> DataFrame:
+    """One row: ``__mean<start>_<cluster>_<column>``, NULL without rows, and ``__cost<start>``.
+
+    A row belongs to its nearest centre, at a tie to the lower number, as in :func:`kmeans_assign`.
+    Distances, labels and sums are plain columns in three layers, each computed once for a row.
+    """
+    columns = scaled.columns
+    values = [F.col(name) for name in columns]
+    distances = {
+        f"__d{i}_{c}": euclidean(values, [F.lit(float(x)) for x in center])
+        for i, centers in moving.items()
+        for c, center in enumerate(centers)
+    }
+    labels = {}
+    for i, centers in moving.items():
+        label, least = F.lit(0), F.col(f"__d{i}_0")
+        for c in range(1, len(centers)):
+            own = F.col(f"__d{i}_{c}")
+            label, least = F.when(own < least, c).otherwise(label), F.least(least, own)
+        labels |= {f"__to{i}": label, f"__least{i}": least}
+    labelled = scaled.select(*columns, *[d.alias(name) for name, d in distances.items()])
+    labelled = labelled.select(*columns, *[x.alias(name) for name, x in labels.items()])
+    return labelled.agg(
+        *[
+            F.avg(F.when(F.col(f"__to{i}") == c, F.col(name))).alias(f"__mean{i}_{c}_{j}")
+            for i, centers in moving.items()
+            for c in range(len(centers))
+            for j, name in enumerate(columns)
+        ],
+        *[F.sum(F.col(f"__least{i}") * F.col(f"__least{i}")).alias(f"__cost{i}") for i in moving],
+    )
+
+
 def _as_vectors(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return VectorAssembler(inputCols=list(columns), outputCol="__vector").transform(df)
 

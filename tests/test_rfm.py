@@ -227,3 +227,31 @@ def test_fewer_points_than_clusters(spark):
     model = clusters.fit_clusters(features, k=3, starts=3)
     assert len(model.centers) == 2
     assert {r.user_id % 2: r.cluster for r in model.predict(features).collect()} == {0: 0, 1: 1}
+
+
+def test_a_round_multiplies_no_row_and_agrees_with_single_steps(spark):
+    scaled = rfm.standardize(blobs(spark)).select(*rfm.RFM_COLUMNS)
+    starts = {
+        0: [(0.0, 0.0, 0.0), (0.5, 0.5, 0.5), (99.0, 99.0, 99.0)],
+        4: [(-1.0, 1.0, 1.0), (-1.0, 1.0, 1.0), (1.0, -1.0, -1.0)],
+    }
+    sums = clusters._cluster_sums(scaled, starts)
+    assert "Generate" not in sums._jdf.queryExecution().toString()
+    row = sums.first()
+    for i, centers in starts.items():
+        assigned = clusters.kmeans_assign(scaled, centers)
+        assert row[f"__cost{i}"] == pytest.approx(assigned.agg(F.sum(F.col("distance") ** 2)).first()[0])
+        for step in clusters.kmeans_step(scaled, centers).collect():
+            own = [row[f"__mean{i}_{step.cluster}_{j}"] for j in range(3)]
+            assert own == (pytest.approx(tuple(step)[2:]) if step.members else [None] * 3)
+
+
+def test_a_start_with_the_centres_of_another_leaves(spark, monkeypatch):
+    scaled = rfm.standardize(blobs(spark)).select(*rfm.RFM_COLUMNS)
+    good = clusters.start_centers(scaled, 3, 1, 1)[0]
+    worse = [good[0], tuple(x + 0.001 for x in good[0]), good[2]]
+    seen, sums = [], clusters._cluster_sums
+    monkeypatch.setattr(clusters, "_cluster_sums", lambda df, moving: seen.append(sorted(moving)) or sums(df, moving))
+    found = clusters.lloyd(scaled, [good, worse, list(good), good[::-1], worse], 50, 0.0)
+    assert seen[0] == [0, 1, 3]  # in another order, a row between two centres may go elsewhere
+    assert sorted(found) == [pytest.approx(c) for c in sorted(clusters.lloyd(scaled, [good], 50, 0.0))]
