@@ -79,13 +79,13 @@ def _pieces(text: bytes) -> Iterator[bytes]:
     yield text[at:]
 
 
-def word_hashes(text: bytes) -> np.ndarray:
-    """A 64-bit hash of each word, in order; words end at ASCII white space.
+def word_places(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and a 64-bit hash of each word, in order; words end at ASCII white space.
 
-    Sums of ``(byte + 1) * base ** offset``, taken from one running sum over the bytes, then mixed: no
-    Python object per word.
+    The hash are sums of ``(byte + 1) * base ** offset``, taken from one running sum over the bytes, then
+    mixed: no Python object per word.
     """
-    found = []
+    found, at = [], 0
     for piece in _pieces(text):
         raw = np.frombuffer(piece, np.uint8)
         space = np.ones(len(raw) + 2, bool)
@@ -95,5 +95,11 @@ def word_hashes(text: bytes) -> np.ndarray:
         total = np.zeros(len(raw) + 1, np.uint64)
         np.cumsum((raw + np.uint64(1)) * powers(BYTES, len(raw)), out=total[1:])
         inverse = powers(pow(BYTES, -1, _WRAP), len(raw))
-        found.append(fmix64((total[ends] - total[starts]) * inverse[starts]))
-    return found[0] if len(found) == 1 else np.concatenate(found)
+        found.append((starts + at, ends + at, fmix64((total[ends] - total[starts]) * inverse[starts])))
+        at += len(piece)
+    return found[0] if len(found) == 1 else tuple(np.concatenate(x) for x in zip(*found))
+
+
+def word_hashes(text: bytes) -> np.ndarray:
+    """The hash of each word, in order."""
+    return word_places(text)[2]

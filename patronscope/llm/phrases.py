@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from patronscope.llm.bitmap import bits_of, holds_bits
 from patronscope.llm.common import fmix64, stored, texts
-from patronscope.llm.hashing import FIRST
+from patronscope.llm.hashing import FIRST, word_places
 from patronscope.operators.ranking import top_per_group
 
 LEAST = 10
@@ -49,24 +49,16 @@ COVERED = 50
 SCALE = 1_000_000
 #: A filter of 16 MB; longer texts than ``CUT_BYTES`` are read in parts that end with a piece.
 FILTER_BITS = 1 << 27
-CHUNK_WORDS = 500_000
+CHUNK_WORDS = 1_000_000
 CUT_BYTES = 1 << 22
 UNKNOWN = "und"
 
-#: Characters that end a piece (fixed values); words end at space and tab.
+#: Characters that end a piece (fixed values) become points of their own; words end at space and tab.
 _ENDS = b".,;:!?\x0a\x0b\x0c\x0d"
-_TO_DOT = bytes(0x2E if b in _ENDS else b for b in range(256))
+_TO_DOT = bytes(0x2E if b in _ENDS else b for b in bytes(range(256)).lower())
 _END = re.compile(rb"[.,;:!?\x0a-\x0d]")
 
 
-class _Words(dict):
-    """Numbers of words in the order of their first use; the piece end is 0."""
-
-    def __missing__(self, word: bytes) -> int:
-        value = self[word] = len(self)
-        return value
-
-
 def _parts(text: bytes) -> Iterator[bytes]:
     """A long text in parts that end where a piece ends."""
     while len(text) > CUT_BYTES and (end := _END.search(text, CUT_BYTES)):
@@ -76,29 +68,33 @@ def _parts(text: bytes) -> Iterator[bytes]:
 
 
 class Chunk:
-    """The words of some documents as numbers, and hashes of their phrases."""
+    """Hashes of the phrases of some documents and, if ``exact``, their words as numbers.
+
+    ``data`` are the documents one after the other, up to ``ends``; ``langs`` are their languages.
+    """
 
-    def __init__(self, words: list[bytes], lengths: list[int], langs: list[bytes]) -> None:
-        known = _Words({b".": 0})
-        self.ids = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
-        self.words = list(known)
+    def __init__(self, data: bytes, ends: list[int], langs: list[bytes], exact: bool = True) -> None:
+        starts, stops, self._hash = word_places(data)
+        raw = np.frombuffer(data, np.uint8)
         self.langs = sorted(set(langs))
         at = {lang: i for i, lang in enumerate(self.langs)}
+        lengths = np.diff(np.searchsorted(starts, ends), prepend=0)
         self.lang = np.repeat(np.array([at[x] for x in langs], np.int64), lengths)
-        word_hash = np.array([xxhash.xxh3_64_intdigest(w) for w in self.words], np.uint64)
         lang_hash = np.array([xxhash.xxh3_64_intdigest(x) for x in self.langs], np.uint64)
-        self._hash = word_hash[self.ids]
         self.hashes = fmix64(lang_hash[self.lang] * np.uint64(FIRST) + self._hash)
-        self.inside = self.ids != 0
-        self.codes = self.ids
+        self.inside = self._is_word = raw[starts] != 0x2E
         self.size = 1
+        if exact:
+            letters = raw[(raw != 0x20) & (raw != 0x09)]
+            self.ids, self.words = _numbered(letters, stops - starts)
+            self.codes = self.ids
 
     def grow(self, with_codes: bool = True) -> None:
         """From phrases of ``size`` words at each place to phrases of one more."""
         k = self.size
         n = max(len(self.hashes) - 1, 0)
         self.hashes = fmix64(self.hashes[:n] * np.uint64(FIRST) + self._hash[k : k + n])
-        self.inside = self.inside[:n] & (self.ids[k : k + n] != 0)
+        self.inside = self.inside[:n] & self._is_word[k : k + n]
         self.size = k + 1
         if not with_codes:
             return
@@ -108,36 +104,46 @@ class Chunk:
         self.codes = codes * v + self.ids[k : k + n]
 
     def phrases(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The first place of every distinct phrase and language among ``places``, and its count."""
+        """A place of every distinct phrase and language among ``places``, and its count."""
         code = self.codes[places]
         n = len(self.langs)
         if len(code) and int(code.max()) >= (1 << 62) // n:
             code = np.unique(code, return_inverse=True)[1]
-        _, first, count = np.unique(code * n + self.lang[places], return_index=True, return_counts=True)
-        return places[first], count
+        code = code * n + self.lang[places]
+        order = np.argsort(code)
+        code = code[order]
+        first = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]])) if len(code) else order
+        return places[order[first]], np.diff(first, append=len(code))
 
     def texts(self, places: np.ndarray) -> pa.Array:
         """The phrases at some places."""
-        words = pa.array(self.words, pa.binary()).cast(pa.string())
-        own = [words.take(pa.array(self.ids[places + i])) for i in range(self.size)]
+        own = [self.words.take(pa.array(self.ids[places + i])) for i in range(self.size)]
         return pc.binary_join_element_wise(*own, " ") if self.size > 1 else own[0]
 
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[Chunk]:
-    words, lengths, langs = [], [], []
+def _numbered(letters: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """Numbers of words in the order of their first use, and the words; ``letters`` are theirs without blanks."""
+    offsets = np.concatenate([[0], np.cumsum(lengths)])
+    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(letters)]
+    words = pa.Array.from_buffers(pa.large_binary(), len(lengths), buffers).dictionary_encode()
+    return words.indices.to_numpy().astype(np.int64), words.dictionary.cast(pa.string())
+
+
+def _chunks(batches: Iterator[pa.RecordBatch], exact: bool = True) -> Iterator[Chunk]:
+    data, ends, langs, size = bytearray(), [], [], 0
     for b in batches:
         for lang, text in zip(texts(b.column(0)), texts(b.column(1))):
             for part in _parts(text):
-                own = part.lower().translate(_TO_DOT).replace(b".", b" . ").split()
-                own.append(b".")
-                words += own
-                lengths.append(len(own))
+                own = part.translate(_TO_DOT).replace(b".", b" . ") + b" . "
+                data += own
+                ends.append(len(data))
                 langs.append(lang)
-                if len(words) >= CHUNK_WORDS:
-                    yield Chunk(words, lengths, langs)
-                    words, lengths, langs = [], [], []
-    if words:
-        yield Chunk(words, lengths, langs)
+                size += own.count(b" ") + own.count(b"\t")
+                if size >= CHUNK_WORDS:
+                    yield Chunk(bytes(data), ends, langs, exact)
+                    data, ends, langs, size = bytearray(), [], [], 0
+    if data:
+        yield Chunk(bytes(data), ends, langs, exact)
 
 
 def _read(documents: DataFrame) -> DataFrame:
@@ -157,7 +163,7 @@ def local_counts(read: DataFrame, sizes: range, shards: int, shorter=None) -> Da
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = TaskContext.get().partitionId() % shards
         bitmap = None if shorter is None else np.frombuffer(shorter.value, np.uint8)
-        for chunk in _chunks(batches):
+        for chunk in _chunks(batches, exact=False):
             found = []
             for size in range(1, sizes.stop):
                 if size > 1:

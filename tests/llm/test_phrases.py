@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from patronscope.llm import phrases
+from patronscope.llm import hashing, phrases
 
 
 def plain(rows, least, max_words, top):
@@ -120,3 +120,34 @@ def test_products_beyond_64_bits(spark):
 def test_no_rows(spark):
     docs = spark.createDataFrame([], "doc_id long, lang string, text string")
     assert phrases.collocations(docs).collect() == []
+
+
+def test_words_are_hashed_without_being_numbered():
+    texts = ["Ab.c,  d\te \u00e9\u00c9! x y", "", "a", ". .", "ab c ab c", "\u2003wide\u2003 a\x00b"]
+    batch = pa.RecordBatch.from_pydict({"lang": ["en", "de", "und", "en", "de", "en"], "text": texts})
+    (bare,), (full,) = phrases._chunks(iter([batch]), exact=False), phrases._chunks(iter([batch]))
+    assert not hasattr(bare, "ids")
+    for size in (1, 2, 3):
+        if size > 1:
+            bare.grow(with_codes=False)
+            full.grow()
+        assert bare.hashes.tolist() == full.hashes.tolist() and bare.inside.tolist() == full.inside.tolist()
+        places, n = full.phrases(np.flatnonzero(full.inside))
+        own = zip(full.lang[places].tolist(), full.texts(places).to_pylist(), n.tolist())
+        found = {(full.langs[lang].decode(), phrase): c for lang, phrase, c in own}
+        assert len(set(full.hashes[places].tolist())) == len(found)
+        want = Counter()
+        for lang, text in zip(["en", "de", "und", "en", "de", "en"], texts):
+            for piece in re.split(r"[.,;:!?\n-\r]", re.sub("[A-Z]", lambda m: m[0].lower(), text or "")):
+                words = re.findall(r"[^\x20\x09]+", piece)
+                want.update((lang, " ".join(words[i : i + size])) for i in range(len(words) - size + 1))
+        assert found == want
+
+
+def test_word_places_of_a_long_text_in_pieces(monkeypatch):
+    text = b" a bb\tccc  " * 50
+    starts, ends, hashes = hashing.word_places(text)
+    monkeypatch.setattr(hashing, "PIECE", 7)
+    for whole, pieces in zip((starts, ends, hashes), hashing.word_places(text)):
+        assert whole.tolist() == pieces.tolist()
+    assert [text[a:b] for a, b in zip(starts, ends)] == text.split()
