@@ -46,6 +46,26 @@ def shuffles_freed(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(_CLEANUP, before)
 
 
+#: Spark's bound on the bytes of an Arrow batch (64 MB unless set), and the one for whole texts.
+_BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 2 << 20
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Arrow batches of the queries run within have about ``BATCH_BYTES``, unless the session sets a size itself.
+
+    A task holds a batch several times, in the JVM and in Python; its rows may be long.
+    """
+    own = spark.conf.getAll.get(_BATCH) is not None
+    if not own:
+        spark.conf.set(_BATCH, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        if not own:
+            spark.conf.unset(_BATCH)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared folder and read back: the lineage ends there.
 

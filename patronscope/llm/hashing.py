@@ -63,7 +63,7 @@ def window_hashes(values: np.ndarray, width: int, base: int) -> np.ndarray:
 
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
 #: Bytes of a text that are hashed at once; a piece ends with a word.
-PIECE = 1 << 20
+PIECE = 1 << 18
 #: A second odd base, 3 modulo 4, for the bytes within a word.
 BYTES = 0xD6E8FEB86659FD93
 

@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from patronscope.llm.bitmap import bits_of, holds_bits
-from patronscope.llm.common import fmix64, stored, texts
+from patronscope.llm.common import fmix64, small_batches, stored, texts
 from patronscope.llm.hashing import FIRST, word_places
 from patronscope.operators.ranking import top_per_group
 
@@ -160,11 +160,21 @@ def local_counts(read: DataFrame, sizes: range, shards: int, shorter=None) -> Da
     words both make such a phrase: others cannot be frequent in the corpus, in whatever shards.
     """
 
+    def counted(hashes: np.ndarray, shard: int) -> Iterator[pa.RecordBatch]:
+        # each size by itself and sorted in place: a chunk's phrases of all sizes take much memory
+        hashes.sort()
+        first = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]])[: len(hashes)])
+        for at in range(0, len(first), 1 << 16):
+            part = first[at : at + (1 << 16) + 1]
+            n = np.diff(part) if len(part) > 1 << 16 else np.diff(part, append=len(hashes))
+            own = hashes[part[: len(n)]].view(np.int64)
+            columns = [pa.array(own), pa.array(np.full(len(own), shard, np.int32)), pa.array(n)]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "shard", "n"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = TaskContext.get().partitionId() % shards
         bitmap = None if shorter is None else np.frombuffer(shorter.value, np.uint8)
         for chunk in _chunks(batches, exact=False):
-            found = []
             for size in range(1, sizes.stop):
                 if size > 1:
                     chunk.grow(with_codes=False)
@@ -173,13 +183,8 @@ def local_counts(read: DataFrame, sizes: range, shards: int, shorter=None) -> Da
                     likely = holds[:-1] & holds[1:]
                 if size >= sizes.start:
                     keep = chunk.inside if bitmap is None else chunk.inside & likely
-                    found.append(chunk.hashes[keep])
-            keys, n = np.unique(np.concatenate(found), return_counts=True)
-            for at in range(0, len(keys), 1 << 16):
-                part = slice(at, at + (1 << 16))
-                own = keys[part].view(np.int64)
-                columns = [pa.array(own), pa.array(np.full(len(own), shard, np.int32)), pa.array(n[part])]
-                yield pa.RecordBatch.from_arrays(columns, ["key", "shard", "n"])
+                    yield from counted(chunk.hashes[keep], shard)
+            del chunk  # before the next one is built
 
     counts = read.mapInArrow(run, "key long, shard int, n long")
     # chunks are counted already and most of their phrases are rare: straight to the shuffle
@@ -231,6 +236,8 @@ def global_counts(read: DataFrame, union: bytes, max_words: int) -> DataFrame:
                     own = langs.take(pa.array(chunk.lang[places[part]]))
                     columns = [own, chunk.texts(places[part]), pa.array(n[part])]
                     yield pa.RecordBatch.from_arrays(columns, names)
+                del keep, places, n
+            del chunk  # before the next one is built
 
     counts = read.mapInArrow(run, "lang string, phrase string, n long")
     # chunks are counted already: straight to the shuffle
@@ -282,9 +289,10 @@ def collocations(
 ) -> DataFrame:
     """``lang, rank, phrase, a, l, r, n, score`` of each language's ``top`` phrases."""
     read = _read(documents)
-    union = candidates(read, least, max_words, shards)
-    counted = global_counts(read, union, max_words)
-    counted = stored(counted.where((F.col("n") >= least) | F.col("phrase").isNull()), "phrases")
+    with small_batches(documents.sparkSession):
+        union = candidates(read, least, max_words, shards)
+        counted = global_counts(read, union, max_words)
+        counted = stored(counted.where((F.col("n") >= least) | F.col("phrase").isNull()), "phrases")
     frequent = counted.where("phrase is not null").withColumnRenamed("n", "a")
     totals = counted.where("phrase is null").select("lang", "n")
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]

@@ -2,10 +2,13 @@
 
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import pytest
 
 from patronscope.llm import hashing, phrases
@@ -151,3 +154,27 @@ def test_word_places_of_a_long_text_in_pieces(monkeypatch):
     for whole, pieces in zip((starts, ends, hashes), hashing.word_places(text)):
         assert whole.tolist() == pieces.tolist()
     assert [text[a:b] for a, b in zip(starts, ends)] == text.split()
+
+
+def test_memory_of_a_chunk(monkeypatch):
+    """What a task of the first pass takes beside its batches, one chunk after the other."""
+    taken = []
+    counts = SimpleNamespace(groupBy=lambda *_: SimpleNamespace(agg=lambda *_: None))
+    read = SimpleNamespace(mapInArrow=lambda run, _: taken.append(run) or SimpleNamespace(repartition=lambda _: counts))
+    monkeypatch.setattr(phrases, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 6)))
+    monkeypatch.setattr(phrases, "F", SimpleNamespace(sum=lambda _: SimpleNamespace(alias=lambda _: None)))
+    phrases.local_counts(read, range(1, 3), 4)
+    pick = np.random.default_rng(5)
+    texts = [" ".join(f"w{x}" for x in row) for row in pick.integers(0, 200_000, (22_000, 100)).tolist()]
+    given = [pa.RecordBatch.from_pydict({"lang": ["en"] * 1000, "text": texts[i : i + 1000]}) for i in range(0, 22_000, 1000)]
+    found = 0
+    tracemalloc.start()
+    try:
+        for b in taken[0](iter(given)):
+            found += pa.compute.sum(b.column(2)).as_py()
+            assert set(b.column(1).to_pylist()) == {2} and b.num_rows <= 1 << 16
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert found == 22_000 * (100 + 99)
+    assert peak < 100 * phrases.CHUNK_WORDS
