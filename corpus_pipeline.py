@@ -20,7 +20,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from patronscope.llm import decontam, neardup, packing, quality, secret_scan
-from patronscope.llm.common import free, stored, table
+from patronscope.llm.common import free, small_batches, stored, table
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -86,6 +86,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each result is written and read again."""
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    with small_batches(spark):
+        for name, stage in STAGES:
+            docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return docs

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from patronscope.llm import linking
-from patronscope.llm.common import batch, fmix64, stored, texts
+from patronscope.llm.common import batch, fmix64, small_batches, stored, texts
 from patronscope.llm.hashing import FIRST
 from patronscope.llm.linking import SKETCH, SKETCH_DDL, SKETCH_FIELDS, components, shingles, sketch, word_list
 
@@ -104,10 +104,11 @@ def near_duplicates(
     ``class_id`` is the smallest doc_id with an equal set, ``component_id`` the smallest that
     links reach; ``kept`` marks the documents that are their component's first.
     """
-    known = stored(sets(documents, width, similarity, recall), "shingle-sets")
-    named = linking.class_table(known)
-    first = linking.first_of_class(known, named)
-    classes = stored(first.select("id", "n", *SKETCH), "class-sketches")
-    rows = first.select("id", "n", F.explode("nodes").alias("key"))
-    found = linking.links(rows, classes, documents, width, round(100 * similarity))
+    with small_batches(documents.sparkSession):
+        known = stored(sets(documents, width, similarity, recall), "shingle-sets")
+        named = linking.class_table(known)
+        first = linking.first_of_class(known, named)
+        classes = stored(first.select("id", "n", *SKETCH), "class-sketches")
+        rows = first.select("id", "n", F.explode("nodes").alias("key"))
+        found = linking.links(rows, classes, documents, width, round(100 * similarity))
     return linking.grouped(known, named, found)

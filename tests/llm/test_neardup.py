@@ -2,10 +2,13 @@
 
 import random
 
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from brute import near_duplicates
-from patronscope.llm import neardup
+from patronscope.llm import linking, neardup
+from patronscope.llm.common import BATCH_BYTES, small_batches
 
 
 def got(df):
@@ -88,3 +91,29 @@ def test_links_within_a_shared_template(spark):
         assert links == 100 and all(r in want or r[3] for r in rows)
         found, wanted = found + sum(not r[3] for r in rows), wanted + links
     assert found >= 0.99 * wanted
+
+
+def test_long_texts_come_in_small_batches(spark, monkeypatch):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    seen, plain = [], linking.stored
+    for module in (neardup, linking):
+        monkeypatch.setattr(module, "stored", lambda df, name: seen.append(spark.conf.get(key)) or plain(df, name))
+    docs = spark.createDataFrame([(i, f"w{i} " * 10) for i in range(20)], "doc_id long, text string")
+    assert neardup.near_duplicates(docs).count() == 20
+    assert {x.rstrip("b") for x in seen[:6]} == {str(BATCH_BYTES)} and key not in spark.conf.getAll
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["doc_id"])
+
+    long = docs.select("doc_id", F.repeat(F.lit("x"), 400_000).alias("text")).coalesce(1)
+    with small_batches(spark):
+        found = [r.doc_id for r in long.mapInArrow(sizes, "doc_id long").collect()]
+    assert len(found) > 3 and max(found) < BATCH_BYTES + 1_000_000
+    spark.conf.set(key, "1m")
+    try:
+        with small_batches(spark):
+            assert spark.conf.get(key) == "1m"
+        assert spark.conf.get(key) == "1m"
+    finally:
+        spark.conf.unset(key)
