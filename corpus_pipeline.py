@@ -11,6 +11,8 @@ Every stage takes all that its predecessor kept. The first four return the colum
   that consists of them for more than half goes.
 * secret_removal: secrets in the texts become a mark; every document stays.
 * packing: the rest is tokenized and packed.
+
+A stage bounds the session's batches for good, as its caller reads and writes what it returns; ``run`` lifts the bound.
 """
 
 from __future__ import annotations
@@ -20,15 +22,17 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from patronscope.llm import decontam, neardup, packing, quality, secret_scan
-from patronscope.llm.common import free, small_batches, stored, table
+from patronscope.llm.common import bound_batches, free, small_batches, stored, table
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     model = quality.train(docs, quality.learnable(table(spark, sf_dir, "labels")))
     return quality.score(docs, model).where(F.col("score") >= quality.ACCEPT).select(docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     own, mark, row_no = free(docs, "own_id"), free(docs, "text_hash"), free(docs, "row_no")
     marked = docs.withColumn(mark, F.xxhash64("text"))
     further = further_texts(marked.select(F.col("doc_id"), F.col(mark).alias("mark"))).select(
@@ -60,14 +64,17 @@ def further_texts(marked: DataFrame) -> DataFrame:
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     return decontam.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
 def secret_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     return secret_scan.redact(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     return packing.pack(docs)
 
 

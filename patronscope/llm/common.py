@@ -46,24 +46,37 @@ def shuffles_freed(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(_CLEANUP, before)
 
 
-#: Spark's bound on the bytes of an Arrow batch (64 MB unless set), and the one for whole texts.
-_BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 2 << 20
+#: What a task holds of whole texts at once: bytes of an Arrow batch (64 MB unless set) and rows that the Parquet
+#: reader decodes together (4,096 unless set).
+BATCH_BYTES, READ_ROWS = 2 << 20, 256
+_BOUNDS = {
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(BATCH_BYTES),
+    "spark.sql.parquet.columnarReaderBatchSize": str(READ_ROWS),
+}
+
+
+def bound_batches(spark: SparkSession) -> list[str]:
+    """Bounds the session's batches from here on, unless it sets a size itself; returns the names of what was set."""
+    known = spark.conf.getAll
+    names = [name for name in _BOUNDS if name not in known]
+    for name in names:
+        spark.conf.set(name, _BOUNDS[name])
+    return names
 
 
 @contextmanager
 def small_batches(spark: SparkSession) -> Iterator[None]:
-    """Arrow batches of the queries run within have about ``BATCH_BYTES``, unless the session sets a size itself.
+    """Batches of the queries run within have about ``BATCH_BYTES`` and are read by ``READ_ROWS`` rows, unless the
+    session sets a size itself.
 
     A task holds a batch several times, in the JVM and in Python; its rows may be long.
     """
-    own = spark.conf.getAll.get(_BATCH) is not None
-    if not own:
-        spark.conf.set(_BATCH, str(BATCH_BYTES))
+    names = bound_batches(spark)
     try:
         yield
     finally:
-        if not own:
-            spark.conf.unset(_BATCH)
+        for name in names:
+            spark.conf.unset(name)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

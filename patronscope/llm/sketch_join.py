@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from patronscope.llm import linking
 from patronscope.llm.bitmap import bits_of, holds_bits
-from patronscope.llm.common import batch, drawn, fmix64, stored, texts
+from patronscope.llm.common import batch, drawn, fmix64, small_batches, stored, texts
 from patronscope.llm.linking import SKETCH, SKETCH_DDL, SKETCH_FIELDS, shingles, sketch
 
 #: From one band's smallest size to the next one's; spare words as a share of ``d``.
@@ -202,10 +202,11 @@ def similar(documents: DataFrame, width: int = 5, similarity: float = 0.8) -> Da
     links reach; ``kept`` marks the documents that are their component's first.
     """
     percent = round(100 * similarity)
-    known = stored(sets(documents, width, percent), "parity-sketches")
-    named = linking.class_table(known)
-    first = linking.first_of_class(known, named)
-    classes = stored(first.select("id", "n", *SKETCH), "class-sketches")
-    rows = first.select("id", "n", F.explode("keys").alias("key"))
-    found = linking.links(rows, classes, documents, width, percent, Bands(percent).needed())
+    with small_batches(documents.sparkSession):
+        known = stored(sets(documents, width, percent), "parity-sketches")
+        named = linking.class_table(known)
+        first = linking.first_of_class(known, named)
+        classes = stored(first.select("id", "n", *SKETCH), "class-sketches")
+        rows = first.select("id", "n", F.explode("keys").alias("key"))
+        found = linking.links(rows, classes, documents, width, percent, Bands(percent).needed())
     return linking.grouped(known, named, found)

@@ -7,8 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from brute import near_duplicates
-from patronscope.llm import linking, neardup
-from patronscope.llm.common import BATCH_BYTES, small_batches
+from patronscope.llm import linking, neardup, sketch_join
+from patronscope.llm.common import BATCH_BYTES, READ_ROWS, small_batches
 
 
 def got(df):
@@ -117,3 +117,16 @@ def test_long_texts_come_in_small_batches(spark, monkeypatch):
         assert spark.conf.get(key) == "1m"
     finally:
         spark.conf.unset(key)
+
+
+@pytest.mark.parametrize("join", [neardup.near_duplicates, sketch_join.similar])
+def test_whole_texts_are_read_by_few_rows(spark, monkeypatch, join):
+    key = "spark.sql.parquet.columnarReaderBatchSize"
+    own, seen, plain = spark.conf.getAll.get(key), [], linking.stored
+    for module in (neardup, sketch_join, linking):
+        monkeypatch.setattr(module, "stored", lambda df, name: seen.append((name, spark.conf.get(key))) or plain(df, name))
+    docs = spark.createDataFrame([(i, f"w{i} " * 10) for i in range(20)], "doc_id long, text string")
+    assert join(docs).count() == 20
+    # the last component step reads ids only
+    whole = [rows for name, rows in seen if name != "edges"]
+    assert len(whole) > 5 and set(whole) == {str(READ_ROWS)} and spark.conf.getAll.get(key) == own

@@ -1,17 +1,25 @@
 """The stages of the pipeline, each against a plain version of what it keeps."""
 
 import public_tokenizers
+import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
 from brute import near_duplicates
 from patronscope.llm import quality
-from patronscope.llm.common import stored
+from patronscope.llm.common import _BOUNDS, bound_batches, stored
 from test_decontam import brute as contaminated
 from test_packing import check
 from test_secret_scan import base
 
 
+@pytest.fixture(autouse=True)
+def default_batches(spark):
+    yield
+    for name in _BOUNDS:
+        spark.conf.unset(name)
+
+
 def pairs(df):
     return sorted((r.doc_id, r.text) for r in df.collect())
 
@@ -81,3 +89,22 @@ def test_different_texts_of_one_id_stay(spark, sf):
 
 def test_run(spark, sf):
     assert corpus_pipeline.run(spark, sf).count() > 0
+
+
+@pytest.mark.parametrize("name", list(dict(corpus_pipeline.STAGES)))
+def test_batches_are_bounded_where_the_caller_writes_a_stage(spark, sf, name):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").limit(300)
+    assert not set(_BOUNDS) & set(spark.conf.getAll)
+    dict(corpus_pipeline.STAGES)[name](spark, docs, sf)
+    assert {k: spark.conf.get(k).rstrip("b") for k in _BOUNDS} == _BOUNDS
+
+
+def test_own_batch_sizes_stay(spark):
+    key = "spark.sql.parquet.columnarReaderBatchSize"
+    spark.conf.set(key, "100")
+    assert key not in bound_batches(spark) and spark.conf.get(key) == "100"
+
+
+def test_run_lifts_the_bounds(spark, sf):
+    corpus_pipeline.run(spark, sf)
+    assert not set(_BOUNDS) & set(spark.conf.getAll)
